@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import secrets
+from . import mixing, secrets
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
+    "op7_mixing": mixing.op7,
 }
 
 
