@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..session import stage_table
 
-WINDOW, AVERAGE_BITS, LEAST, MOST, LEAST_RUN = 16, 5, 32, 256, 96
+WINDOW, AVERAGE_BITS, LEAST, MOST, LEAST_RUN = 16, 4, 24, 256, 96
 _SIZE_BITS = 20
 SPAN = "struct<start:bigint,end:bigint>"
 
