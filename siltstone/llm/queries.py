@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import cdc, mixing, secrets
+from . import cdc, mixing, pieces, secrets
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
     "op7_mixing": mixing.op7,
+    "op8_sentencepiece": pieces.op8,
     "op10_substring_dedup": cdc.op10,
 }
 
