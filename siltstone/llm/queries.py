@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cdc, mixing, pieces, secrets
+from . import cdc, mixing, pieces, secrets, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
+    "op4_warc": warc.op4,
     "op7_mixing": mixing.op7,
     "op8_sentencepiece": pieces.op8,
     "op10_substring_dedup": cdc.op10,
@@ -35,6 +36,19 @@ def _secrets_sql() -> str:
       FROM docs d LEFT JOIN found f USING (doc_id) GROUP BY d.doc_id"""
 
 
+# DuckDB has no base32: five bits of the SHA-1 at a time.
+_WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+  d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS hex FROM p),
+  bits AS (SELECT hex, string_agg(lpad(bin(CAST('0x' || c AS INTEGER)), 4, '0'), '' ORDER BY i) AS b FROM (
+    SELECT hex, unnest(string_split(hex, '')) AS c, unnest(range(40)) AS i FROM (SELECT DISTINCT hex FROM d)) GROUP BY hex),
+  code AS (SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([
+      CAST(substr(b, 5 * i + j + 1, 1) AS INTEGER) * CAST(pow(2, 4 - j) AS INTEGER) for j in range(5)])::BIGINT, 1), '' ORDER BY i) AS payload_digest
+    FROM (SELECT hex, b, unnest(range(32)) AS i FROM bits) GROUP BY hex),
+  m AS (SELECT *, max(page_id) OVER (PARTITION BY hex) AS last FROM d)
+  SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> last THEN last END AS refers_to, true AS valid FROM m JOIN code USING (hex)"""
+
 ORACLE_SQL = {
     "op1_secret_scans": _secrets_sql(),
+    "op4_warc": _WARC_SQL,
 }
