@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import cdc, html_text, mixing, pieces, secrets, warc
+from . import cdc, html_text, mixing, pieces, quality, secrets, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
+    "op2_quality_rules": quality.op2,
     "op3_html_text": html_text.op3,
     "op4_warc": warc.op4,
     "op7_mixing": mixing.op7,
