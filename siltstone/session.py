@@ -59,4 +59,4 @@ def stage_table(df: DataFrame) -> DataFrame:
 
 def input_bytes(df: DataFrame) -> int:
     """The planner's estimate of the size of ``df``: file sizes for a scan, no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
