@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cdc, html_text, mixing, pieces, quality, secrets, warc
+from . import cdc, html_text, mixing, omh, pieces, quality, secrets, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc": warc.op4,
     "op7_mixing": mixing.op7,
     "op8_sentencepiece": pieces.op8,
+    "op9_fingerprints": omh.op9,
     "op10_substring_dedup": cdc.op10,
 }
 
