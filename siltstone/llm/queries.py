@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import cdc, html_text, mixing, omh, pieces, quality, secrets, warc
+from . import cdc, html_text, jaccard, mixing, omh, pieces, quality, secrets, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
     "op2_quality_rules": quality.op2,
     "op3_html_text": html_text.op3,
     "op4_warc": warc.op4,
+    "op5_jaccard_join": jaccard.op5,
     "op7_mixing": mixing.op7,
     "op8_sentencepiece": pieces.op8,
     "op9_fingerprints": omh.op9,
@@ -51,7 +52,21 @@ _WARC_SQL = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
   SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
     CASE WHEN page_id <> last THEN last END AS refers_to, true AS valid FROM m JOIN code USING (hex)"""
 
+_JACCARD_SQL = r"""WITH RECURSIVE
+  w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+  sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' '))
+      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS s FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+  o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+  l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+  e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.b FROM reach r JOIN e ON e.a = r.y)
+  SELECT x AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(y) AS component_id
+  FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x"""
+
 ORACLE_SQL = {
     "op1_secret_scans": _secrets_sql(),
     "op4_warc": _WARC_SQL,
+    "op5_jaccard_join": _JACCARD_SQL,
 }
