@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cdc, html_text, jaccard, mixing, omh, pieces, quality, secrets, warc
+from . import cdc, html_text, jaccard, lm, mixing, omh, pieces, quality, secrets, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_html_text": html_text.op3,
     "op4_warc": warc.op4,
     "op5_jaccard_join": jaccard.op5,
+    "op6_lm_scoring": lm.op6,
     "op7_mixing": mixing.op7,
     "op8_sentencepiece": pieces.op8,
     "op9_fingerprints": omh.op9,
@@ -65,8 +66,23 @@ _JACCARD_SQL = r"""WITH RECURSIVE
   SELECT x AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(y) AS component_id
   FROM reach LEFT JOIN n ON n.doc_id = x GROUP BY x"""
 
+_LM_SQL = r"""WITH
+  d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+  t AS (SELECT doc_id, i, w, lag(w) OVER p AS v, lag(w, 2) OVER p AS u FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d)
+    WINDOW p AS (PARTITION BY doc_id ORDER BY i)),
+  c1 AS (SELECT w, count(*) AS n FROM t GROUP BY w), c2 AS (SELECT v, w, count(*) AS n FROM t WHERE i > 0 GROUP BY v, w),
+  c3 AS (SELECT u, v, w, count(*) AS n FROM t WHERE i > 1 GROUP BY u, v, w), total AS (SELECT sum(n) AS n FROM c1),
+  s AS (SELECT t.doc_id, CASE WHEN c3.n >= 2 THEN 0 WHEN c2.n >= 2 THEN least(i, 2) - 1 ELSE least(i, 2) END AS steps,
+    CASE WHEN c3.n >= 2 THEN ln(c3.n) - ln(uv.n) WHEN c2.n >= 2 THEN ln(c2.n) - ln(cv.n) ELSE ln(c1.n) - ln(total.n) END AS x
+    FROM t JOIN total ON true JOIN c1 ON c1.w = t.w LEFT JOIN c1 cv ON cv.w = t.v LEFT JOIN c2 ON c2.v = t.v AND c2.w = t.w
+    LEFT JOIN c2 uv ON uv.v = t.u AND uv.w = t.v LEFT JOIN c3 ON c3.u = t.u AND c3.v = t.v AND c3.w = t.w),
+  r AS (SELECT doc_id, sum(x + steps * ln(0.4)) AS x, sum(steps) AS steps FROM s GROUP BY doc_id)
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(coalesce(x, 0), 6) AS log_score, round(x / len(ws), 6) AS mean_log_score,
+    CAST(coalesce(steps, 0) AS BIGINT) AS n_backoffs FROM d LEFT JOIN r USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_secret_scans": _secrets_sql(),
     "op4_warc": _WARC_SQL,
     "op5_jaccard_join": _JACCARD_SQL,
+    "op6_lm_scoring": _LM_SQL,
 }
