@@ -111,69 +111,80 @@ def min_cost_flow(supply: list[int], members: list[list[int]], quotas: list[int]
     return out
 
 
-def mix(
-    docs: DataFrame,
-    key: str,
-    sources: Column,
-    size: Column,
-    weights: Callable[[list[str | None]], dict] = cycled_weights,
-    most: int = 3,
-    seed: int = 7,
-) -> tuple[DataFrame, list[tuple[str | None, int, float]]]:
-    """How often the mix takes each document.
+class Mix:
+    """How often a mix takes each document, and the sources with their sizes and targets.
 
     sources: array of the names of a document's sources (a null name is a
     source of its own; a null or empty array counts as [null]). size: words;
     null is 0. The sources' targets share the sum of all sizes by ``weights``;
     no target is above ``most`` times its source's size. Whole documents are
     taken 0 to ``most`` times, in an order seeded by (seed, key), so reruns
-    agree; rows with equal keys are taken alike. Empty tables give no rows.
+    agree; rows with equal keys and sources are taken alike. Empty tables give
+    no rows.
 
-    Returns (key, mix_pattern, mix_size, copies) and, for each source, its
-    name, size and target.
+    rows: (key, mix_pattern, mix_size, mix_order) of all documents, written.
+    sources: name, size and target of each source.
     """
-    names = F.when(F.size(sources) > 0, F.array_distinct(sources)).otherwise(F.array(F.lit(None).cast("string")))
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    sized = stage_table(
-        docs.select(
-            F.col(key),
-            F.to_json(F.array_sort(names)).alias("mix_pattern"),
-            F.coalesce(size, F.lit(0)).cast("long").alias("mix_size"),
-            F.shiftrightunsigned(order, 64 - BIN_BITS * LEVELS).alias("mix_order"),
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        key: str,
+        sources: Column,
+        size: Column,
+        weights: Callable[[list[str | None]], dict] = cycled_weights,
+        most: int = 3,
+        seed: int = 7,
+    ):
+        names = F.when(F.size(sources) > 0, F.array_distinct(sources)).otherwise(F.array(F.lit(None).cast("string")))
+        self._pattern = F.to_json(F.array_sort(names))
+        self._order = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 64 - BIN_BITS * LEVELS)
+        self.rows = stage_table(
+            docs.select(
+                F.col(key), self._pattern.alias("mix_pattern"), F.coalesce(size, F.lit(0)).cast("long").alias("mix_size"), self._order.alias("mix_order")
+            )
         )
-    )
-    # the number of patterns is that of distinct source sets, not of documents
-    totals = [
-        (r["mix_pattern"], r["names"], int(r["words"]))
-        for r in sized.groupBy("mix_pattern")
-        .agg(F.sum("mix_size").alias("words"))
-        .withColumn("names", F.from_json("mix_pattern", "array<string>"))
-        .collect()
-    ]
-    totals.sort(key=lambda r: r[0])
-    source_sizes: dict[str | None, int] = {}
-    for _, own, words in totals:
-        for s in own:
-            source_sizes[s] = source_sizes.get(s, 0) + words
-    ordered = source_order(source_sizes)
-    targets = water_fill(sum(r[2] for r in totals), weights(ordered), {s: most * source_sizes[s] for s in ordered})
-    place = {s: k for k, s in enumerate(ordered)}
-    flow = min_cost_flow([r[2] for r in totals], [[place[s] for s in r[1]] for r in totals], [round(targets[s]) for s in ordered], most)
-    plan = {}
-    for (pattern, _, words), row in zip(totals, flow, strict=True):
-        whole, rest = divmod(sum(row), words) if words else (0, 0)
-        plan[pattern] = [whole, rest, 0, 0]  # whole uses, words of one more use, where its order ends, words before
-    _selection_ends(sized, plan)
-    extra = _last_documents(sized, plan)
-    spark = docs.sparkSession
-    uses = spark.createDataFrame(
-        [(p, v[0], v[2], extra.get(p, -1)) for p, v in plan.items()], "mix_pattern string, whole int, stop long, extra long"
-    )
-    once_more = (F.col("mix_order") < F.col("stop")) | (F.col("mix_order") == F.col("extra"))
-    taken = sized.join(F.broadcast(uses), "mix_pattern").select(
-        key, "mix_pattern", "mix_size", (F.col("whole") + once_more.cast("int")).alias("copies")
-    )
-    return taken, [(s, source_sizes[s], targets[s]) for s in ordered]
+        # the number of patterns is that of distinct source sets, not of documents
+        totals = [
+            (r["mix_pattern"], r["names"], int(r["words"]))
+            for r in self.rows.groupBy("mix_pattern")
+            .agg(F.sum("mix_size").alias("words"))
+            .withColumn("names", F.from_json("mix_pattern", "array<string>"))
+            .collect()
+        ]
+        totals.sort(key=lambda r: r[0])
+        sizes: dict[str | None, int] = {}
+        for _, own, words in totals:
+            for s in own:
+                sizes[s] = sizes.get(s, 0) + words
+        ordered = source_order(sizes)
+        targets = water_fill(sum(r[2] for r in totals), weights(ordered), {s: most * sizes[s] for s in ordered})
+        place = {s: k for k, s in enumerate(ordered)}
+        flow = min_cost_flow([r[2] for r in totals], [[place[s] for s in r[1]] for r in totals], [round(targets[s]) for s in ordered], most)
+        plan = {}
+        for (pattern, _, words), row in zip(totals, flow, strict=True):
+            whole, rest = divmod(sum(row), words) if words else (0, 0)
+            plan[pattern] = [whole, rest, 0, 0]  # whole uses, words of one more use, where its order ends, words before
+        _selection_ends(self.rows, plan)
+        extra = _last_documents(self.rows, plan)
+        self._uses = docs.sparkSession.createDataFrame(
+            [(p, v[0], v[2], extra.get(p, -1)) for p, v in plan.items()], "mix_pattern string, whole int, stop long, extra long"
+        )
+        self.sources = [(s, sizes[s], targets[s]) for s in ordered]
+
+    def _with_copies(self, rows: DataFrame) -> DataFrame:
+        once_more = (F.col("mix_order") < F.col("stop")) | (F.col("mix_order") == F.col("extra"))
+        return rows.join(F.broadcast(self._uses), "mix_pattern").withColumn("copies", F.col("whole") + once_more.cast("int"))
+
+    def taken(self) -> DataFrame:
+        """rows with the number of copies that the mix takes."""
+        return self._with_copies(self.rows).drop("whole", "stop", "extra", "mix_order")
+
+    def documents(self, docs: DataFrame) -> DataFrame:
+        """The mixed documents: every row of ``docs`` as often as it is taken, without an exchange."""
+        inner = docs.select(F.struct("*").alias("row"), self._pattern.alias("mix_pattern"), self._order.alias("mix_order"))
+        counted = self._with_copies(inner).where("copies > 0")
+        return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def _selection_ends(sized: DataFrame, plan: dict[str, list[int]]) -> None:
@@ -215,11 +226,9 @@ def _last_documents(sized: DataFrame, plan: dict[str, list[int]]) -> dict[str, i
 
 def mixed_report(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
     """The columns of op7: one source per document."""
-    taken, sources = mix(docs, key, F.array(F.col(source)), n_words(F.col(text)))
-    spark = docs.sparkSession
-    rows = [(s, n, t) for s, n, t in sources]
-    facts = spark.createDataFrame(rows, "source_name string, source_size long, target double")
-    named = taken.withColumn("source_name", F.from_json("mix_pattern", "array<string>")[0])
+    mix = Mix(docs, key, F.array(F.col(source)), n_words(F.col(text)))
+    facts = docs.sparkSession.createDataFrame(mix.sources, "source_name string, source_size long, target double")
+    named = mix.taken().withColumn("source_name", F.from_json("mix_pattern", "array<string>")[0])
     return named.join(F.broadcast(facts), named["source_name"].eqNullSafe(facts["source_name"])).select(
         key, F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_size") * F.col("copies")).alias("taken")
     )

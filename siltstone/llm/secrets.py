@@ -114,33 +114,24 @@ def address(versions: DataFrame, text: str = "text") -> Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
-def scan_versions(
-    versions: DataFrame, key: str, text: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
-) -> tuple[DataFrame, DataFrame]:
-    """Scan what the ledger has not seen; return (findings by key, the new ledger entries).
-
-    versions: one row per historical version of a path, named by ``key``. Nulls
-    in ``key`` or ``text`` are kept (a null text is empty); repeated rows each
-    get their findings; other columns are ignored. ledger: earlier entries
-    (blob_id, rule_kind, rule_version, findings) or None for an empty one. The
-    new entries are a table in the shared folder; append it to the ledger. Rules
-    without findings in a blob are recorded too, so no blob is scanned twice
-    for a version of a rule.
-
-    First result: ``key``, blob_id, findings (all kinds, by start and then by
-    the order of ``rules``), one row per row of ``versions``.
+def scan(versions: DataFrame, text: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """Scan the (blob, rule version) pairs that the ledger lacks; return (findings by blob, the new ledger entries).
+
+    ledger: earlier entries (blob_id, rule_kind, rule_version, findings) or None
+    for an empty one. The new entries are a table in the shared folder; append it
+    to the ledger. Rules without findings in a blob are recorded too, so no blob
+    is scanned twice for a version of a rule. First result: blob_id and findings
+    (all kinds, by start and then by the order of ``rules``) of the blobs that
+    have any, also a table in the shared folder.
     """
-    addressed = versions.select(F.col(key), address(versions, text).alias("blob_id"), F.coalesce(F.col(text), F.lit("")).alias("blob_text"))
+    addressed = versions.select(address(versions, text).alias("blob_id"), F.coalesce(F.col(text), F.lit("")).alias("blob_text"))
     # first() pre-aggregates in each task, so copies of one blob never meet in one place
     blobs = addressed.groupBy("blob_id").agg(F.first("blob_text").alias("blob_text"))
-    known = [(r.kind, r.version) for r in rules]
-    rule_of = F.struct("rule_kind", "rule_version").isin([F.struct(F.lit(k), F.lit(v)) for k, v in known]) if known else F.lit(False)
+    current = F.struct("rule_kind", "rule_version").isin([F.struct(F.lit(r.kind), F.lit(r.version)) for r in rules])
     if ledger is None:
         fresh = scan_blobs(blobs, rules)
     else:
-        seen = (
-            ledger.where(rule_of).groupBy("blob_id").agg(F.collect_set(F.concat_ws("@", "rule_kind", "rule_version")).alias("seen"))
-        )
+        seen = ledger.where(current).groupBy("blob_id").agg(F.collect_set(F.concat_ws("@", "rule_kind", "rule_version")).alias("seen"))
         todo = blobs.join(seen, "blob_id", "left").where(F.coalesce(F.size("seen"), F.lit(0)) < len(rules))
         parts = []
         for k, r in enumerate(rules):
@@ -149,7 +140,7 @@ def scan_versions(
             parts.append(F.struct(F.lit(r.kind).alias("rule_kind"), F.lit(r.version).alias("rule_version"), findings.alias("findings")))
         fresh = todo.select("blob_id", F.inline(F.array(*parts))).where(F.col("findings").isNotNull())
     fresh = stage_table(fresh)
-    entries = fresh if ledger is None else fresh.unionByName(ledger.where(rule_of).select(fresh.columns))
+    entries = fresh if ledger is None else fresh.unionByName(ledger.where(current).select(fresh.columns))
     order = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)])
     found = (
         entries.where(F.size("findings") > 0)
@@ -157,13 +148,35 @@ def scan_versions(
         .groupBy("blob_id")
         .agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
     )
+    return stage_table(found), fresh
+
+
+def scan_versions(
+    versions: DataFrame, key: str, text: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES
+) -> tuple[DataFrame, DataFrame]:
+    """Findings of every version, joined back from its blob, and the new ledger entries (see ``scan``).
+
+    versions: one row per historical version of a path, named by ``key``. Nulls
+    in ``key`` or ``text`` are kept (a null text is empty); repeated rows each
+    get their findings; other columns are ignored. First result: ``key``,
+    blob_id, findings, one row per row of ``versions``.
+    """
+    found, fresh = scan(versions, text, ledger, rules)
     # Both sides are exchanged for the join, so a hot blob's paths are split by adaptive execution.
-    found = stage_table(found)
-    paths = versions.select(F.col(key), address(versions, text).alias("blob_id"))
-    joined = paths.join(found, "blob_id", "left")
+    joined = versions.select(key, address(versions, text).alias("blob_id")).join(found, "blob_id", "left")
     return joined.select(key, "blob_id", F.coalesce("findings", F.array().cast(f"array<{FINDING}>")).alias("findings")), fresh
 
 
+def without_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The documents with every found span redacted, and their new length; all rows and columns stay."""
+    found, _ = scan(docs, text, None, rules)
+    joined = docs.withColumn("__blob", address(docs, text)).join(found.select(F.col("blob_id").alias("__blob"), F.col("findings").alias("__found")), "__blob", "left")
+    joined = joined.withColumn(text, F.when(F.size("__found") > 0, redact(F.col(text), F.col("__found"))).otherwise(F.col(text)))
+    if length is not None:
+        joined = joined.withColumn(length, F.when(F.size("__found") > 0, F.length(text).cast("long")).otherwise(F.col(length)))
+    return joined.select(docs.columns)
+
+
 def span_list(findings: Column) -> Column:
     return F.array_join(F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
 
