@@ -110,7 +110,7 @@ def classify(site: Column, name: Column) -> Column:
 
 def rules_table(spark: SparkSession) -> DataFrame:
     """The substring rules as rows; a fixed 70 of them, so they may be broadcast."""
-    return spark.createDataFrame(substring_rules(), "rule_site string, ordinal int, pattern string, category string")
+    return spark.createDataFrame(substring_rules(), "rule_site string, rule_ordinal int, pattern string, category string")
 
 
 def hosts_table(spark: SparkSession) -> DataFrame:
@@ -122,7 +122,7 @@ def classify_by_join(entries: DataFrame, site: str, name: str, key: str) -> Data
     """(``key``, category) by a theta join with the broadcast rules; the first rule wins. For rule sets too long for a CASE."""
     rules = F.broadcast(rules_table(entries.sparkSession))
     hit = (F.col(site) == F.col("rule_site")) & F.contains(F.lower(F.col(name)), F.col("pattern"))
-    return entries.join(rules, hit).groupBy(key).agg(F.min_by("category", "ordinal").alias("category"))
+    return entries.join(rules, hit).groupBy(key).agg(F.min_by("category", "rule_ordinal").alias("category"))
 
 
 def classify_hosts(entries: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,30 +31,22 @@ def field_or_blank(c: Column | str) -> Column:
 
 
 def without_opener(c: Column | str) -> Column:
-    """The text after one opener, if it begins with one."""
-    text = _column(c)
-    out = text
-    for opener in reversed(OPENERS):
-        out = F.when(F.startswith(text, F.lit(opener)), text.substr(F.lit(len(opener) + 1), F.length(text))).otherwise(out)
-    return out
+    """The text after one opener, if it begins with one (no opener is the beginning of another)."""
+    return F.regexp_replace(_column(c), r"\A(?:" + "|".join(map(re.escape, OPENERS)) + ")", "")
 
 
 def split_trace(c: Column | str) -> Column:
     """struct(thinking, answer) of an answer: split at the first place of the closer with the highest priority.
 
-    Without a closer everything is thinking and the answer is empty. Null is empty.
+    Without a closer everything is thinking and the answer is empty. Null is
+    empty. Written with few copies of the text, so that plans stay small.
     """
     text = without_opener(F.coalesce(_column(c), F.lit("")))
-
-    def parts(thinking: Column, answer: Column) -> Column:
-        return F.struct(unicode_trim(thinking).alias("thinking"), answer.alias("answer"))
-
-    out = parts(text, F.lit(""))
-    for closer in reversed(CLOSERS):
-        at = F.instr(text, closer)
-        split = parts(text.substr(F.lit(1), at - 1), unicode_trim(text.substr(at + len(closer), F.length(text))))
-        out = F.when(at > 0, split).otherwise(out)
-    return out
+    closer = F.coalesce(*[F.when(F.contains(_column(c), F.lit(x)), F.lit(x)) for x in CLOSERS])
+    before = F.call_function("substring_index", text, closer, F.lit(1))
+    after = F.call_function("substring", text, F.length(before) + F.length(closer) + 1)
+    thinking = unicode_trim(F.coalesce(before, text))
+    return F.struct(thinking.alias("thinking"), F.coalesce(unicode_trim(after), F.lit("")).alias("answer"))
 
 
 def format_document(instruction: Column, intent: Column, thinking: Column, response: Column) -> Column:
