@@ -30,5 +30,6 @@ def write_json_lines(records: DataFrame, folder: str) -> None:
 
 def write_markdown(records: DataFrame, folder: str, order: str, per_file: int = 1000) -> None:
     """Documents in files of ``per_file``, one partition folder for each; earlier output is replaced as a whole."""
-    rows = chunked(records, order, per_file).withColumn("value", document())
-    rows.repartition("file_seq").sortWithinPartitions("file_seq", "position").select("value", "file_seq").write.mode("overwrite").option("lineSep", "").partitionBy("file_seq").text(folder)
+    doc = document()  # its last line end is the line separator of the text sink
+    rows = chunked(records, order, per_file).withColumn("value", doc.substr(F.lit(1), F.length(doc) - 1))
+    rows.repartition("file_seq").sortWithinPartitions("file_seq", "position").select("value", "file_seq").write.mode("overwrite").partitionBy("file_seq").text(folder)
