@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "siltstone") -> SparkSession:
@@ -58,5 +60,16 @@ def stage_table(df: DataFrame) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The planner's estimate of the size of ``df``: file sizes for a scan, no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """About the size of ``df``: the files' for a scan, without a job; else the measured length of its strings.
+
+    The planner's own estimates of joins, and of rows that come from the driver,
+    are too far off to choose numbers of partitions by.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(plan.stats().sizeInBytes())
+    while plan.children().size() == 1:
+        plan = plan.children().head()
+    if plan.children().size() == 0 and "LogicalRelation" in plan.getClass().getSimpleName():
+        return size
+    lengths = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return int(df.agg(F.sum(sum(lengths, F.lit(8)).cast("long"))).first()[0] or 0)
