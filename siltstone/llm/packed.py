@@ -58,10 +58,10 @@ class WordHasher:
         cache = self.cache
         if len(cache) > WORD_CACHE:
             cache.clear()
-        new = set(words) - cache.keys()
-        if new:
-            digest = xxhash.xxh3_64_intdigest
-            cache.update((w, digest(w)) for w in new)
+        digest = xxhash.xxh3_64_intdigest
+        for w in set(words):
+            if w not in cache:
+                cache[w] = digest(w)
         return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
