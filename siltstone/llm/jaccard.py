@@ -10,9 +10,11 @@ subtree when the remaining lengths cannot reach the threshold.
 
 Only components are asked for, so links inside what is already one component
 need not be found again. A first round verifies every document against a few
-leaders of groups that share an early prefix shingle; the second round takes
+leaders of groups that share an early prefix shingle; further rounds take those
+that are still apart to other leaders, over more shingles; the last round takes
 every remaining pair of different components that shares a prefix shingle. No
-pair that reaches the threshold is lost, whatever the first round finds.
+pair that reaches the threshold is lost, whatever the first rounds find; they
+keep a group of many near copies from being linked pair by pair.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from . import packed
 SHINGLE, PERCENT = 5, 80
 HEAVY, MOST_HEAVY = 32, 1 << 20  # documents that make a shingle frequent; how many of these the order knows at most
 TOKEN_BITS = 48
-LEADERS, EARLY = 4, 8  # first round: leaders per shared shingle, prefix shingles used
+# Rounds: which factors of the leaders' ranks (none: every pair), and how many shingles of each prefix (none: all).
+ROUNDS = ((slice(0, 4), 8), (slice(4, 8), 16), (slice(8, 12), 24), (slice(12, 16), 32), (None, None))
 BLOCK = 256  # candidates in one trie
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter of wanted documents: 2 MB
 
@@ -149,11 +152,12 @@ def describe(docs: DataFrame, heavy, plan: Plan, percent: int) -> DataFrame:
     return docs.select("doc", "text").mapInArrow(run, "doc long, sig long, n long, prefix binary")
 
 
-def candidate_pairs(classes: DataFrame, plan: Plan, percent: int, first_round: bool) -> DataFrame:
+def candidate_pairs(classes: DataFrame, plan: Plan, percent: int, leaders: slice | None, early: int | None) -> DataFrame:
     """Pairs (a, b, size), a < b, of documents in different components that share a prefix shingle.
 
-    classes: doc, n, prefix, comp. first_round: only pairs with a leader, from
-    the EARLY first shingles of each prefix. size: documents that share it.
+    classes: doc, n, prefix, comp. leaders: only pairs with one of a group's
+    leaders, by these rankings; early: only the first shingles of each prefix.
+    size: documents that share the shingle.
     """
     buckets = plan.buckets
 
@@ -162,7 +166,7 @@ def candidate_pairs(classes: DataFrame, plan: Plan, percent: int, first_round: b
             for b in batches:
                 for doc, n, prefix, comp in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     tokens = packed.unpack(prefix)
-                    yield doc, n, tokens[:EARLY] if first_round else tokens, comp
+                    yield doc, n, tokens[:early], comp
 
         for part in packed.flushed(documents(), lambda r: len(r[2]), 1 << 20):
             sizes = [len(r[2]) for r in part]
@@ -183,7 +187,7 @@ def candidate_pairs(classes: DataFrame, plan: Plan, percent: int, first_round: b
             tokens = np.concatenate([packed.unpack(r[1], True) for r in rows])
             doc, n, comp, at = (np.concatenate([packed.unpack(r[k]) for r in rows]).view(np.int64) for k in (2, 3, 4, 5))
             seen: set[bytes] = set()
-            for a, b, size in _pairs(tokens, doc, n, comp, at, percent, first_round):
+            for a, b, size in _pairs(tokens, doc, n, comp, at, percent, leaders):
                 # the same pair often shares several shingles of a bucket
                 ends = np.stack((np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])), 1)
                 ends, where = np.unique(ends, axis=0, return_index=True)
@@ -209,7 +213,7 @@ def _fits(a: np.ndarray, b: np.ndarray, n: np.ndarray, at: np.ndarray, percent:
     return close & (np.minimum(na - at[a], nb - at[b]) >= need)
 
 
-def _pairs(tokens, doc, n, comp, at, percent: int, first_round: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _pairs(tokens, doc, n, comp, at, percent: int, leaders: slice | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of row numbers with the size of their group, in blocks of bounded size."""
     order = np.lexsort((n, tokens))
     tokens = tokens[order]
@@ -225,9 +229,9 @@ def _pairs(tokens, doc, n, comp, at, percent: int, first_round: bool) -> Iterato
         yield a[ok], b[ok], np.full(int(ok.sum()), 2, np.int64)
     for lo, hi in zip(begin[~small].tolist(), end[~small].tolist(), strict=True):
         rows, m = order[lo:hi], hi - lo
-        if first_round:
-            for k in range(min(LEADERS, m - 1)):
-                rank = packed.mixed(doc[rows].view(np.uint64) ^ packed.FACTORS[k])
+        if leaders is not None:
+            for factor in packed.FACTORS[leaders][: m - 1]:
+                rank = packed.mixed(doc[rows].view(np.uint64) ^ factor)
                 lead = rows[int(np.argmin(rank))]
                 others = rows[comp[rows] != comp[lead]]
                 a = np.full(len(others), lead)
@@ -371,14 +375,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     own_class = told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(F.min(F.struct("doc", "n", "prefix")).alias("c"))
     classes = stage_table(own_class.select("sig", "c.doc", "c.n", "c.prefix"))
 
-    pairs = stage_table(candidate_pairs(classes.withColumn("comp", F.col("doc")), plan, percent, True))
-    links = stage_table(verify(rows, pairs, percent))
-    comps = stage_table(components(links))
-    labelled = classes.select("doc", "n", "prefix").join(comps.withColumnRenamed("node", "doc"), "doc", "left")
-    more = stage_table(candidate_pairs(labelled.withColumn("comp", F.coalesce("comp", "doc")), plan, percent, False))
-    more_links = stage_table(verify(rows, more, percent))
-    if not more_links.isEmpty():
-        comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(more_links))
+    comps = classes.select(F.col("doc").alias("node"), F.col("doc").alias("comp")).limit(0)
+    for leaders, early in ROUNDS:
+        labelled = classes.select("doc", "n", "prefix").join(comps.withColumnRenamed("node", "doc"), "doc", "left")
+        pairs = stage_table(candidate_pairs(labelled.withColumn("comp", F.coalesce("comp", "doc")), plan, percent, leaders, early))
+        links = stage_table(verify(rows, pairs, percent))
+        if not links.isEmpty():
+            comps = stage_table(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links)))
     of_class = stage_table(
         classes.select("sig", F.col("doc").alias("node")).join(comps, "node", "left").select("sig", F.coalesce("comp", "node").alias("component"))
     )
