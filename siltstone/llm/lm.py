@@ -107,11 +107,11 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             ends = np.cumsum(sizes >> np.uint64(1)).astype(np.int64)
             docs = np.split(words, ends[:-1])
             keys = _keys(docs, bits)
-            unique = np.unique(np.concatenate(keys))
+            unique, where = np.unique(np.concatenate(keys), return_inverse=True)
             counts = np.concatenate([packed.unpack(r[2]) for r in own[1:]]) if len(own) > 1 else np.zeros(0, np.uint64)
             if len(counts) != len(unique):
                 raise RuntimeError("counts of a chunk are missing: its documents came out in another order")
-            c = [counts[np.searchsorted(unique, k)].astype(float) for k in keys]
+            c = np.split(counts[where].astype(float), np.cumsum([len(k) for k in keys])[:-1])
             lengths = np.diff(ends, prepend=0)
             place = np.arange(len(words)) - np.repeat(ends - lengths, lengths)
             doc_of = np.repeat(np.arange(len(lengths)), lengths)
