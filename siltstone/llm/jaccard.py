@@ -10,11 +10,10 @@ subtree when the remaining lengths cannot reach the threshold.
 
 Only components are asked for, so links inside what is already one component
 need not be found again. A first round verifies every document against a few
-leaders of groups that share an early prefix shingle; further rounds take those
-that are still apart to other leaders, over more shingles; the last round takes
-every remaining pair of different components that shares a prefix shingle. No
-pair that reaches the threshold is lost, whatever the first rounds find; they
-keep a group of many near copies from being linked pair by pair.
+leaders of groups that share an early prefix shingle; the last round takes every
+remaining pair of different components that shares a prefix shingle. No pair
+that reaches the threshold is lost, whatever the first round finds; it keeps a
+group of many near copies from being linked pair by pair.
 """
 
 from __future__ import annotations
@@ -35,7 +34,7 @@ SHINGLE, PERCENT = 5, 80
 HEAVY, MOST_HEAVY = 32, 1 << 20  # documents that make a shingle frequent; how many of these the order knows at most
 TOKEN_BITS = 48
 # Rounds: which factors of the leaders' ranks (none: every pair), and how many shingles of each prefix (none: all).
-ROUNDS = ((slice(0, 4), 8), (slice(4, 8), 16), (slice(8, 12), 24), (slice(12, 16), 32), (None, None))
+ROUNDS = ((slice(0, 8), 8), (None, None))
 BLOCK = 256  # candidates in one trie
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter of wanted documents: 2 MB
 
