@@ -1,15 +1,22 @@
-"""Substring deduplication by content-defined chunking.
-
-A gear rolling hash over the UTF-8 bytes cuts every text where its last 16
-bytes say so; chunks are therefore the same wherever a passage stands, and an
-insertion moves only the cuts near it. Chunks are deduplicated by their 128-bit
-digest: the document with the smallest key keeps a chunk, in all others it is a
-repeat. Neighbouring repeats are joined to passages, and passages of fewer than
-``least_run`` code points are left alone (common phrases and single lines).
+"""Substring deduplication by content-defined anchors, exact to the ends of the passages.
+
+A passage is a run of at least ``least_run`` code points that two documents
+hold. In every such run, the half runs with the smallest hash are anchors; they
+depend on the run alone, so texts that share a run share an anchor. Anchors that
+several documents hold mark the places where runs are worth comparing; there,
+every run is compared with those of all documents, and overlapping runs make the
+passages. The smallest key that holds a run keeps it.
+
+Anchors and runs go to buckets by their hash as one block for each chunk of
+texts, and the answers return to the chunk. A chunk names a run once, with its
+smallest and largest key, so a passage of many documents is no hot group.
+
+``chunks`` cuts texts by a gear rolling hash over the UTF-8 bytes.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +26,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import stage_table
+from ..session import input_bytes, stage_table
+from . import packed
+from .lm import _reproducible as reproducible
 
 WINDOW, AVERAGE_BITS, LEAST, MOST, LEAST_RUN = 16, 4, 24, 256, 96
 _SIZE_BITS = 20
 SPAN = "struct<start:bigint,end:bigint>"
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+CHUNK, PIECE = 3 << 20, 1 << 18  # code points that are asked for together, and hashed together
+LONGEST_WORD, FIRST_WIDE = 32, 0x2E80  # letters of a word that a span may end in; from here on scripts don't set words apart
+_NULL = (1 << 63) - 1
+_LETTERS = np.array([chr(c).isalnum() for c in range(FIRST_WIDE)] + [False])
 
 
 def _gear() -> np.ndarray:
@@ -138,62 +152,356 @@ def chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key), F.col(text)).where(F.length(text) > 0).mapInArrow(_chunk_batches, schema)
 
 
-def _passages(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[pa.RecordBatch]:
-    mask = (1 << _SIZE_BITS) - 1
+def run_hashes(points: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """64-bit hashes of the runs of so many code points at every place, by doubling."""
+    found: dict[int, np.ndarray] = {}
+    h, m = packed.mixed(points.astype(np.uint64) + np.uint64(1)), 1
+    while True:
+        for n in sizes:
+            if m <= n < 2 * m:
+                found[n] = _joined(h, n - m) if n > m else h
+        if len(found) == len(set(sizes)):
+            return [found[n] for n in sizes]
+        h, m = _joined(h, m), 2 * m
+
+
+def _joined(h: np.ndarray, by: int) -> np.ndarray:
+    """Hashes of the runs at each place and ``by`` places on, as one run."""
+    n = max(0, len(h) - by)
+    x = h[:n] * packed.FACTORS[0]
+    x += h[by : by + n] * packed.FACTORS[1]
+    x ^= x >> np.uint64(29)
+    x *= packed.FACTORS[2]
+    x ^= x >> np.uint64(32)
+    return x
+
+
+def _sliding(x: np.ndarray, n: int, of: np.ufunc) -> np.ndarray:
+    """Least or greatest number of every n neighbours."""
+    m = 1
+    while 2 * m <= n:
+        x, m = of(x[:-m], x[m:]), 2 * m
+    return of(x[: m - n], x[n - m :]) if m < n else x
+
+
+def _room(sizes: np.ndarray) -> np.ndarray:
+    """Code points from each place to the end of its piece."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    return np.repeat(ends, sizes) - np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+
+
+def anchors(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the anchors: in every run of ``least_run`` code points, all halves with the smallest hash.
+
+    Which ones those are depends on the run alone, so that texts that share a
+    run share an anchor in it, whatever stands around it.
+    """
+    half = least_run // 2 or 1
+    if len(points) < least_run:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h = run_hashes(points, half)[0]
+    n = least_run - half + 1
+    least = np.where(room[: len(points) - least_run + 1] >= least_run, _sliding(h, n, np.minimum), np.uint64(0))
+    outside = np.zeros(n - 1, np.uint64)
+    at = np.flatnonzero(_sliding(np.concatenate((outside, least, outside)), n, np.maximum) == h)
+    return at, h[at]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(id, offset, code points) of the texts; long ones in pieces that overlap, so that each run is whole in one of them, with what stands beside it."""
+    for batch in batches:
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            points = np.frombuffer((text or "").encode("utf-32-le"), np.uint32)
+            for at in range(0, len(points) - least_run + 1, PIECE):
+                yield doc, at, points[at : at + PIECE + least_run + 1]
+
+
+def _signed(block: bytes) -> np.ndarray:
+    return packed.unpack(block).view(np.int64)
+
+
+def _asks(chunk: int, keys: np.ndarray, ids: np.ndarray, buckets: int) -> list[tuple[int, int, list[bytes]]]:
+    """Rows that ask each bucket for keys, with the smallest and the largest id that hold them here."""
+    order = np.argsort(keys, kind="stable")
+    begin = np.flatnonzero(np.diff(keys[order], prepend=~keys[order][:1])) if len(keys) else np.zeros(0, np.int64)
+    unique = keys[order][begin]
+    low, high = (of.reduceat(ids[order], begin) if len(keys) else ids for of in (np.minimum, np.maximum))
+    return [
+        (b, chunk, [packed.pack(unique[lo:hi], True), packed.pack(low[lo:hi].view(np.uint64)), packed.pack((high[lo:hi] - low[lo:hi]).view(np.uint64))])
+        for b, lo, hi in packed.by_bucket(unique, 64, buckets)
+    ]
+
+
+def _rows(rows: list[tuple[int, int, list[bytes]]]) -> pa.RecordBatch:
+    buckets, chunks_, blocks = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(chunks_, pa.int64()), pa.array(blocks, pa.list_(pa.binary()))], names=["bucket", "chunk", "blocks"])
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For every key that a chunk asks for: 1 if a smaller id than the chunk's holds it elsewhere, plus 2 if a larger one does."""
+    for bucket, rows in packed.groups(batches):
+        out = [(-1, ~r[1], r[2]) for r in rows if r[1] < 0]
+        asked = [r for r in rows if r[1] >= 0]
+        if not asked:
+            yield _rows(out)
+            continue
+        keys = [packed.unpack(r[2][0], True) for r in asked]
+        low = np.concatenate([_signed(r[2][1]) for r in asked])
+        high = low + np.concatenate([_signed(r[2][2]) for r in asked])
+        together = np.concatenate(keys)
+        order = np.argsort(together, kind="stable")
+        begin = np.flatnonzero(np.diff(together[order], prepend=~together[order][:1]))
+        sizes = np.diff(np.append(begin, len(order)))
+        flags = np.empty(len(order), np.uint64)
+        flags[order] = (np.repeat(np.minimum.reduceat(low[order], begin), sizes) < low[order]) + 2 * (np.repeat(np.maximum.reduceat(high[order], begin), sizes) > high[order])
+        at = 0
+        for r, own in zip(asked, keys, strict=True):
+            out.append((bucket, r[1], [packed.pack(flags[at : at + len(own)])]))
+            at += len(own)
+        yield _rows(out)
+
+
+def _told(keys: np.ndarray, ids: np.ndarray, answers: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a smaller, and whether a larger id holds each key of a chunk."""
+    unique, where = np.unique(keys, return_inverse=True)
+    flags = np.concatenate([np.zeros(0, np.uint64), *(packed.unpack(r[2][0]) for r in answers)])
+    if len(flags) != len(unique):
+        raise RuntimeError("answers of a chunk are missing")
+    low, high = np.full(len(unique), np.iinfo(np.int64).max), np.full(len(unique), np.iinfo(np.int64).min)
+    np.minimum.at(low, where, ids)
+    np.maximum.at(high, where, ids)
+    return (flags[where] & np.uint64(1) > 0) | (low[where] < ids), (flags[where] & np.uint64(2) > 0) | (high[where] > ids)
+
+
+def _split(points: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[slice, int, np.ndarray]]:
+    """Whole pieces in blocks that fit the cache: (which pieces, first code point, code points)."""
+    ends = np.cumsum(sizes)
+    first = 0
+    while first < len(sizes):
+        begin = int(ends[first] - sizes[first])
+        last = max(first + 1, int(np.searchsorted(ends, begin + PIECE, side="right")))
+        yield slice(first, last), begin, points[begin : int(ends[last - 1])]
+        first = last
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(number, ids, offsets, sizes, code points) of the pieces of a chunk; the numbers are unique in the DataFrame."""
+    from pyspark import TaskContext
+
+    base = TaskContext.get().partitionId() << 32
+    for k, part in enumerate(packed.flushed(_pieces(batches, least_run), lambda r: len(r[2]), CHUNK)):
+        yield base + k, *(np.array(x, np.int64) for x in ([r[0] for r in part], [r[1] for r in part], [len(r[2]) for r in part])), np.concatenate([r[2] for r in part])
+
+
+def _chunk_anchors(points: np.ndarray, sizes: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
+    found = []
+    for part, begin, own in _split(points, sizes):
+        at, h = anchors(own, _room(sizes[part]), least_run)
+        found.append((at + begin, h))
+    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+
+
+def _ask_anchors(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    for chunk, ids, _, sizes, points in _chunks(batches, least_run):
+        at, h = _chunk_anchors(points, sizes, least_run)
+        rows = _asks(chunk, h, np.repeat(ids, sizes)[at], buckets)
+        if rows:
+            yield _rows(rows)
+
+
+def _texts(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of each chunk, in the place of a state."""
+    for chunk, ids, offsets, sizes, points in _chunks(batches, least_run):
+        yield _rows([(-1, chunk, _packed(ids, offsets, sizes, points))])
+
+
+def _packed(*state: np.ndarray) -> list[bytes]:
+    """Signed numbers, and code points at last."""
+    text = state[-1].astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+    return [*(packed.pack(x.astype(np.int64).view(np.uint64)) for x in state[:-1]), zlib.compress(text, 1)]
+
+
+def _unpacked(blocks: list[bytes]) -> list[np.ndarray]:
+    text = zlib.decompress(blocks[-1]).decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass")
+    return [*map(_signed, blocks[:-1]), np.frombuffer(text, np.uint32)]
+
+
+def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Asks for every run that holds a shared anchor; the state keeps their text, with a code point on either side if there is one."""
+    for chunk, rows in packed.groups(batches, 1):
+        ids, offsets, sizes, points = _unpacked(rows[0][2])
+        at, h = _chunk_anchors(points, sizes, least_run)
+        piece = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        smaller, larger = _told(h, ids[piece[at]], rows[1:])
+        at = at[smaller | larger]
+        room, n = _room(sizes), len(points)
+        marks = np.bincount(np.maximum(at - (least_run - (least_run // 2 or 1)), 0), minlength=n + 1) - np.bincount(at + 1, minlength=n + 1)
+        wanted = (np.cumsum(marks)[:n] > 0) & (room >= least_run)
+        edge = np.diff(np.concatenate(([False], wanted, [False])).astype(np.int8)) != 0
+        bounds = np.flatnonzero(edge).reshape(-1, 2)  # no run starts at the end of a piece, so they are apart
+        owner = piece[bounds[:, 0]]
+        begin, count = bounds[:, 0], bounds[:, 1] - bounds[:, 0]
+        starts = np.cumsum(sizes) - sizes
+        before = (begin > starts[owner]).astype(np.int64)
+        after = (room[begin] > count + least_run - 1).astype(np.int64)
+        lengths = before + count + least_run - 1 + after
+        text = np.concatenate([np.zeros(0, np.uint32), *(points[b - x : b - x + m] for b, x, m in zip(begin.tolist(), before.tolist(), lengths.tolist(), strict=True))])
+        state = [ids[owner], offsets[owner] + begin - starts[owner], count, before, after, owner, text]
+        keys, holders = _run_keys(state, least_run, most)
+        yield _rows([*_asks(chunk, keys, holders, buckets), (chunk % buckets, ~chunk, _packed(*state))])
+
+
+def _run_keys(state: list[np.ndarray], least_run: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of the segments of a state, and the ids that hold them.
+
+    A run that starts or ends inside a word (of which it has fewer than ``most``
+    letters) is another one than the same run with whole words.
+    """
+    ids, _, count, before, after, _, text = state
+    lengths = before + count + least_run - 1 + after
+    found = []
+    for part, _, own in _split(text, lengths):
+        begin = np.cumsum(lengths[part]) - lengths[part] + before[part]
+        inside = np.repeat(begin - (np.cumsum(count[part]) - count[part]), count[part]) + np.arange(int(count[part].sum()))
+        h = run_hashes(own, least_run)[0]
+        letter = _LETTERS[np.minimum(own, FIRST_WIDE)]
+        other = np.flatnonzero(~letter)
+        after_it = np.append(other, len(own) + most)  # the next place without a letter
+        before_it = np.insert(other, 0, -1 - most)
+        place = np.arange(len(own))
+        within = np.zeros(len(own) + 1, bool)
+        within[1:-1] = letter[1:] & letter[:-1]
+        within[np.cumsum(lengths[part])] = within[0] = False
+        within[(np.cumsum(lengths[part]) - lengths[part])] = False
+        head = within[:-1] & (after_it[np.searchsorted(other, place)] - place < most)
+        tail = within[1:] & (place - before_it[np.searchsorted(other, place, side="right")] < most)
+        found.append(h[inside] + head[inside] * packed.FACTORS[3] + tail[inside + least_run - 1] * packed.FACTORS[4])
+    return np.concatenate([np.zeros(0, np.uint64), *found]), np.repeat(ids, count)
+
+
+def _spans(batches: Iterator[pa.RecordBatch], least_run: int, most: int) -> Iterator[pa.RecordBatch]:
+    """owner, repeated, removed of the pieces that hold any."""
+    for _, rows in packed.groups(batches, 1):
+        state = _unpacked(rows[0][2])
+        ids, starts, count, before, after, piece, text = state
+        keys, holders = _run_keys(state, least_run, most)
+        smaller, larger = _told(keys, holders, rows[1:])
+        place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count - starts, count)
+        segment = np.repeat(np.arange(len(count)), count)
+        lengths = before + count + least_run - 1 + after
+        # where the code point of a segment with number 0 in its document would stand in the text
+        zero = np.cumsum(lengths) - lengths + before - starts
+        of_piece: dict[int, tuple[list, list, int]] = {}
+        for kind, on in enumerate((smaller | larger, smaller)):
+            at, seg = place[on], segment[on]
+            if not len(at):
+                continue
+            new = np.flatnonzero(np.diff(piece[seg], prepend=-1) | (np.diff(at, prepend=at[0]) > least_run))
+            last = np.append(new[1:], len(at)) - 1
+            for a, b, s, t in zip(at[new].tolist(), (at[last] + least_run).tolist(), seg[new].tolist(), seg[last].tolist(), strict=True):
+                lo = a > starts[s] or before[s]
+                hi = b < starts[t] + count[t] + least_run - 1 or after[t]
+                span = _whole_words(text, a, b, int(zero[s]), int(zero[t]), bool(lo), bool(hi), most)
+                of_piece.setdefault(int(piece[s]), ([], [], int(ids[s])))[kind].append({"start": span[0], "end": span[1]})
+        if of_piece:
+            found = list(of_piece.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[2] for x in found], pa.int64()), *(pa.array([x[k] for x in found], SPANS) for k in (0, 1))], names=["owner", "repeated", "removed"]
+            )
+
+
+def _letter(c: int) -> bool:
+    return c < FIRST_WIDE and chr(c).isalnum()
+
+
+def _whole_words(text: np.ndarray, a: int, b: int, left: int, right: int, lo: bool, hi: bool, most: int) -> tuple[int, int]:
+    """The span [a, b) without the parts of words and the white space at its ends; lo, hi: there is text before, after it.
+
+    Scripts that don't set words apart, and words of ``most``
+    letters or more, are left as they are.
+    """
+    begin, end = a, b
+    if lo:
+        if _letter(int(text[left + a - 1])):
+            k = next((k for k in range(most) if not _letter(int(text[left + a + k]))), 0)
+            begin += k
+        while begin < end and begin - a < most and chr(int(text[left + begin])).isspace():
+            begin += 1
+    if hi:
+        if _letter(int(text[right + b])):
+            k = next((k for k in range(most) if not _letter(int(text[right + b - 1 - k]))), 0)
+            end -= k
+        while begin < end and b - end < most and chr(int(text[right + end - 1])).isspace():
+            end -= 1
+    return (begin, end) if begin < end else (a, b)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of the pieces of each document, as spans that are apart from each other."""
     for batch in batches:
-        owners, out = [], [[], [], []]
-        for owner, found in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-            found.sort(key=lambda x: x["at"])
-            spans, removed, run = [], [], []
-            for x in [*found, None]:
-                start, size = (x["at"] >> _SIZE_BITS, x["at"] & mask) if x else (-1, 0)
-                if run and start != run[-1][1]:
-                    if run[-1][1] - run[0][0] >= least_run:
-                        spans.append({"start": run[0][0], "end": run[-1][1]})
-                        for a, b, first in run:
-                            if not first:
-                                if removed and removed[-1]["end"] == a:
-                                    removed[-1]["end"] = b
-                                else:
-                                    removed.append({"start": a, "end": b})
-                    run = []
-                if x:
-                    run.append((start, start + size, x["first"]))
-            if spans:
-                owners.append(owner.as_py())
-                out[0].append(sum(s["end"] - s["start"] for s in spans))
-                out[1].append(spans)
-                out[2].append(removed)
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        columns = []
+        for column in batch.columns[1:]:
+            out = []
+            for found in column.to_pylist():
+                spans: list[dict] = []
+                for x in sorted((x for part in found for x in part), key=lambda x: x["start"]):
+                    if spans and x["start"] <= spans[-1]["end"]:
+                        spans[-1]["end"] = max(spans[-1]["end"], x["end"])
+                    else:
+                        spans.append(x)
+                out.append(spans)
+            columns.append(out)
+        total = [sum(s["end"] - s["start"] for s in spans) for spans in columns[0]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(owners, batch.schema.field(0).type), pa.array(out[0], pa.int64()), pa.array(out[1], span), pa.array(out[2], span)],
-            names=["owner", "repeated_chars", "repeated", "removed"],
+            [batch.column(0), pa.array(total, pa.int64()), *(pa.array(c, SPANS) for c in columns)], names=["owner", "repeated_chars", "repeated", "removed"]
         )
 
 
-def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
+def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN, whole_words: bool = True) -> DataFrame:
     """Passages that other documents hold too, one row per document that has any.
 
     Columns: ``key``, repeated_chars, repeated (spans in code points, end
-    exclusive, of every passage that another key also holds) and removed (the
-    part of them that a smaller key keeps; cutting it leaves one copy of every
-    chunk). Null and empty texts have no passages. Rows with equal keys count as
-    one document, and repeats inside one document don't count.
+    exclusive, of every run of ``least_run`` code points that another key also
+    holds, wherever it stands) and
+    removed (the part of them that a smaller key holds; cutting it leaves every
+    code point of a passage in the first document). ``whole_words``: a run must
+    start and end alike in both documents, inside a word or not, and the parts
+    of words and white space at the ends of a span are left out; without it
+    spans reach to the last equal code point. Null and shorter texts have
+    no passages. Rows with equal keys count as one document (all null keys too,
+    as the last one), and repeats inside one document don't count. Runs are
+    compared by 64-bit hashes: one of n runs is taken for another with a chance
+    of about n / 2^64.
     """
-    parts = stage_table(chunks(docs, key, text))
-    # min and max are pre-aggregated in each task: a passage of many documents is no hot group
-    shared = stage_table(
-        parts.groupBy("d1", "d2").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first < last").drop("last")
-    )
-    repeats = parts.join(shared, ["d1", "d2"]).select("owner", "at", (F.col("owner") == F.col("first")).alias("first"))
-    # a row per chunk of one document: bounded by the document itself
-    per_doc = repeats.groupBy("owner").agg(F.collect_set(F.struct("at", "first")).alias("found"))
-    schema = T.StructType(
-        [T.StructField("owner", docs.schema[key].dataType)]
-        + [T.StructField("repeated_chars", T.LongType())]
-        + [T.StructField(c, T._parse_datatype_string(f"array<{SPAN}>")) for c in ("repeated", "removed")]
-    )
-    return per_doc.mapInArrow(lambda b: _passages(b, least_run), schema).withColumnRenamed("owner", key)
+    if least_run < 2:
+        raise ValueError("passages have at least two code points")
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") >= least_run)
+    whole = isinstance(docs.schema[key].dataType, T.ByteType | T.ShortType | T.IntegerType | T.LongType)
+    if whole:
+        rows = rows.select(F.coalesce(F.col("key").cast("long"), F.lit(_NULL)).alias("owner"), "text")
+    else:  # numbers in the order of the keys take their place
+        names = stage_table(rows.where("key IS NOT NULL").select("key").distinct().orderBy("key").select("key", F.monotonically_increasing_id().alias("owner")))
+        rows = rows.join(names, "key", "left").select(F.coalesce("owner", F.lit(_NULL)).alias("owner"), "text")
+    rows = reproducible(rows)
+    most = min(LONGEST_WORD, least_run // 2) if whole_words else 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // (8 << 20))
+    shape = "bucket long, chunk long, blocks array<binary>"
+    spans = f"array<{SPAN}>"
+
+    def answered(asked: DataFrame, texts: DataFrame | None = None) -> DataFrame:
+        back = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_answers, shape)
+        return (back if texts is None else texts.unionByName(back)).repartition(buckets, "chunk").sortWithinPartitions("chunk", "bucket")
+
+    asked = answered(rows.mapInArrow(lambda b: _ask_anchors(b, least_run, buckets), shape), rows.mapInArrow(lambda b: _texts(b, least_run), shape))
+    asked = answered(asked.mapInArrow(lambda b: _ask_runs(b, least_run, buckets, most), shape))
+    found = asked.mapInArrow(lambda b: _spans(b, least_run, most), f"owner long, repeated {spans}, removed {spans}")
+    per_doc = found.groupBy("owner").agg(F.collect_set("repeated").alias("repeated"), F.collect_set("removed").alias("removed"))
+    out = per_doc.mapInArrow(_merged, f"owner long, repeated_chars long, repeated {spans}, removed {spans}")
+    if whole:
+        own = F.when(F.col("owner") != _NULL, F.col("owner")).cast(docs.schema[key].dataType)
+    else:
+        out, own = out.join(names, "owner", "left"), F.col("key")
+    return out.select(own.alias(key), "repeated_chars", "repeated", "removed")
 
 
 def cut_spans(text: Column, spans: Column) -> Column:

@@ -9,6 +9,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siltstone.llm import cdc, html_text, jaccard, lm, packed, pieces, quality, warc
@@ -425,6 +426,56 @@ def test_passages_are_found_and_cut(spark):
         assert len(cut[k]) == len(texts[k]) - sum(s["end"] - s["start"] for s in r["removed"])
 
 
+def shared_runs(texts, n, smaller):
+    """Code points of every text in runs of n that another text (a smaller key) holds, by brute force."""
+    holders = collections.defaultdict(set)
+    for k, t in texts.items():
+        for i in range(len(t) - n + 1):
+            holders[t[i : i + n]].add(k)
+    found = {k: set() for k in texts}
+    for k, t in texts.items():
+        for i in range(len(t) - n + 1):
+            if any(j < k or (j > k and not smaller) for j in holders[t[i : i + n]]):
+                found[k].update(range(i, i + n))
+    return found
+
+
+def test_whole_passages_of_two_documents(spark):
+    rng = random.Random(12)
+    fresh = lambda n, letters="abcdefghijklmnoprstu": " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))
+    texts = {}
+    for k in range(0, 120, 2):  # each passage stands in two texts; every third one has few words, or none
+        words = fresh(rng.choice([1, 2, 4])).split()
+        passage = [fresh(20), " ".join(rng.choices(words, k=30)), "漢" * 20 + fresh(1, "漢字é") * 5 + "x" * rng.randint(60, 130)][k // 2 % 3]
+        for j in (k, k + 1):
+            texts[j] = f"{fresh(rng.randint(0, 60))}. {passage} .{fresh(rng.randint(0, 60))}"
+    texts |= {120: "z" * 300, 121: "y" + "z" * 96, 122: "z" * 95, 123: texts[0], 124: texts[0][:50] + texts[3][10:]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r for r in cdc.repeated_passages(docs, "doc_id", whole_words=False).collect()}
+    for column, smaller in (("repeated", False), ("removed", True)):
+        got = {k: {i for s in (found[k][column] if k in found else []) for i in range(s["start"], s["end"])} for k in texts}
+        assert got == shared_runs(texts, cdc.LEAST_RUN, smaller)
+    names = spark.createDataFrame([(f"{k:04}", t) for k, t in texts.items()], "doc_id string, text string")
+    assert {int(r["doc_id"]): r[1:] for r in cdc.repeated_passages(names, "doc_id", whole_words=False).collect()} == {k: r[1:] for k, r in found.items()}
+
+
+def test_passages_end_at_whole_words(spark):
+    a, b = "one two three four five six seven eight nine ten " * 3, "unlike "
+    rows = [(1, f"xab{a}bcd other words"), (2, f"yab{a}bce"), (3, b + a.replace(" ", "") + "q"), (4, a.replace(" ", "") + "p")]
+    found = {r["doc_id"]: r for r in cdc.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id").collect()}
+    span = found[1]["repeated"][0]
+    assert rows[0][1][span["start"] : span["end"]] == a[4:].strip() and not found[1]["removed"]
+    assert found[3]["repeated_chars"] == found[4]["repeated_chars"] == len(a.replace(" ", ""))  # long words are no words
+
+
+def test_long_texts_are_cut_in_pieces():
+    text = "".join(random.Random(3).choices("abc ", k=3 * cdc.PIECE // 2))
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], names=["owner", "text"])
+    pieces = list(cdc._pieces(iter([batch]), 96))
+    starts = {at + i for _, at, p in pieces for i in range(len(p) - 95)}
+    assert len(pieces) == 2 and starts == set(range(len(text) - 95))
+
+
 def test_passages_odd_rows(odd_documents, no_documents):
     assert cdc.repeated_passages(odd_documents, "doc_id").count() == 0
     assert cdc.repeated_passages(no_documents, "doc_id").count() == 0
