@@ -1,7 +1,9 @@
 """Visible text of HTML pages, laid out in blocks, lists and aligned tables.
 
 A tokenizer feeds a tree builder that opens and closes the tags which authors
-leave out; visibility rules then drop what a browser would not show, and a
+leave out; visibility rules then drop what a browser would not show (controls keep
+their labels, drawings and formulas their text; what assistive software skips is
+still seen), and a
 renderer walks the tree: blocks are set apart, list items get markers and
 indents, table cells are aligned in columns.
 """
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "script style head title template noscript iframe noembed noframes object audio video canvas svg math datalist area base link meta param rp source track input select button".split()
+    "script style head title template noscript iframe noembed noframes object audio video canvas datalist area base link meta param rp source track input".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead tr ul caption xmp".split()
@@ -47,6 +49,8 @@ IMPLIED_END = {
     "body": ({"head"}, set()),
 }
 SCOPE = frozenset("table td th caption html template button object".split())
+ROW_PARTS = frozenset("tr td th thead tbody tfoot".split())
+UNDRAWN = frozenset("annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split())  # of svg and math
 HEAD_CONTENT = frozenset("title base link meta style script noscript template head html".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -130,6 +134,8 @@ def build_tree(markup: str) -> Node:
         if name in ("td", "th") and stack[-1].tag in ("table", "tbody", "thead", "tfoot"):
             stack[-1].children.append(row := Node("tr", {}))
             stack.append(row)
+        if name in UNDRAWN and any(n.tag in ("svg", "math") for n in stack):
+            attributes["hidden"] = ""
         node = Node(name, attributes)
         stack[-1].children.append(node)
         if name in RAW:
@@ -150,7 +156,7 @@ def visible(node: Node) -> bool:
         return False
     if not a:
         return True
-    return not ("hidden" in a or INVISIBLE_STYLE.search(a.get("style", "")) or a.get("aria-hidden", "").lower() == "true")
+    return not ("hidden" in a or INVISIBLE_STYLE.search(a.get("style", "")))
 
 
 def cells_wide(text: str) -> int:
@@ -261,13 +267,58 @@ def _render(node: Node, out: Layout, keep: bool, numbers: list[int | None]) -> N
             out.marker = marker if out.marker else ""
 
 
-def _rows(table: Node) -> Iterator[Node]:
+def _parts(table: Node, strays: list[Node | str]) -> Iterator[Node]:
+    """The rows of a table, with their cells alone; what stands outside of cells goes to ``strays``, as browsers put it before the table."""
+    loose: Node | None = None  # a row of cells that stand in none
     for child in table.children:
-        if isinstance(child, Node) and visible(child):
-            if child.tag == "tr":
-                yield child
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+        if isinstance(child, str):
+            strays.append(child)
+        elif child.tag == "tr":
+            if visible(child):
+                row = Node("tr", child.attributes)
+                row.children = list(_cells(child, strays))
+                yield row
+        elif child.tag in ("thead", "tbody", "tfoot") or _holds_rows(child):
+            if visible(child):
+                yield from _parts(child, strays)
+        elif child.tag in ("td", "th"):
+            if loose is None:
+                loose = Node("tr", {})
+                yield loose
+            loose.children.append(child)
+            continue
+        elif child.tag not in ("colgroup", "col"):
+            strays.append(child)
+        elif visible(child):
+            strays.extend(child.children)
+        if not isinstance(child, str):
+            loose = None
+
+
+def _cells(row: Node, strays: list[Node | str]) -> Iterator[Node]:
+    for child in row.children:
+        if isinstance(child, Node) and child.tag in ("td", "th"):
+            yield child
+        elif isinstance(child, Node) and _holds_rows(child):
+            if visible(child):
+                yield from _cells(child, strays)
+        else:
+            strays.append(child)
+
+
+def _holds_rows(node: Node) -> bool:
+    """Whether an element between a table and its rows holds some, tables and captions inside it aside."""
+    waiting = [node]
+    while waiting:
+        at = waiting.pop()
+        if at.tag in ("table", "caption"):
+            continue
+        for c in at.children:
+            if isinstance(c, Node):
+                if c.tag in ROW_PARTS:
+                    return True
+                waiting.append(c)
+    return False
 
 
 def _span(cell: Node, name: str) -> int:
@@ -276,21 +327,19 @@ def _span(cell: Node, name: str) -> int:
 
 
 def _table(table: Node, out: Layout) -> None:
-    for child in table.children:  # captions and text outside of cells stand before the table
-        if isinstance(child, str):
-            out.text(child, False)
-        elif child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup", "col") and visible(child):
-            holder = Node("div", {})
-            holder.children = [child]
-            _render(holder, out, False, [])
+    strays: list[Node | str] = []  # captions and text outside of cells stand before the table
+    rows = list(_parts(table, strays))
+    holder = Node("div", {})
+    holder.children = strays
+    _render(holder, out, False, [])
     out.block(0)
     grid: list[list[tuple[list[str], int]]] = []
     waiting: dict[int, int] = {}  # columns that cells from rows above still fill
-    for row in _rows(table):
+    for row in rows:
         cells: list[tuple[list[str], int]] = []
         column = 0
         for cell in row.children:
-            if not isinstance(cell, Node) or not visible(cell):
+            if not visible(cell):
                 continue
             while waiting.get(column, 0) > 0:
                 waiting[column] -= 1
@@ -298,7 +347,7 @@ def _table(table: Node, out: Layout) -> None:
                 column += 1
             inner = Layout()
             holder = Node("div", {})
-            holder.children = [cell] if cell.tag not in ("td", "th") else cell.children
+            holder.children = cell.children
             _render(holder, inner, False, [])
             inner.end_line()
             out.items += inner.items

@@ -140,6 +140,29 @@ def test_html_keeps_visible_words(spark):
         assert strip(html_text.render(r["html"])[0]) == strip("".join(plain.out))
 
 
+@pytest.mark.parametrize(
+    ("page", "text", "rows"),
+    [
+        ("<table><tbody><form><tr><td>x</td></tr></form></table>", "x", 1),
+        ("<table><form>f<tr><td>x<td>y</tr>g</form></table>", "fg\nx  y", 1),
+        ("<table><tr><td>a</td>note<td>b</td></tr></table>", "note\na  b", 1),
+        ("<table><tr><form><td>q</td><td>r</td></form></tr></table>", "q  r", 1),
+        ("<table><tbody><form><td>q</td><td>r</td></form></table>", "q  r", 1),
+        ("<table><tbody>loose<div>block</div><tr><td>a</td></tr></tbody></table>", "loose\nblock\na", 1),
+        ("<table><custom-x><tr hidden><td>no</td></tr><tr><td>v</td></tr></custom-x></table>", "v", 1),
+        ("<table><tr><div>before<table><tr><td>in</td></tr></table></div><td>u</td></tr></table>", "before\n\nin\n\nu", 2),
+        ("<p>go <button>Send</button><select><option>one<option>two</select></p>", "go Send\none\ntwo", 0),
+        ("<svg><title>tip</title><desc>d</desc><defs/><text>label</text></svg> on", "label on", 0),
+        ("<desc>text of an unknown element</desc>", "text of an unknown element", 0),
+        ("<math><mi>x</mi><mo>=</mo><annotation>hid</annotation></math>", "x=", 0),
+        ("<b aria-hidden=true>seen</b><b hidden>not</b>", "seen", 0),
+    ],
+)
+def test_html_text_outside_of_cells_and_in_controls(page, text, rows):
+    got = html_text.render(page)
+    assert (got[0], got[3]) == (text, rows)
+
+
 def test_html_operator(spark):
     pages = spark.createDataFrame([(1, "<p>a", "x"), (1, "<p>a", "x"), (2, None, "x"), (3, "", "x")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["text"]) for r in html_text.extract_text(pages).collect()) == [(1, "a"), (1, "a"), (2, ""), (3, "")]
