@@ -9,12 +9,14 @@ label of a document stands for the labels of its lines.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,7 @@ FEATURES = (
     "bias", "upper words", "symbols", "exclamations", "lone symbols", "digits", "repeated neighbours",
     "distinct words", "repeated line", "ends a sentence", "short line", "word length", "trailing junk",
 )
+TRAINING_RUNS = 6  # parts of a longer document that its lines for training come from
 TRAINING_DOCUMENTS, TRAINING_LINES = 2000, 60  # bounds of the sample: documents, and lines of each
 
 
@@ -175,10 +178,26 @@ def fit(chains: list[tuple[np.ndarray, int]], rounds: int = 80, penalty: float =
     return Field(tuple(w.tolist()), tuple(map(tuple, moves.tolist())))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = TRAINING_DOCUMENTS) -> Field:
-    """Fit the field on at most ``most`` labelled documents (a seeded sample) and TRAINING_LINES lines of each.
+def spread(n: int, most: int, seed: int) -> list[tuple[int, int]]:
+    """Runs (begin, end) of ``most`` of n lines: all, or one run at a seeded place in each of equal parts."""
+    if n <= most:
+        return [(0, n)] if n else []
+    parts = max(1, min(TRAINING_RUNS, most))
+    rng, runs = random.Random(seed), []
+    for k in range(parts):
+        lo, hi = n * k // parts, n * (k + 1) // parts
+        size = min(most * (k + 1) // parts - most * k // parts, hi - lo)
+        at = lo + rng.randint(0, hi - lo - size)
+        runs.append((at, at + size))
+    return runs
 
-    Null labels are ignored; where a key has several the smallest counts.
+
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = TRAINING_DOCUMENTS, most_lines: int = TRAINING_LINES) -> Field:
+    """Fit the field on at most ``most`` labelled documents (a seeded sample) and ``most_lines`` lines of each.
+
+    Longer documents give runs of lines from all their parts (``spread``). Null
+    labels are ignored; where a key has several the smallest counts, and of rows
+    that repeat a key one.
     """
     chosen = (
         labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
@@ -193,17 +212,20 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             rows = []
             for value in batch.column(2).to_pylist():
                 lines, again = worded_lines((value or "").encode())
-                rows.append([v for (line, own), a in list(zip(lines, again, strict=True))[:TRAINING_LINES] for v in line_features(line, own, a)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))], names=["label_key", "label", "rows"])
+                told = list(zip(lines, again, strict=True))
+                runs = spread(len(told), most_lines, xxhash.xxh3_64_intdigest((value or "").encode()))
+                rows.append([[v for (line, own), a in told[lo:hi] for v in line_features(line, own, a)] for lo, hi in runs])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.list_(pa.float64())))], names=["label_key", "label", "rows"])
 
     schema = T.StructType(
-        [T.StructField("label_key", docs.schema[key].dataType), T.StructField("label", T.IntegerType()), T.StructField("rows", T.ArrayType(T.DoubleType()))]
+        [T.StructField("label_key", docs.schema[key].dataType), T.StructField("label", T.IntegerType()), T.StructField("rows", T.ArrayType(T.ArrayType(T.DoubleType())))]
     )
     # at most ``most`` rows of two numbers are broadcast
     rows = docs.select(F.col(key).alias("label_key"), F.col(text).alias("label_text")).join(F.broadcast(chosen), "label_key")
-    found = rows.select("label_key", "label", "label_text").mapInArrow(features, schema).collect()
-    found.sort(key=lambda r: (r["label_key"], len(r["rows"]), r["rows"][:40]))
-    return fit([(np.array(r["rows"]).reshape(-1, len(FEATURES)), int(r["label"] > 0)) for r in found[: 2 * most]])
+    told = rows.select("label_key", "label", "label_text").mapInArrow(features, schema)
+    found = told.groupBy("label_key").agg(F.min(F.struct("label", "rows")).alias("r")).select("label_key", "r.*").collect()
+    found.sort(key=lambda r: r["label_key"])
+    return fit([(np.array(run).reshape(-1, len(FEATURES)), int(r["label"] > 0)) for r in found for run in r["rows"] or [[]]])
 
 
 COLUMNS = (

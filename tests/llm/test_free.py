@@ -87,6 +87,21 @@ def test_held_out_labels(spark):
     assert right >= 0.97 * len(rows) and len(rows) > 100
 
 
+def test_training_lines_come_from_the_whole_document(spark, monkeypatch):
+    for n, most in ((0, 60), (60, 60), (61, 60), (1000, 60), (1000, 4), (50, 60)):
+        lines = [x for lo, hi in quality.spread(n, most, 5) for x in range(lo, hi)]
+        assert len(lines) == len(set(lines)) == min(n, most) and lines == sorted(lines) and all(0 <= x < n for x in lines)
+        assert n <= most or all(any(n * k // p <= x < n * (k + 1) // p for x in lines) for p in [min(6, most)] for k in range(p))
+    chains = []
+    monkeypatch.setattr(quality, "fit", chains.append)
+    # rows that repeat a key, and boilerplate at the foot
+    texts = [(k, "\n".join([f"line {j} of many words." for j in range(120)] + ["# $ %"] * 24)) for k in (1, 1, 1, 2)]
+    docs, labels = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    quality.train(docs, labels, most=2, most_lines=30)
+    assert [y for _, y in chains[0]] == [1] * 6 + [0] * 6 and sum(len(x) for x, _ in chains[0]) == 60
+    assert all(c[0][-1, quality.FEATURES.index("symbols")] > 0 for c in chains[0][5::6])
+
+
 def test_quality_odd_rows(spark, odd_documents, no_documents):
     rows = quality.judge(odd_documents, quality.UNTRAINED).collect()
     assert len(rows) == 8 and not any(r["kept"] for r in rows)
