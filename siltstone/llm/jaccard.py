@@ -3,17 +3,26 @@
 A document's set is its distinct shingles, hashed to 64 bits. Two documents can
 only reach the threshold if the prefixes of their sets share a shingle, in any
 global order of shingles; the order here puts frequent shingles last, so that
-passages which many documents share don't bring them together. Candidates are
-verified by prefix-tree joins: the sets of a leader's candidates form a trie in
-the global order, the traversal shares the overlaps of common paths and leaves a
-subtree when the remaining lengths cannot reach the threshold.
-
-Only components are asked for, so links inside what is already one component
-need not be found again. A first round verifies every document against a few
-leaders of groups that share an early prefix shingle; the last round takes every
-remaining pair of different components that shares a prefix shingle. No pair
-that reaches the threshold is lost, whatever the first round finds; it keeps a
-group of many near copies from being linked pair by pair.
+passages which many documents share don't bring them together. Prefixes hold
+more than one shingle of a similar pair, so a pair must also share so many of
+them (``least_shared``) before its texts are read.
+
+Candidates are verified in units of bounded size by a prefix-tree join: one side
+of a unit is a trie of sets in the global order, which is walked once for all
+sets of the other side; common paths share their overlaps, and a subtree is left
+when the remaining lengths cannot reach the threshold with any of them.
+
+Shingles of few documents (groups of HEAVY at most) are dealt to buckets in packed
+form. Frequent ones are rows: their groups are only aggregated and joined by
+Spark, and cut in blocks, so no task holds a whole group.
+
+Components need no link inside of what is already one component. A first round
+verifies each document against the leader of every group that it is in, the one
+with the smallest share of rare shingles, which is nearest to what a group of
+near copies has in common. The last round takes what the first one left apart:
+pairs of small groups, and pairs of blocks of large ones, where a unit returns
+a spanning forest of its links only. ``jaccard_links`` runs the last round alone
+and returns every link between different texts.
 """
 
 from __future__ import annotations
@@ -27,15 +36,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import input_bytes, stage_table
+from ..session import drop_table, input_bytes, stage_table
 from . import packed
 
 SHINGLE, PERCENT = 5, 80
 HEAVY, MOST_HEAVY = 32, 1 << 20  # documents that make a shingle frequent; how many of these the order knows at most
 TOKEN_BITS = 48
-# Rounds: which factors of the leaders' ranks (none: every pair), and how many shingles of each prefix (none: all).
-ROUNDS = ((slice(0, 8), 8), (None, None))
-BLOCK = 256  # candidates in one trie
+LEADER_BLOCK, GROUP_BLOCK = 256, 512  # members of a leader, and documents of a large group, in one unit
+STEP = 64  # shingles of a path between two nodes
+HELD = 1 << 25  # bytes of a unit's table of shingles by sets
 FILTER_WORDS = 1 << 18  # 64-bit words of the filter of wanted documents: 2 MB
 
 
@@ -58,27 +67,23 @@ def least_overlap(total: int, percent: int) -> int:
 
 
 class Plan:
-    """Sizes that follow the input: bits of a counted shingle and numbers of buckets."""
+    """Sizes that follow the input: bits of a counted shingle, and buckets of about 8 MB of text in a bounded number of partitions."""
 
     def __init__(self, docs: DataFrame):
         size = max(1, input_bytes(docs))
         self.bits = min(56, max(30, math.ceil(math.log2(size)) + 6))
         self.buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // (8 << 20))
+        self.partitions = min(self.buckets, packed.MOST_PARTITIONS)
 
 
-def _bucketed(df: DataFrame, plan: Plan, fn, schema: str) -> DataFrame:
-    """Rows of one bucket together and in order, then ``fn`` over them."""
-    return df.repartition(plan.buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(fn, schema)
-
-
-def frequent_shingles(docs: DataFrame, plan: Plan) -> np.ndarray:
-    """Counted shingles (upper bits) of at least HEAVY documents: all, or the most frequent ones up to MOST_HEAVY.
+def frequent_shingles(docs: DataFrame, plan: Plan) -> tuple[np.ndarray, bool]:
+    """Counted shingles (upper bits) of at least HEAVY documents: all, or the most frequent ones up to MOST_HEAVY; and whether these are all.
 
     Every shingle of every document is counted. The result is bounded, so it may
     be gathered and broadcast; leaving some out changes only how many candidates
     there are, not the links.
     """
-    bits, buckets = plan.bits, plan.buckets
+    bits, partitions = plan.bits, plan.partitions
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = packed.WordHasher()
@@ -86,7 +91,7 @@ def frequent_shingles(docs: DataFrame, plan: Plan) -> np.ndarray:
         texts = ((shingles(t, hasher)[0] >> down,) for b in batches for t in b.column(0).to_pylist())
         for part in packed.flushed(texts, lambda r: len(r[0]), 4 << 20):
             values, counts = np.unique(np.concatenate([r[0] for r in part]), return_counts=True)
-            rows = [(b, packed.pack(values[lo:hi], True), packed.pack(counts[lo:hi])) for b, lo, hi in packed.by_bucket(values, bits, buckets)]
+            rows = [(b, packed.pack(values[lo:hi], True), packed.pack(counts[lo:hi])) for b, lo, hi in packed.by_bucket(values, bits, partitions)]
             if rows:
                 yield _batch(rows, ("bucket", pa.int64()), ("vals", pa.binary()), ("cnts", pa.binary()))
 
@@ -99,31 +104,52 @@ def frequent_shingles(docs: DataFrame, plan: Plan) -> np.ndarray:
             first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
             sums = np.add.reduceat(counts, first)
             often = sums >= HEAVY
-            values, levels = values[first][often], np.log2(sums[often].astype(float)).astype(np.int64) * 4
+            values, levels = values[first][often], (np.log2(sums[often].astype(float)) * 4).astype(np.int64)
             out = [(int(k), int((levels == k).sum()), packed.pack(values[levels == k], True)) for k in np.unique(levels)]
             if out:
                 yield _batch(out, ("level", pa.int64()), ("n", pa.int64()), ("vals", pa.binary()))
 
     counted = docs.select("text").mapInArrow(count, "bucket long, vals binary, cnts binary")
-    heavy = stage_table(_bucketed(counted, plan, add, "level long, n long, vals binary"))
-    least, total = None, 0
+    heavy = stage_table(packed.by_range(counted, bits, partitions, plan.buckets, add, "level long, n long, vals binary"))
+    least, total, whole = None, 0, True
     for level, n in sorted(((r["level"], r["n"]) for r in heavy.groupBy("level").agg(F.sum("n").alias("n")).collect()), reverse=True):
         total += n
         if total > MOST_HEAVY:
+            whole = False
             break
         least = level
     if least is None:
-        return np.zeros(0, np.uint64)
-    return np.sort(np.concatenate([packed.unpack(r["vals"], True) for r in heavy.where(F.col("level") >= least).select("vals").collect()]))
+        return np.zeros(0, np.uint64), whole
+    known = heavy.where(F.col("level") >= least).select("vals").collect()
+    drop_table(heavy)
+    return np.sort(np.concatenate([packed.unpack(r["vals"], True) for r in known])), whole
 
 
 def _batch(rows: list[tuple], *columns: tuple[str, pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), columns, strict=True)], names=[n for n, _ in columns])
 
 
+def in_order(own: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
+    """A set in the global order: as numbers whose upper bit marks the frequent shingles."""
+    upper = own >> np.uint64(64 - bits)
+    often = np.zeros(len(own), bool)
+    if len(frequent):
+        often = frequent[np.minimum(np.searchsorted(frequent, upper), len(frequent) - 1)] == upper
+    return np.sort((own >> np.uint64(1)) | (often.astype(np.uint64) << np.uint64(63)))
+
+
+def digest(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def describe(docs: DataFrame, heavy, plan: Plan, percent: int) -> DataFrame:
-    """doc, sig (hash of the word sequence), n (set size) and prefix (packed, in the global order) of every document."""
-    bits = plan.bits
+    """doc, sig (digest of the word sequence), n (set size), share (of rare shingles, of 255), and the prefix in the global order.
+
+    prefix: its rare shingles, packed; often: its frequent ones. Shingles are
+    mixed to TOKEN_BITS here, so that prefixes, which start with the smallest
+    numbers, spread over all buckets.
+    """
+    bits, down = plan.bits, np.uint64(64 - TOKEN_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, frequent = packed.WordHasher(), heavy.value
@@ -131,160 +157,295 @@ def describe(docs: DataFrame, heavy, plan: Plan, percent: int) -> DataFrame:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own, words = shingles(text, hasher)
-                n = len(own)
-                prefix = b""
+                n, share, prefix, often = len(own), 0, b"", []
                 if n:
-                    upper = own >> np.uint64(64 - bits)
-                    place = np.searchsorted(frequent, upper)
-                    often = np.zeros(n, bool) if not len(frequent) else frequent[np.minimum(place, len(frequent) - 1)] == upper
-                    ordered = np.concatenate((own[~often], own[often]))[: prefix_length(n, percent)]
-                    prefix = packed.pack(ordered >> np.uint64(64 - TOKEN_BITS))
-                sig = xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
-                rows.append((doc, sig, n, prefix))
+                    ordered = in_order(own, frequent, bits)
+                    rare = int(np.searchsorted(ordered, np.uint64(1 << 63)))
+                    share = 255 * rare // n
+                    tokens = packed.mixed(ordered[: prefix_length(n, percent)]) >> down
+                    prefix, often = packed.pack(tokens[:rare]), tokens[rare:].tolist()
+                rows.append((doc, digest(words), n, share, prefix, often))
                 if len(rows) >= 512:
                     yield _batch(rows, *columns)
                     rows = []
             if rows:
                 yield _batch(rows, *columns)
 
-    columns = (("doc", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("prefix", pa.binary()))
-    return docs.select("doc", "text").mapInArrow(run, "doc long, sig long, n long, prefix binary")
+    columns = (("doc", pa.int64()), ("sig", pa.binary()), ("n", pa.int32()), ("share", pa.int32()), ("prefix", pa.binary()), ("often", pa.list_(pa.int64())))
+    return docs.select("doc", "text").mapInArrow(run, "doc long, sig binary, n int, share int, prefix binary, often array<bigint>")
+
+
+PAIRS = "kind int, a long, b long, na int, nb int, c int, fit int, h int"
+
+
+def _pairs_batch(kind: int, *columns: np.ndarray) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), *[pa.int32()] * 5)
+    arrays = [pa.array(np.asarray(c).astype(t.to_pandas_dtype()), t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind), pa.int32()), *arrays], names=["kind", "a", "b", "na", "nb", "c", "fit", "h"])
+
+
+def _fits(na, nb, ia, ib, percent: int):
+    """Length filter, and position filter: what is left after the shared shingle must reach the least overlap. Arrays or columns."""
+    least = np.minimum if isinstance(na, np.ndarray) else F.least
+    need = least_overlap(na + nb, percent) if isinstance(na, np.ndarray) else F.ceil(percent * (na + nb) / (100 + percent))
+    return (na * 100 >= nb * percent) & (nb * 100 >= na * percent) & (least(na - ia, nb - ib) >= need)
 
 
-def candidate_pairs(classes: DataFrame, plan: Plan, percent: int, leaders: slice | None, early: int | None) -> DataFrame:
-    """Pairs (a, b, size), a < b, of documents in different components that share a prefix shingle.
+def _counted(a, b, na, nb, fit, h) -> Iterator[pa.RecordBatch]:
+    """Rows of pairs, with how often each occurs."""
+    if not len(a):
+        return
+    swap = a > b
+    a, b, na, nb = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    begin = np.flatnonzero((np.diff(a, prepend=~a[:1]) != 0) | (np.diff(b, prepend=~b[:1]) != 0))
+    at = order[begin]
+    yield _pairs_batch(0, a[begin], b[begin], na[at], nb[at], np.diff(begin, append=len(a)), np.maximum.reduceat(fit[order], begin), h[at])
 
-    classes: doc, n, prefix, comp. leaders: only pairs with one of a group's
-    leaders, by these rankings; early: only the first shingles of each prefix.
-    size: documents that share the shingle.
+
+def rare_groups(classes: DataFrame, plan: Plan, percent: int) -> DataFrame:
+    """Of every rare prefix shingle that more than one class has: kind 0, the pairs with its leader; kind 1, all its classes.
+
+    classes: cid, n, share, h, prefix. Kind 1 has the shingle in a, the class in
+    b, its size in na, the place in its set in nb, and h.
     """
-    buckets = plan.buckets
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def documents():
             for b in batches:
-                for doc, n, prefix, comp in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                    tokens = packed.unpack(prefix)
-                    yield doc, n, tokens[:early], comp
+                for *own, prefix in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    yield own, packed.unpack(prefix)
 
-        for part in packed.flushed(documents(), lambda r: len(r[2]), 1 << 20):
-            sizes = [len(r[2]) for r in part]
-            tokens = np.concatenate([r[2] for r in part])
+        for part in packed.flushed(documents(), lambda r: len(r[1]), 1 << 20):
+            sizes = [len(r[1]) for r in part]
+            tokens = np.concatenate([r[1] for r in part])
             order = np.argsort(tokens, kind="stable")
             tokens = tokens[order]
-            spread = [np.repeat(np.array([r[k] for r in part], np.int64), sizes)[order].view(np.uint64) for k in (0, 1, 3)]
+            spread = [np.repeat(np.array([r[0][k] for r in part], np.int64), sizes)[order].view(np.uint64) for k in range(4)]
             places = np.concatenate([np.arange(s, dtype=np.uint64) for s in sizes])[order]
             rows = [
                 (b, packed.pack(tokens[lo:hi], True), *(packed.pack(x[lo:hi]) for x in (*spread, places)))
-                for b, lo, hi in packed.by_bucket(tokens, TOKEN_BITS, buckets)
+                for b, lo, hi in packed.by_bucket(tokens, TOKEN_BITS, plan.partitions)
             ]
             if rows:
-                yield _batch(rows, ("bucket", pa.int64()), *((c, pa.binary()) for c in ("tok", "doc", "n", "comp", "at")))
+                yield _batch(rows, ("bucket", pa.int64()), *((c, pa.binary()) for c in ("tok", "cid", "n", "share", "h", "at")))
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in packed.groups(batches):
-            tokens = np.concatenate([packed.unpack(r[1], True) for r in rows])
-            doc, n, comp, at = (np.concatenate([packed.unpack(r[k]) for r in rows]).view(np.int64) for k in (2, 3, 4, 5))
-            seen: set[bytes] = set()
-            for a, b, size in _pairs(tokens, doc, n, comp, at, percent, leaders):
-                # the same pair often shares several shingles of a bucket
-                ends = np.stack((np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])), 1)
-                ends, where = np.unique(ends, axis=0, return_index=True)
-                size = size[where]
-                if len(seen) < 1_000_000:
-                    raw = [e.tobytes() for e in ends]
-                    fresh = np.array([r not in seen for r in raw], bool)
-                    seen.update(raw)
-                    ends, size = ends[fresh], size[fresh]
-                if len(ends):
-                    yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0]), pa.array(ends[:, 1]), pa.array(size)], names=["a", "b", "size"])
-
-    dealt = classes.select("doc", "n", "prefix", "comp").mapInArrow(deal, "bucket long, tok binary, doc binary, n binary, comp binary, at binary")
-    pairs = _bucketed(dealt, plan, pair, "a long, b long, size long")
-    return pairs.groupBy("a", "b").agg(F.max("size").alias("size"))
-
-
-def _fits(a: np.ndarray, b: np.ndarray, n: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
-    """Length filter, and position filter: what is left after the shared shingle must reach the least overlap."""
-    na, nb = n[a], n[b]
-    close = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent
-    need = -(-percent * (na + nb) // (100 + percent))
-    return close & (np.minimum(na - at[a], nb - at[b]) >= need)
-
-
-def _pairs(tokens, doc, n, comp, at, percent: int, leaders: slice | None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs of row numbers with the size of their group, in blocks of bounded size."""
-    order = np.lexsort((n, tokens))
-    tokens = tokens[order]
-    begin = np.flatnonzero(np.diff(tokens, prepend=~tokens[:1]))
-    end = np.append(begin[1:], len(tokens))
-    ordered_comp = comp[order]
-    apart = np.minimum.reduceat(ordered_comp, begin) != np.maximum.reduceat(ordered_comp, begin)
-    begin, end = begin[apart], end[apart]
-    small = end - begin == 2
-    if small.any():
-        a, b = order[begin[small]], order[begin[small] + 1]
-        ok = _fits(a, b, n, at, percent)
-        yield a[ok], b[ok], np.full(int(ok.sum()), 2, np.int64)
-    for lo, hi in zip(begin[~small].tolist(), end[~small].tolist(), strict=True):
-        rows, m = order[lo:hi], hi - lo
-        if leaders is not None:
-            for factor in packed.FACTORS[leaders][: m - 1]:
-                rank = packed.mixed(doc[rows].view(np.uint64) ^ factor)
-                lead = rows[int(np.argmin(rank))]
-                others = rows[comp[rows] != comp[lead]]
-                a = np.full(len(others), lead)
-                ok = _fits(a, others, n, at, percent)
-                yield a[ok], others[ok], np.full(int(ok.sum()), m, np.int64)
-            continue
-        own = n[rows]
-        # rows are in order of length: a row's partners end where lengths grow too far apart
-        reach = np.searchsorted(own * percent, own * 100, side="right")
-        for i in range(m - 1):
-            for j in range(i + 1, int(reach[i]), 1 << 16):
-                b = rows[j : min(int(reach[i]), j + (1 << 16))]
-                b = b[comp[b] != comp[rows[i]]]
-                a = np.full(len(b), rows[i])
-                ok = _fits(a, b, n, at, percent)
-                if ok.any():
-                    yield a[ok], b[ok], np.full(int(ok.sum()), m, np.int64)
-
-
-def trie_join(leader: np.ndarray, members: list[tuple[int, np.ndarray]], percent: int) -> list[int]:
-    """Members whose sets reach the threshold with the leader's; all sets sorted in the same order.
+            tok = np.concatenate([packed.unpack(r[1], True) for r in rows]).view(np.int64)
+            cid, n, share, h, at = (np.concatenate([packed.unpack(r[k]) for r in rows]).view(np.int64) for k in range(2, 7))
+            order = np.argsort(tok, kind="stable")
+            same = np.diff(tok[order]) == 0
+            order = order[np.append(same, False) | np.append(False, same)]
+            if not len(order):
+                continue
+            tok, cid, n, share, h, at = (x[order] for x in (tok, cid, n, share, h, at))
+            yield _pairs_batch(1, tok, cid, n, at, h, np.zeros(len(tok)), h)
+            order = np.lexsort((cid, share, tok))
+            begin = np.flatnonzero(np.diff(tok[order], prepend=~tok[order[:1]]))
+            lead = np.repeat(order[begin], np.diff(begin, append=len(order)))
+            lead, order = lead[cid[lead] != cid[order]], order[cid[lead] != cid[order]]
+            fit = _fits(n[lead], n[order], at[lead], at[order], percent).astype(np.int64)
+            yield from _counted(cid[lead], cid[order], n[lead], n[order], fit, h[order])
+
+    own = classes.select("cid", "n", "share", "h", "prefix").where("octet_length(prefix) > 0")
+    dealt = own.mapInArrow(deal, "bucket long, tok binary, cid binary, n binary, share binary, h binary, at binary")
+    return packed.by_range(dealt, TOKEN_BITS, plan.partitions, plan.buckets, group, PAIRS)
+
+
+def frequent_groups(classes: DataFrame) -> DataFrame:
+    """tok, cid, n, share, h, at of every frequent prefix shingle of every class."""
+    exploded = classes.where("h > 0").select("cid", "n", "share", "h", "n_rare", F.posexplode("often").alias("place", "tok"))
+    return exploded.select("tok", "cid", "n", "share", "h", (F.col("n_rare") + F.col("place")).alias("at"))
+
+
+def frequent_leaders(often: DataFrame, percent: int) -> DataFrame:
+    """The pairs of every class with the leaders of its frequent shingles."""
+    lead = often.groupBy("tok").agg(F.min(F.struct("share", "cid", "n", "at")).alias("l"), F.count("*").alias("m")).where("m > 1")
+    pairs = often.join(lead, "tok").where("cid <> l.cid")
+    fit = _fits(F.col("n"), F.col("l.n"), F.col("at"), F.col("l.at"), percent).cast("int")
+    swap = F.col("cid") > F.col("l.cid")
+    own, other = F.struct("cid", "n"), F.struct(F.col("l.cid").alias("cid"), F.col("l.n").alias("n"))
+    ends = pairs.select(F.when(swap, other).otherwise(own).alias("x"), F.when(swap, own).otherwise(other).alias("y"), fit.alias("fit"))
+    return ends.select(F.lit(0).alias("kind"), F.col("x.cid").alias("a"), F.col("y.cid").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"), F.lit(1).alias("c"), "fit", F.lit(0).alias("h"))
+
+
+def with_partners(often: DataFrame, percent: int) -> DataFrame:
+    """The rows of a large group that may have a partner there, by the length and position filters.
+
+    often: tok, cid, n, at, comp. Rows are compared with what groups have in
+    bands of length: the most that is left after the shingle, the shortest set,
+    and the components. A partner is at most two bands away.
+    """
+    band = F.floor(F.log("n") / math.log(100 / percent) * 1.96).alias("band")
+    rows = often.select("tok", "cid", "n", "share", (F.col("n") - F.col("at")).alias("left"), "comp", band)
+    told = rows.groupBy("tok", "band").agg(F.max("left").alias("left"), F.min("n").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
+    near = told.select("tok", F.explode(F.sequence(F.col("band") - 2, F.col("band") + 2)).alias("band"), F.struct("left", "n", "x", "y").alias("s"))
+    near = near.groupBy("tok", "band").agg(F.collect_list("s").alias("near"))
+
+    def fits(s: Column) -> Column:
+        shortest = F.greatest(s["n"], F.ceil(percent * F.col("n") / 100))
+        need = F.ceil(percent * (F.col("n") + shortest) / (100 + percent))
+        return ((s["x"] != F.col("comp")) | (s["y"] != F.col("comp"))) & (F.least("left", s["left"]) >= need)
+
+    return rows.join(near, ["tok", "band"]).where(F.exists("near", fits)).select("tok", "cid", "share")
+
+
+def merged_groups(rows: DataFrame) -> DataFrame:
+    """(grp, cid): the groups tok of the rows, those with the same leader as one.
+
+    Groups of what many near copies have in common hold about the same classes,
+    and mostly the same leader, so each class is verified in few groups instead
+    of one for each shingle. Any pair of one group stays in one.
+    """
+    lead = rows.groupBy("tok").agg(F.min(F.struct("share", "cid"))["cid"].alias("grp"))
+    return rows.join(lead, "tok").select("grp", "cid").distinct()
+
+
+def least_shared(na: Column, nb: Column, percent: int) -> Column:
+    """Prefix shingles that a similar pair must share: beyond the prefix that ends first, there are too few left for the overlap."""
+    need = F.ceil(percent * (na + nb) / (100 + percent))
+    rest = lambda n: F.ceil(percent * n / 100) - 1
+    return need - F.greatest(rest(na), rest(nb))
+
+
+def candidates(found: DataFrame, percent: int, unseen: Column) -> DataFrame:
+    """(a, b) of the pairs that may reach the threshold. unseen: prefix shingles that a pair may share beside the counted ones."""
+    pairs = found.where("kind = 0").groupBy("a", "b").agg(F.sum("c").alias("c"), F.max("fit").alias("fit"), *(F.max(x).alias(x) for x in ("na", "nb", "h")))
+    return pairs.where((F.col("fit") > 0) & (F.col("c") + unseen >= least_shared(F.col("na"), F.col("nb"), percent))).select("a", "b")
+
+
+def rare_pairs(live: DataFrame, plan: Plan, percent: int) -> DataFrame:
+    """Kind 0: pairs of different components in groups of HEAVY classes at most; kind 1: the classes of larger groups.
+
+    live: tok, cid, n, at, h, comp. Kind 1 has the shingle in a, the class in b, and the group's size in c.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def joined(last: bool) -> Iterator[pa.RecordBatch]:
+            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+            tok = columns[0]
+            cut = len(tok) if last else int(np.searchsorted(tok, tok[-1]))  # the last group may go on
+            held[:] = [[c[cut:] for c in columns]]
+            tok, cid, n, at, h, comp = (c[:cut] for c in columns)
+            if not cut:
+                return
+            begin = np.flatnonzero(np.diff(tok, prepend=~tok[:1]))
+            size = np.diff(begin, append=cut)
+            apart = np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin)
+            large = np.flatnonzero(np.repeat(apart & (size > HEAVY), size))
+            if len(large):
+                yield _pairs_batch(1, tok[large], cid[large], n[large], at[large], np.repeat(size, size)[large], np.zeros(len(large)), h[large])
+            rows = np.flatnonzero(np.repeat(apart & (size <= HEAVY), size))
+            tok, cid, n, at, h, comp = (x[rows] for x in (tok, cid, n, at, h, comp))
+            ends = []
+            for by in range(1, HEAVY):  # rows of a group stand together: pairs at every distance
+                a = np.flatnonzero((tok[by:] == tok[:-by]) & (comp[by:] != comp[:-by]))
+                if len(tok) <= by or not (tok[by:] == tok[:-by]).any():
+                    break
+                ends.append((a, a + by))
+            if ends:
+                a, b = (np.concatenate(x) for x in zip(*ends, strict=True))
+                fit = _fits(n[a], n[b], at[a], at[b], percent).astype(np.int64)
+                yield from _counted(cid[a], cid[b], n[a], n[b], fit, np.minimum(h[a], h[b]))
+
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns[1:]])
+            if sum(len(x[0]) for x in held) >= 1 << 18:
+                yield from joined(False)
+        if held:
+            yield from joined(True)
+
+    bucket = F.shiftright(F.col("tok") * plan.partitions, TOKEN_BITS).alias("bucket")
+    rows = live.select(bucket, "tok", "cid", *(F.col(c).cast("bigint") for c in ("n", "at", "h")), "comp")
+    return packed.dealt(rows, plan.partitions).sortWithinPartitions("tok").mapInArrow(run, PAIRS)
+
+
+def trie_join(probes: list[np.ndarray], members: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(m, ps): member m reaches the threshold with the probes ps. All sets sorted in the same order, none empty.
 
     The members in lexicographic order are the leaves of a trie in the order of
-    a traversal; ``path[d]`` is the overlap of the leader with the first d
-    shingles of the current path. A member takes over the part of the path that
-    it shares with the one before.
+    a traversal; ``grown`` holds the overlaps of all probes with the beginnings of
+    the current path. A member takes over the part of the path that it shares
+    with the one before. Where no probe can reach the threshold with
+    the longest set below a node, the whole subtree is left.
     """
-    found = []
-    path, before, done = np.zeros(1, np.int64), np.zeros(0, np.uint64), 0
-    size = len(leader)
-    for doc, own in sorted(members, key=lambda m: m[1].astype(">u8").tobytes()):
-        n = len(own)
-        need = least_overlap(size + n, percent)
-        m = min(n, len(before))
-        differ = np.flatnonzero(own[:m] != before[:m])
-        shared = int(differ[0]) if len(differ) else m
-        depth = min(shared, done)  # the part of the path that has been walked
-        grown = np.zeros(n + 1, np.int64)
-        grown[: depth + 1] = path[: depth + 1]
-        overlap = int(grown[depth])
+    vocabulary, inverse = np.unique(np.concatenate(probes), return_inverse=True)
+    sizes = np.array([len(p) for p in probes], np.int64)
+    held = np.zeros((len(vocabulary) + 1, len(probes)), np.uint8)  # the last row: shingles that no probe has
+    held[inverse, np.repeat(np.arange(len(probes)), sizes)] = 1
+    order = sorted(range(len(members)), key=lambda m: members[m].astype(">u8").tobytes())
+    lengths = np.array([len(members[m]) for m in order])
+    shared = np.zeros(len(order) + 1, np.int64)  # with the member before
+    for k in range(1, len(order)):
+        a, b = members[order[k - 1]], members[order[k]]
+        same = a[: len(b)] == b[: len(a)]
+        shared[k] = len(same) if same.all() else int(np.argmin(same))
+    # overlaps at every STEP-th node of the path; a path that leaves the one before inside of a step takes the step anew
+    grown = np.zeros((int(lengths.max(initial=0)) // STEP + 2, len(probes)), np.int32)
+    k, done = 0, 0
+    while k < len(order):
+        own = members[order[k]]
+        at = np.searchsorted(vocabulary, own)
+        rows = np.where(vocabulary[np.minimum(at, len(vocabulary) - 1)] == own, at, len(vocabulary))
+        n, step = len(own), min(int(shared[k]), done) // STEP
+        depth, following = step * STEP, k + 1
         while depth < n:
-            passed = int(np.searchsorted(leader, own[depth]))
-            if overlap + min(n - depth, size - passed) < need:
-                break  # no path from here is long enough
-            step = own[depth : depth + 64]
-            at = np.searchsorted(leader, step)
-            hit = leader[np.minimum(at, size - 1)] == step
-            grown[depth + 1 : depth + 1 + len(step)] = overlap + np.cumsum(hit)
-            depth += len(step)
-            overlap = int(grown[depth])
-        if depth == n and overlap >= need:
-            found.append(doc)
-        path, before, done = grown, own, depth
-    return found
+            part = rows[depth : depth + STEP]
+            step += 1
+            depth += len(part)
+            np.add(grown[step - 1], held[part].sum(axis=0, dtype=np.int32), out=grown[step])
+            if (grown[step] + (n - depth) >= least_overlap(sizes + n, percent)).any():
+                continue
+            end = k + 1  # of the subtree below this node
+            while end < len(order) and shared[end] >= depth:
+                end += 1
+            longest = int(lengths[k:end].max())
+            if not (grown[step] + (longest - depth) >= least_overlap(sizes + longest, percent)).any():
+                following = end
+            break
+        if depth == n:
+            hits = np.flatnonzero(grown[step] >= least_overlap(sizes + n, percent))
+            if len(hits):
+                yield order[k], hits
+        # the path stays valid for the next member as far as it is shared with all between
+        done = depth if following == k + 1 else min(depth, int(shared[k + 1 : following + 1].min()))
+        k = following
+
+
+def unit_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], roles: np.ndarray, percent: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links between classes of different components in a unit: of role 0 with role 1, or of role 2 with each other.
+
+    forest: only as many as connect what they connect, one less than classes at most.
+    """
+    left, right = np.flatnonzero(roles != 1), np.flatnonzero(roles != 0)
+    found: list[tuple[int, int]] = []
+    _, label = np.unique(comps, return_inverse=True)
+    room = 1
+    begin = 0
+    while begin < len(left):
+        words, end = 0, begin
+        while end < len(left) and (end == begin or (words + len(sets[left[end]])) * (end - begin + 1) <= HELD):
+            words += len(sets[left[end]])
+            end += 1
+        probes = left[begin:end]
+        for m, hits in trie_join([sets[p] for p in probes], [sets[m] for m in right], percent):
+            y = right[m]
+            xs = probes[hits]
+            xs = xs[label[xs] != label[y]]
+            if not forest:
+                found += [(x, y) for x in xs.tolist() if ids[x] < ids[y] or roles[x] == 0]
+                continue
+            while len(xs):
+                found.append((int(xs[0]), int(y)))
+                label[label == label[xs[0]]] = label[y]
+                xs = xs[label[xs] != label[y]]
+        begin = end
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return ids[pairs[:, 0]], ids[pairs[:, 1]]
 
 
 def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -295,42 +456,53 @@ def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("doc", "text", word, bit).join(F.broadcast(table), "word").where("shiftright(bits, bit) & 1L = 1L").select("doc", "text")
 
 
-def verify(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose documents reach the threshold. pairs: a, b, size, staged."""
-    salt = F.pmod(F.xxhash64("b"), F.ceil(F.col("size") / BLOCK)).cast("int").alias("salt")
-    dealt = pairs.select("a", "b", salt)
-    asked = dealt.select(F.col("b").alias("doc"), "a", "salt", F.lit(1).alias("role")).unionByName(
-        dealt.select(F.col("a").alias("doc"), "a", "salt", F.lit(0).alias("role")).distinct()
-    )
+def leader_units(pairs: DataFrame) -> DataFrame:
+    """Units of pairs (a, b): the members of every a, in parts of about LEADER_BLOCK."""
+    sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
+    part = sized.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / LEADER_BLOCK)).cast("int").alias("u1"))
+    leaders = part.select("a", "u1").distinct().select(F.col("a").alias("u0"), "u1", F.lit(-1).alias("u2"), F.lit(0).alias("role"), F.col("a").alias("cid"))
+    return leaders.unionByName(part.select(F.col("a").alias("u0"), "u1", F.lit(-1).alias("u2"), F.lit(1).alias("role"), F.col("b").alias("cid")))
+
+
+def block_units(members: DataFrame) -> DataFrame:
+    """Units of large groups (grp, cid, m): every pair of blocks of about GROUP_BLOCK classes, and every block with itself."""
+    blocks = F.ceil(F.col("m") / GROUP_BLOCK).cast("int")
+    rows = members.select("grp", "cid", blocks.alias("k"), F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("own"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    role = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
+    return rows.select(F.col("grp").alias("u0"), F.least("own", "other").alias("u1"), F.greatest("own", "other").alias("u2"), role.alias("role"), "cid")
+
+
+def verify(docs: DataFrame, units: DataFrame, classes: DataFrame, heavy, plan: Plan, percent: int, forest: bool = True) -> DataFrame:
+    """Links (a, b) of the units. units: u0, u1, u2, role, cid; classes: cid, doc, sig, comp."""
+    asked = units.join(classes.select("cid", "doc", "sig", "comp"), "cid")
     texts = _wanted(docs, asked.select("doc"))
-    rows = texts.join(asked, "doc").select("a", "salt", "role", "doc", "text")
+    rows = texts.join(asked, "doc").select("u0", "u1", "u2", "role", "cid", "comp", "sig", "text")
+    bits = plan.bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = packed.WordHasher()
-        key, leader, members = None, None, {}
+        hasher, frequent = packed.WordHasher(), heavy.value
+        key, unit = None, {}
 
-        def joined():
-            found = trie_join(leader, list(members.items()), percent) if leader is not None and len(leader) else []
-            return pa.RecordBatch.from_arrays([pa.array([key[0]] * len(found), pa.int64()), pa.array(found, pa.int64())], names=["a", "b"])
+        def linked() -> Iterator[pa.RecordBatch]:
+            comps = np.array([x[1] for x in unit.values()], np.int64)
+            if len(unit) > 1 and (comps != comps[0]).any():
+                ids, roles = np.array(list(unit), np.int64), np.array([x[0] for x in unit.values()])
+                a, b = unit_links(ids, comps, [x[2] for x in unit.values()], roles, percent, forest)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:2] != key:
-                    if members:
-                        yield joined()
-                    key, leader, members = row[:2], None, {}
-                own = shingles(row[4], hasher)[0]
-                if row[2] == 0:
-                    leader = own
-                else:
-                    members[row[3]] = own
-                    if len(members) >= BLOCK:
-                        yield joined()
-                        members = {}
-        if members:
-            yield joined()
-
-    return rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(run, "a long, b long")
+            for u0, u1, u2, role, cid, comp, sig, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (u0, u1, u2) != key:
+                    yield from linked()
+                    key, unit = (u0, u1, u2), {}
+                own, words = shingles(text, hasher)
+                if digest(words) == sig:  # else another text of the same key
+                    unit[cid] = role, comp, in_order(own, frequent, bits)
+        yield from linked()
+
+    unit = ("u0", "u1", "u2")
+    return rows.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -356,6 +528,82 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots)
 
 
+class Classes:
+    """Different word sequences of a table, their groups, and the links between them.
+
+    table: cid, sig, doc (the smallest key), n, share, h, n_rare, prefix, often; told: doc, sig, n of every row.
+    """
+
+    def __init__(self, docs: DataFrame, key: str, text: str, percent: int):
+        self.percent, self.plan = percent, Plan(docs)
+        self.rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+        frequent, self.whole = frequent_shingles(self.rows, self.plan)
+        self.heavy = docs.sparkSession.sparkContext.broadcast(frequent)
+        told = stage_table(describe(self.rows, self.heavy, self.plan, percent))
+        self.told = stage_table(told.select("doc", "sig", "n"))
+        # copies of a word sequence are one class; min() is pre-aggregated, so a large class is no hot group
+        first = F.min(F.struct("doc", "n", "share", "prefix", "often")).alias("c")
+        own = told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(first).select("sig", "c.*")
+        length = F.col("n") - F.ceil(percent * F.col("n") / 100).cast("int") + 1
+        own = own.withColumn("h", F.size("often")).withColumn("n_rare", length - F.col("h")).withColumn("cid", F.monotonically_increasing_id())
+        self.table = stage_table(own)
+        drop_table(told)
+        self.often = frequent_groups(self.table)
+        self.rare = stage_table(rare_groups(self.table, self.plan, percent))
+
+    def _named(self, comps: DataFrame | None) -> DataFrame:
+        named = self.table.select("cid", "doc", "sig")
+        if comps is None:
+            return named.withColumn("comp", F.col("cid"))
+        return named.join(comps.withColumnRenamed("node", "cid"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+    def leader_links(self) -> DataFrame:
+        """Links of classes with the leaders of their groups."""
+        pairs = candidates(self.rare.unionByName(frequent_leaders(self.often, self.percent)), self.percent, F.lit(0))
+        return stage_table(verify(self.rows, leader_units(stage_table(pairs)), self._named(None), self.heavy, self.plan, self.percent))
+
+    def other_links(self, comps: DataFrame | None, forest: bool) -> DataFrame:
+        """Links between classes that are in different components."""
+        named = self._named(comps)
+        comp = named.select("cid", "comp")
+        live = self.rare.where("kind = 1").select(F.col("a").alias("tok"), F.col("b").alias("cid"), F.col("na").alias("n"), F.col("nb").alias("at"), "h")
+        rare = stage_table(rare_pairs(live.join(comp, "cid"), self.plan, self.percent))
+        # beside the counted shingles, a pair may share those of large groups, which are frequent ones if all of these are known
+        pairs = stage_table(candidates(rare, self.percent, F.col("h") if self.whole else F.lit(1 << 30)))
+        large = stage_table(merged_groups(with_partners(self.often.join(comp, "cid"), self.percent)))
+        large = large.join(large.groupBy("grp").agg(F.count("*").alias("m")), "grp")
+        # beyond what the order knows, large groups of rare shingles come from their buckets
+        unknown = rare.where("kind = 1").select((-1 - F.col("a")).alias("grp"), F.col("b").alias("cid"), F.col("c").cast("bigint").alias("m"))
+        units = stage_table(leader_units(pairs).unionByName(block_units(large.unionByName(unknown))))
+        return stage_table(verify(self.rows, units, named, self.heavy, self.plan, self.percent, forest))
+
+
+def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(a, b), a < b: every link between different word sequences, each under its smallest ``key``.
+
+    With ``jaccard_components``, which tells equal texts, this is the whole join.
+    """
+    own = Classes(docs, key, text, percent)
+    links = own.other_links(None, False).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+    names = own.table.select("cid", "doc")
+    ends = links.join(names.select(F.col("cid").alias("x"), F.col("doc").alias("p")), "x").join(names.select(F.col("cid").alias("y"), F.col("doc").alias("q")), "y")
+    return ends.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+
+def class_components(own: Classes) -> DataFrame:
+    """(sig, component): the smallest key that the links of every class reach."""
+    comps = None
+    for step in (own.leader_links, lambda: own.other_links(comps, True)):
+        links = step()
+        known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))]
+        for more in known:
+            links = links.unionByName(more)
+        comps = stage_table(components(links))
+    named = own._named(comps)
+    least = named.groupBy("comp").agg(F.min("doc").alias("component"))
+    return stage_table(named.join(least, "comp").select("sig", "component"))
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """(``key``, n_shingles, component_id), one row per row of ``docs``.
 
@@ -363,30 +611,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shingle sets; component_id is the smallest key that links reach. A null or
     wordless text has an empty set and is linked with nothing; so is a null key.
     Rows that repeat a key count as one document each, with one component for
-    equal texts. Shingles are compared by 64-bit hashes.
+    equal texts. Shingles are compared by 64-bit hashes, word sequences by 128.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    plan = Plan(docs)
-    spark = docs.sparkSession
-    heavy = spark.sparkContext.broadcast(frequent_shingles(rows, plan))
-    told = stage_table(describe(rows, heavy, plan, percent))
-    # copies of a word sequence are one class; min() is pre-aggregated, so a large class is no hot group
-    own_class = told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(F.min(F.struct("doc", "n", "prefix")).alias("c"))
-    classes = stage_table(own_class.select("sig", "c.doc", "c.n", "c.prefix"))
-
-    comps = classes.select(F.col("doc").alias("node"), F.col("doc").alias("comp")).limit(0)
-    for leaders, early in ROUNDS:
-        labelled = classes.select("doc", "n", "prefix").join(comps.withColumnRenamed("node", "doc"), "doc", "left")
-        pairs = stage_table(candidate_pairs(labelled.withColumn("comp", F.coalesce("comp", "doc")), plan, percent, leaders, early))
-        links = stage_table(verify(rows, pairs, percent))
-        if not links.isEmpty():
-            comps = stage_table(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links)))
-    of_class = stage_table(
-        classes.select("sig", F.col("doc").alias("node")).join(comps, "node", "left").select("sig", F.coalesce("comp", "node").alias("component"))
-    )
-    out = told.select("doc", "sig", "n").join(of_class, "sig", "left")
-    own: Column = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.coalesce("component", "doc")).otherwise(F.col("doc"))
-    return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+    own = Classes(docs, key, text, percent)
+    out = own.told.join(class_components(own), "sig", "left")
+    component: Column = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("component")).otherwise(F.col("doc"))
+    return out.select(F.col("doc").alias(key), F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

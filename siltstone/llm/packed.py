@@ -13,8 +13,11 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 WORD_CACHE = 500_000
+MOST_PARTITIONS = 8192  # of an exchange of blocks
 
 
 def pack(numbers: np.ndarray, deltas: bool = False) -> bytes:
@@ -77,13 +80,43 @@ def ngrams(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def by_bucket(sorted_keys: np.ndarray, bits: int, buckets: int) -> Iterator[tuple[int, int, int]]:
-    """(bucket, begin, end) for sorted keys of so many bits, dealt to buckets in equal ranges."""
-    width = -(-(1 << bits) // buckets)
-    ends = np.searchsorted(sorted_keys, np.array([width * (b + 1) for b in range(buckets - 1)], np.uint64))
-    bounds = [0, *ends.tolist(), len(sorted_keys)]
-    for b in range(buckets):
-        if bounds[b + 1] > bounds[b]:
-            yield b, bounds[b], bounds[b + 1]
+    """(bucket, begin, end) for sorted keys of so many bits, dealt to buckets in equal ranges; empty ones are left out."""
+    if not len(sorted_keys):
+        return
+    own = sorted_keys // np.uint64(-(-(1 << bits) // buckets))
+    begin = np.flatnonzero(np.diff(own, prepend=~own[:1]))
+    yield from zip(own[begin].tolist(), begin.tolist(), [*begin[1:].tolist(), len(own)], strict=True)
+
+
+def dealt(blocks: DataFrame, partitions: int) -> DataFrame:
+    """Blocks with a column ``bucket`` (less than ``partitions``), one partition for each: even, unlike hashed numbers."""
+    return blocks.repartitionById(partitions, F.col("bucket").cast("int"))
+
+
+def by_range(blocks: DataFrame, bits: int, partitions: int, ranges: int, fn: Callable, schema: str) -> DataFrame:
+    """Apply ``fn`` to groups of blocks (bucket, keys, more columns) whose sorted keys lie in one of ``ranges`` equal ranges.
+
+    Blocks go to their partition first. Where there are more ranges than
+    partitions, a partition merges what it has read in pieces of bounded size,
+    splits the pieces at its ranges, and Spark's sort (which may spill) brings
+    the ranges together; so neither blocks nor groups change with the input.
+    """
+    came = dealt(blocks, partitions)
+    names = blocks.columns[1:]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for part in flushed(rows, lambda r: int.from_bytes(r[1][1:5], "little"), 1 << 22):
+            keys = np.concatenate([unpack(r[1], True) for r in part])
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            rest = [np.concatenate([unpack(r[k]) for r in part])[order] for k in range(2, len(names) + 1)]
+            out = [(b, pack(keys[lo:hi], True), *(pack(x[lo:hi]) for x in rest)) for b, lo, hi in by_bucket(keys, bits, ranges)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names=["bucket", *names])
+
+    if ranges > partitions:
+        came = came.mapInArrow(split, blocks.schema)
+    return came.sortWithinPartitions("bucket").mapInArrow(fn, schema)
 
 
 def groups(batches: Iterable[pa.RecordBatch], key: int = 0) -> Iterator[tuple[object, list[tuple]]]:

@@ -229,11 +229,17 @@ def test_archives_round_trip(spark):
 # --- Jaccard join ---
 
 
+def plain_words(text):
+    return (text or "").encode().lower().split()
+
+
+def plain_set(text):
+    w = plain_words(text)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+
+
 def plain_components(texts, percent=80):
-    sets = {}
-    for k, t in texts.items():
-        w = (t or "").encode().lower().split()
-        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    sets = {k: plain_set(t) for k, t in texts.items()}
     root = {k: k for k in texts}
 
     def find(x):
@@ -276,16 +282,73 @@ def test_components(spark, monkeypatch, heavy):
     assert got == plain_components(texts)
 
 
-def test_trie_join():
+@pytest.mark.parametrize("step", [64, 7, 1])
+def test_trie_join(monkeypatch, step):
+    monkeypatch.setattr(jaccard, "STEP", step)
     rng = np.random.default_rng(4)
-    for _ in range(30):
-        leader = np.unique(rng.integers(0, 120, 90).astype(np.uint64))
-        members = []
-        for k in range(25):
-            own = leader[rng.random(len(leader)) < rng.choice([0.99, 0.93, 0.7])]
-            members.append((k, np.union1d(own, rng.integers(0, 120, rng.integers(0, 12)).astype(np.uint64))))
-        want = [k for k, m in members if 100 * len(np.intersect1d(m, leader)) >= 80 * len(np.union1d(m, leader))]
-        assert sorted(jaccard.trie_join(leader, members, 80)) == want
+    for _ in range(60):
+        first = np.unique(rng.integers(0, 120, 90).astype(np.uint64))
+
+        def near(shares):
+            own = first[rng.random(len(first)) < rng.choice(shares)]
+            return np.union1d(own, rng.integers(0, 120, rng.integers(0, 12)).astype(np.uint64))
+
+        probes = [first] + [near([0.95]) for _ in range(4)]
+        members = [near([0.99, 0.93, 0.7]) for _ in range(25)]
+        want = {(m, p) for m in range(25) for p in range(5) if 100 * len(np.intersect1d(members[m], probes[p])) >= 80 * len(np.union1d(members[m], probes[p]))}
+        assert {(m, int(p)) for m, ps in jaccard.trie_join(probes, members, 80) for p in ps} == want
+
+
+def plain_links(texts, percent=80):
+    """Links between different word sequences, each under its smallest key."""
+    first = {}
+    for k, t in sorted(texts.items()):
+        if words := plain_words(t):
+            first.setdefault(tuple(words), k)
+    sets = {k: plain_set(texts[k]) for k in first.values()}
+    return {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])}
+
+
+def group_of_near_copies():
+    """Many edits of one text, few of which are similar to each other, beside exact copies."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    out = []
+    for k in range(90):
+        text = list(base)
+        for _ in range(k % 7):
+            text[rng.randrange(len(text))] = f"e{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return dict(enumerate(out + out[3:9]))
+
+
+@pytest.mark.parametrize("heavy,known,block", [(32, 1 << 20, 512), (4, 1 << 20, 16), (4, 8, 16), (1000, 1 << 20, 16)])
+def test_links(spark, monkeypatch, heavy, known, block):
+    """Small and large groups, one block and many, and frequent shingles that the order doesn't know."""
+    for name, value in (("HEAVY", heavy), ("MOST_HEAVY", known), ("GROUP_BLOCK", block), ("LEADER_BLOCK", 8), ("HELD", 1 << 14)):
+        monkeypatch.setattr(jaccard, name, value)
+    texts = near_texts() | {k + 1000: t for k, t in group_of_near_copies().items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {tuple(r) for r in jaccard.jaccard_links(docs).collect()} == plain_links(texts)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs).collect()}
+    assert got == plain_components(texts)
+
+
+def test_one_key_on_two_texts(spark):
+    """Every row counts as a document: the second text of key 5 is linked, the first is not."""
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    docs = spark.createDataFrame([(5, a), (5, b), (3, b + " more"), (9, a + " more")], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs).collect())
+    assert got == [(3, 37, 3), (5, 36, 3), (5, 36, 5), (9, 37, 5)]
+
+
+def test_blocks_of_more_ranges_than_partitions(spark, monkeypatch):
+    monkeypatch.setattr(packed, "MOST_PARTITIONS", 3)
+    monkeypatch.setattr(jaccard, "input_bytes", lambda df: 90 << 20)
+    texts = near_texts()
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.jaccard_components(docs).collect()}
+    assert got == plain_components(texts)
 
 
 def test_star_components(spark):
