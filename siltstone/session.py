@@ -51,12 +51,29 @@ def stage_table(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage at a copy that survives the loss of any executor, and gives
-    the planner exact sizes for what follows.
+    the planner exact sizes for what follows. The copy goes with ``drop_table``,
+    or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    files, place = _files(spark, path)
+    files.deleteOnExit(place)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def drop_table(staged: DataFrame) -> None:
+    """Delete a staged table that no plan needs any more."""
+    files, place = _files(staged.sparkSession, staged.staged_at)
+    files.delete(place, True)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path, as Spark's writers see them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
 def input_bytes(df: DataFrame) -> int:
