@@ -505,9 +505,12 @@ def verify(docs: DataFrame, units: DataFrame, classes: DataFrame, heavy, plan: P
     return rows.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(run, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, comp) for every node of the links (a, b): the smallest node that it is connected with.
 
+    With so many rounds only, nodes of one comp are connected, but comps may be
+    parts of components.
+
     Alternating large and small stars; every round is a written table, and only
     its row count and checksum reach the driver.
     """
@@ -521,11 +524,12 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v")))
         edges = stage_table(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
         now = tuple(edges.agg(F.count("*"), F.sum(F.shiftright(F.xxhash64("u", "v"), 16))).first())
-        if now == state:
+        rounds = None if rounds is None else rounds - 1
+        if now == state or rounds == 0:
             break
         state = now
-    roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("comp"))
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots)
+    both = edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")))
+    return both.groupBy("node").agg(F.min("comp").alias("comp"))
 
 
 class Classes:
@@ -592,13 +596,9 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", perc
 
 def class_components(own: Classes) -> DataFrame:
     """(sig, component): the smallest key that the links of every class reach."""
-    comps = None
-    for step in (own.leader_links, lambda: own.other_links(comps, True)):
-        links = step()
-        known = [] if comps is None else [comps.select(F.col("node").alias("a"), F.col("comp").alias("b"))]
-        for more in known:
-            links = links.unionByName(more)
-        comps = stage_table(components(links))
+    comps = stage_table(components(own.leader_links(), rounds=1))
+    links = own.other_links(comps, True).unionByName(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")))
+    comps = stage_table(components(links))
     named = own._named(comps)
     least = named.groupBy("comp").agg(F.min("doc").alias("component"))
     return stage_table(named.join(least, "comp").select("sig", "component"))
