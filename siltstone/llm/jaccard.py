@@ -33,11 +33,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import drop_table, input_bytes, stage_table
 from . import packed
+from .filters import BitFilter
 
 SHINGLE, PERCENT = 5, 80
 HEAVY, MOST_HEAVY = 32, 1 << 20  # documents that make a shingle frequent; how many of these the order knows at most
@@ -45,7 +47,6 @@ TOKEN_BITS = 48
 LEADER_BLOCK, GROUP_BLOCK = 256, 512  # members of a leader, and documents of a large group, in one unit
 STEP = 64  # shingles of a path between two nodes
 HELD = 1 << 25  # bytes of a unit's table of shingles by sets
-FILTER_WORDS = 1 << 18  # 64-bit words of the filter of wanted documents: 2 MB
 
 
 def shingles(text: str | None, hasher: packed.WordHasher, n: int = SHINGLE) -> tuple[np.ndarray, list[bytes]]:
@@ -448,14 +449,6 @@ def unit_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], roles
     return ids[pairs[:, 0]], ids[pairs[:, 1]]
 
 
-def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc is among ``ids``, and a few others: a bit table of fixed size is broadcast."""
-    h = F.xxhash64("doc")
-    word, bit = F.pmod(h, F.lit(FILTER_WORDS)).alias("word"), F.shiftrightunsigned(h, 58).cast("int").alias("bit")
-    table = ids.select(word, bit).groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
-    return docs.select("doc", "text", word, bit).join(F.broadcast(table), "word").where("shiftright(bits, bit) & 1L = 1L").select("doc", "text")
-
-
 def leader_units(pairs: DataFrame) -> DataFrame:
     """Units of pairs (a, b): the members of every a, in parts of about LEADER_BLOCK."""
     sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
@@ -476,7 +469,7 @@ def block_units(members: DataFrame) -> DataFrame:
 def verify(docs: DataFrame, units: DataFrame, classes: DataFrame, heavy, plan: Plan, percent: int, forest: bool = True) -> DataFrame:
     """Links (a, b) of the units. units: u0, u1, u2, role, cid; classes: cid, doc, sig, comp."""
     asked = units.join(classes.select("cid", "doc", "sig", "comp"), "cid")
-    texts = _wanted(docs, asked.select("doc"))
+    texts = BitFilter(asked.select("doc"), "doc").mark(docs.select("doc", "text"), "doc").where("maybe")
     rows = texts.join(asked, "doc").select("u0", "u1", "u2", "role", "cid", "comp", "sig", "text")
     bits = plan.bits
 
@@ -619,5 +612,35 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return out.select(F.col("doc").alias(key), F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"))
 
 
+def one_of_each_component(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of each component of ``jaccard_components``, with all columns: of those with the smallest key, one with the smallest text.
+
+    Rows are taken apart by their own text, also where they repeat a key. A row
+    without words or key is linked with nothing and stays. Documents that are
+    alone in their component stay where they are; only the others move.
+    """
+    own = Classes(docs, key, text, percent)
+    named = class_components(own).select("sig", "component")
+    sizes = own.told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(F.count("*").alias("m")).join(named, "sig")
+    shared = stage_table(sizes.withColumn("all", F.sum("m").over(Window.partitionBy("component"))).where("all > 1").select("sig", "component"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = ((t or "").encode().lower().split() for t in batch.column(1).to_pylist())
+            sigs = pa.array([digest(w) if w else None for w in words], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sigs], names=["row", "words", "sig"])
+
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("words"))
+    shape = T.StructType([*rows.schema.fields, T.StructField("sig", T.BinaryType())])
+    marked = BitFilter(shared, "sig").mark(rows.mapInArrow(sign, shape).drop("words"), "sig")
+    here = F.col("row")[key]
+    moved = marked.where("maybe").join(shared, "sig", "left")
+    grouped = F.col("component").isNotNull() & here.isNotNull()
+    # rows with equal words under the smallest key: the smallest of them, pre-aggregated
+    first = moved.where(grouped & (here == F.col("component"))).groupBy("component").agg(F.min_by("row", F.struct(F.col("row")[text], F.to_json("row"))).alias("row"))
+    rest = marked.where("NOT maybe").select("row").unionByName(moved.where(~F.coalesce(grouped, F.lit(False))).select("row"))
+    return rest.unionByName(first.select("row")).select("row.*")
+
+
 def op5(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))

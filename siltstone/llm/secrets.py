@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage_table
+from .filters import BitFilter
 
 
 @dataclass(frozen=True)
@@ -118,29 +119,39 @@ def scan(versions: DataFrame, text: str = "text", ledger: DataFrame | None = Non
     """Scan the (blob, rule version) pairs that the ledger lacks; return (findings by blob, the new ledger entries).
 
     ledger: earlier entries (blob_id, rule_kind, rule_version, findings) or None
-    for an empty one. The new entries are a table in the shared folder; append it
+    for an empty one; entries of other blobs are left aside, and repeated ones
+    count once. The new entries are a table in the shared folder; append it
     to the ledger. Rules without findings in a blob are recorded too, so no blob
     is scanned twice for a version of a rule. First result: blob_id and findings
     (all kinds, by start and then by the order of ``rules``) of the blobs that
     have any, also a table in the shared folder.
     """
     addressed = versions.select(address(versions, text).alias("blob_id"), F.coalesce(F.col(text), F.lit("")).alias("blob_text"))
-    # first() pre-aggregates in each task, so copies of one blob never meet in one place
-    blobs = addressed.groupBy("blob_id").agg(F.first("blob_text").alias("blob_text"))
+    ids = stage_table(addressed.groupBy("blob_id").agg(F.count("*").alias("n")))
     current = F.struct("rule_kind", "rule_version").isin([F.struct(F.lit(r.kind), F.lit(r.version)) for r in rules])
-    if ledger is None:
-        fresh = scan_blobs(blobs, rules)
+    known = None
+    special = ids.where("n > 1").select("blob_id")
+    if ledger is not None:
+        own = ledger.where(current).join(ids, "blob_id", "left_semi").select("blob_id", "rule_kind", "rule_version", "findings")
+        known = stage_table(own.dropDuplicates(["blob_id", "rule_kind", "rule_version"]))
+        special = special.unionByName(known.select("blob_id")).distinct()
+    # texts of blobs that are new and occur once are scanned where they stand; only the others move
+    marked = BitFilter(special, "blob_id").mark(addressed, "blob_id")
+    # first() pre-aggregates in each task, so copies of one blob never meet in one place
+    moved = marked.where("maybe").groupBy("blob_id").agg(F.first("blob_text").alias("blob_text"))
+    if known is None:
+        fresh = scan_blobs(moved, rules)
     else:
-        seen = ledger.where(current).groupBy("blob_id").agg(F.collect_set(F.concat_ws("@", "rule_kind", "rule_version")).alias("seen"))
-        todo = blobs.join(seen, "blob_id", "left").where(F.coalesce(F.size("seen"), F.lit(0)) < len(rules))
+        seen = known.groupBy("blob_id").agg(F.collect_set(F.concat_ws("@", "rule_kind", "rule_version")).alias("seen"))
+        todo = moved.join(seen, "blob_id", "left").where(F.coalesce(F.size("seen"), F.lit(0)) < len(rules))
         parts = []
         for k, r in enumerate(rules):
             unseen = ~F.coalesce(F.array_contains("seen", f"{r.kind}@{r.version}"), F.lit(False))
             findings = F.when(unseen, rule_findings(F.col("blob_text"), r, k))
             parts.append(F.struct(F.lit(r.kind).alias("rule_kind"), F.lit(r.version).alias("rule_version"), findings.alias("findings")))
         fresh = todo.select("blob_id", F.inline(F.array(*parts))).where(F.col("findings").isNotNull())
-    fresh = stage_table(fresh)
-    entries = fresh if ledger is None else fresh.unionByName(ledger.where(current).select(fresh.columns))
+    fresh = stage_table(scan_blobs(marked.where("NOT maybe"), rules).unionByName(fresh))
+    entries = fresh if known is None else fresh.unionByName(known)
     order = F.create_map(*[F.lit(x) for k, r in enumerate(rules) for x in (r.kind, k)])
     found = (
         entries.where(F.size("findings") > 0)
@@ -168,13 +179,22 @@ def scan_versions(
 
 
 def without_secrets(docs: DataFrame, text: str = "text", length: str | None = "n_chars", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents with every found span redacted, and their new length; all rows and columns stay."""
+    """The documents with every found span redacted, and their new length; all rows and columns stay.
+
+    length: a column that holds the number of code points; without such a column
+    there is nothing to change. Documents without findings stay where they are.
+    """
     found, _ = scan(docs, text, None, rules)
-    joined = docs.withColumn("__blob", address(docs, text)).join(found.select(F.col("blob_id").alias("__blob"), F.col("findings").alias("__found")), "__blob", "left")
-    joined = joined.withColumn(text, F.when(F.size("__found") > 0, redact(F.col(text), F.col("__found"))).otherwise(F.col(text)))
-    if length is not None:
-        joined = joined.withColumn(length, F.when(F.size("__found") > 0, F.length(text).cast("long")).otherwise(F.col(length)))
-    return joined.select(docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), address(docs, text).alias("blob_id"))
+    marked = BitFilter(found, "blob_id").mark(rows, "blob_id")
+    hit = marked.where("maybe").join(found, "blob_id", "left")
+    new = F.when(F.size("findings") > 0, redact(F.col("row")[text], F.col("findings"))).otherwise(F.col("row")[text])
+    hit = hit.select("row", "findings", new.alias("new"))
+    row = F.col("row").withField(text, F.col("new"))
+    if length in docs.columns:
+        size = F.when(F.size("findings") > 0, F.length("new").cast(docs.schema[length].dataType)).otherwise(F.col("row")[length])
+        row = row.withField(length, size)
+    return marked.where("NOT maybe").select("row").unionByName(hit.select(row.alias("row"))).select("row.*")
 
 
 def span_list(findings: Column) -> Column:

@@ -342,6 +342,16 @@ def test_one_key_on_two_texts(spark):
     assert got == [(3, 37, 3), (5, 36, 3), (5, 36, 5), (9, 37, 5)]
 
 
+def test_one_of_each_component(spark):
+    """By row, not by key: of two texts of key 5 only the linked one goes; of equal rows one stays; others are untouched."""
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    rows = [(5, a, 1), (5, b, 2), (3, b + " more", 3), (3, b + " more", 3), (7, None, 4), (7, "", 5), (None, a, 6), (8, "x y", 7), (9, "X  y", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sig long")
+    got = sorted(jaccard.one_of_each_component(docs).collect(), key=lambda r: r["sig"])
+    assert [tuple(r) for r in got] == [rows[0], rows[2], rows[4], rows[5], rows[6], rows[7]]
+    assert got[0].asDict().keys() == {"doc_id", "text", "sig"}
+
+
 def test_blocks_of_more_ranges_than_partitions(spark, monkeypatch):
     monkeypatch.setattr(packed, "MOST_PARTITIONS", 3)
     monkeypatch.setattr(jaccard, "input_bytes", lambda df: 90 << 20)

@@ -194,3 +194,27 @@ def test_fingerprints_odd_rows(odd_documents, no_documents):
     assert len(got) == 8 and {r["fingerprint"] for r in got if r["doc_id"] in (2, 3, 6)} == {""}
     assert omh.fingerprints(no_documents).count() == 0
     assert omh.fingerprints(odd_documents.where("doc_id = 7")).first()["near_next"] == 1.0
+
+
+def test_ledger_with_repeats_and_other_blobs(spark):
+    """A doubled ledger, one of other blobs, and one of an older rule version give the same findings."""
+    docs = spark.createDataFrame([(1, "token = abcdefghijkl"), (2, "token = abcdefghijkl"), (3, "AKIA" + "A" * 16), (4, None), (None, "plain")], "id long, text string")
+    want, first = secrets.scan_versions(docs, "id")
+    as_rows = lambda df: sorted((r["id"] or 0, r["blob_id"], str(r["findings"])) for r in df.collect())
+    want = as_rows(want)
+    again, fresh = secrets.scan_versions(docs, "id", ledger=first.unionByName(first))
+    assert as_rows(again) == want and fresh.count() == 0
+    other = first.withColumn("blob_id", F.concat(F.lit("x"), "blob_id"))
+    again, fresh = secrets.scan_versions(docs, "id", ledger=other)
+    assert as_rows(again) == want and fresh.count() == first.count() == 4 * len(secrets.RULES)
+    older = first.withColumn("rule_version", F.when(F.col("rule_kind") == "assign", 0).otherwise(F.col("rule_version")))
+    again, fresh = secrets.scan_versions(docs, "id", ledger=older)
+    assert as_rows(again) == want and {r["rule_kind"] for r in fresh.collect()} == {"assign"}
+
+
+def test_redaction_keeps_other_columns(spark):
+    rows = [(1, "token = abcdefghijkl!", 21, "a"), (1, "token = abcdefghijkl!", 21, "a"), (2, None, None, "b"), (3, "clean", 5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, blob_id string")
+    got = sorted(map(tuple, secrets.without_secrets(docs).collect()))
+    assert got == [(1, "[secret]!", 9, "a")] * 2 + [(2, None, None, "b"), (3, "clean", 5, None)]
+    assert secrets.without_secrets(docs.drop("n_chars")).count() == 4
