@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import argparse
+import logging
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.keys import MODEL_PREFIX
+from .functions.keys import MODEL_PREFIX, archive_name, key_filename, model_category
 from .operators import catalog, manifest, sinks
+from .operators.records import summary
 from .plans import execute, work
-from .session import local_session
+from .session import local_session, stage_table
 from .sources import catalog as feeds
-from .sources import manifests, traces
+from .sources import files, manifests, traces
+
+log = logging.getLogger("siltstone")
+DEFAULTS = work.TrainSettings()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,10 +29,12 @@ def parser() -> argparse.ArgumentParser:
 
     update = commands.add_parser("update", help="catalog feed to manifests")
     update.add_argument("--base-url", required=True)
-    update.add_argument("--category", action="append", required=True, help="catalog category; may be repeated")
+    update.add_argument("--category", action="append", default=[], help="catalog category; may be repeated (default: all that the catalog names)")
     update.add_argument("--lang", default="eng")
     update.add_argument("--count", type=int, default=100)
     update.add_argument("--prefix", default=MODEL_PREFIX)
+    update.add_argument("--keep-going", action="store_true", help="leave out categories that fail")
+    update.add_argument("--dry-run", action="store_true", help="write nothing")
 
     chosen = argparse.ArgumentParser(add_help=False)
     for name in ("model", "category", "site"):
@@ -44,17 +52,33 @@ def parser() -> argparse.ArgumentParser:
     convert.add_argument("--keep-going", action="store_true")
     training = commands.add_parser("train", parents=[chosen], help="plan or run the trainings of a selection")
     training.add_argument("--trainer-dir", default=".")
-    training.add_argument("--depth", type=int, default=20)
-    training.add_argument("--num-iterations", type=int, default=200)
+    training.add_argument("--base-dir", default=DEFAULTS.base_dir)
+    training.add_argument("--model-tag", default="")
+    training.add_argument("--preset", default=DEFAULTS.preset)
+    for name in ("vocab_size", "depth", "num_iterations", "device_batch_size", "max_seq_len", "max_chars"):
+        training.add_argument(f"--{name.replace('_', '-')}", type=int, default=getattr(DEFAULTS, name))
+    training.add_argument("--train-tokenizer", action=argparse.BooleanOptionalAction, default=True)
+    training.add_argument("--force-tokenizer", action="store_true", help="train the tokenizer even if there is one")
     training.add_argument("--reuse-base", action="store_true")
     training.add_argument("--keep-going", action="store_true")
 
     reasoning = commands.add_parser("reasoning", help="trace shards to JSON lines and Markdown")
-    reasoning.add_argument("shards", nargs="+", help="Parquet files or folders")
-    reasoning.add_argument("--slug", required=True)
+    reasoning.add_argument("shards", nargs="*", help="Parquet files or folders; without them, and without --repo, all reasoning datasets of the manifests")
+    reasoning.add_argument("--repo", default="", help="one dataset of the hub")
+    reasoning.add_argument("--hub", default=traces.HUB, help="where the hub's shard listings are")
+    reasoning.add_argument("--config", default="default")
+    reasoning.add_argument("--split", default="train")
+    reasoning.add_argument("--slug", default="", help="name of the output (default: the last part of the repo)")
+    reasoning.add_argument("--category", default="base", help="category whose model uses the traces")
+    reasoning.add_argument("--markdown", default="", help="default: <root>/datasets/<category>/markdown/<slug>")
+    reasoning.add_argument("--jsonl", default="", help="default: <root>/datasets/reasoning/<slug>.jsonl")
+    reasoning.add_argument("--cache", default="", help="default: <root>/datasets/reasoning/<slug>")
     reasoning.add_argument("--limit", type=int, default=0)
     reasoning.add_argument("--max-tokens", type=int, default=0)
     reasoning.add_argument("--per-file", type=int, default=1000)
+    reasoning.add_argument("--jobs", type=int, default=4)
+    reasoning.add_argument("--keep-shards", action="store_true")
+    reasoning.add_argument("--dry-run", action="store_true")
     return top
 
 
@@ -67,64 +91,135 @@ def selection(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def run_update(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     spark.dataSource.register(feeds.CatalogSource)
-    options = {"baseUrl": args.base_url, "categories": ",".join(args.category), "lang": args.lang, "count": str(args.count)}
-    pages = spark.read.format("catalog_feed").options(**options).load()
-    entries = feeds.feed_entries(pages).withColumn("ordinal", F.struct("site", "page", "position"))
-    found = catalog.catalog_to_manifest(entries, args.prefix)
-    sinks.write_manifests(found, f"{args.datasets}/manifests")
-    return manifest.partition_counts(found)
+    categories = args.category or feeds.discovered_categories(spark, args.base_url)
+    options = {"baseUrl": args.base_url, "categories": "\n".join(categories), "lang": args.lang, "count": str(args.count), "keepGoing": str(args.keep_going)}
+    # pages are fetched once
+    pages = stage_table(spark.read.format("catalog_feed").options(**options).load())
+    for row in pages.where("error IS NOT NULL").select("site", "error").toLocalIterator():
+        log.warning("update: category %s is left out: %s", row["site"], row["error"])
+    entries = feeds.feed_entries(pages.where("error IS NULL").drop("error")).withColumn("ordinal", F.struct("site", "page", "position"))
+    found = stage_table(catalog.catalog_to_manifest(entries, args.prefix))
+    if not args.dry_run:
+        sinks.write_manifests(found, args.datasets)
+    counts = manifest.partition_counts(found)
+    total = counts.agg(F.sum("n_datasets"), F.sum("total_bytes")).first()
+    log.info("update: %d datasets, %d bytes", total[0] or 0, total[1] or 0)
+    return counts
 
 
 def run_download(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     rows = manifest.guard_budget(manifest.only_archives(selection(spark, args)), args.max_bytes)
     if args.dry_run:
         return rows.select("key", "url", "size")
-    result = execute.download(rows, args.root, args.jobs, args.retry)
-    execute.failures(result)
-    return result
+    return execute.download(rows, args.root, args.jobs, args.retry, stop=True)
 
 
 def run_extract(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     rows = manifest.only_archives(selection(spark, args))
+    converter = execute.find_converter(args.converter)
     nothing = spark.createDataFrame([], "path string")
-    plan = work.extract_plan(rows, nothing, args.converter, args.workers, args.force)
+    plan = work.extract_plan(rows, nothing, converter, args.workers, args.force)
     if args.dry_run:
         return plan
-    result = execute.extract(plan, args.root, args.jobs, args.force)
-    execute.failures(result, args.keep_going)
+    result = execute.extract(plan, args.root, args.jobs, args.force, stop=not args.keep_going)
+    for row in execute.failures(result, True).toLocalIterator():
+        log.warning("extract: %s: %s", row["key"], row["error"])
     return result
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    settings = work.TrainSettings(datasets=args.datasets, depth=args.depth, num_iterations=args.num_iterations, reuse_base=args.reuse_base)
-    plan = work.train_plan(selection(spark, args), settings)
-    if not args.dry_run:
-        execute.train(plan, "go", args.trainer_dir, {"GOEXPERIMENT": "simd"}, args.keep_going)
+    given = {k: getattr(args, k) for k in ("depth", "num_iterations", "vocab_size", "device_batch_size", "max_seq_len", "max_chars", "preset", "base_dir", "reuse_base", "model_tag")}
+    tokenizer = os.path.join(args.base_dir, "tokenizer", "tokenizer.json")
+    present = not args.force_tokenizer and files.exists(spark, tokenizer)
+    if present and args.train_tokenizer:
+        log.info("train: keeping the tokenizer %s", tokenizer)
+    settings = work.TrainSettings(datasets=args.datasets, tokenizer_present=present or not args.train_tokenizer, **given)
+    rows = selection(spark, args)
+    plan = work.train_plan(rows, settings)
+    if args.dry_run:
+        for folder in [settings.base, *[r[0] for r in work.requested_models(rows, settings).select(model_category(F.col("model"), settings.prefix)).collect()]]:
+            if not files.has_markdown(spark, f"{args.datasets}/{folder}"):
+                log.warning("train: no Markdown files in %s/%s", args.datasets, folder)
+        return plan
+    failed = execute.train(
+        plan, "go", args.trainer_dir, {"GOEXPERIMENT": "simd"}, args.keep_going,
+        require_corpus=lambda folder: files.require_markdown(spark, folder),
+        checkpoint=lambda: files.require_checkpoint(spark, settings.checkpoint_folder),
+    )
+    if failed:
+        raise SystemExit(f"trainings failed: {', '.join(failed)}")
     return plan
 
 
 def run_reasoning(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    shards = traces.read_shards(spark, *args.shards)
-    found = traces.ingest(shards, keep=("file_path", "row_index"), max_tokens=args.max_tokens).orderBy("file_path", "row_index")
-    if args.limit > 0:
-        found = found.limit(args.limit)
-    # places in the order of shards and rows: shards have fewer than 2^40 rows
-    order = {r["file_path"]: k for k, r in enumerate(shards.select("file_path").distinct().orderBy("file_path").collect())}
-    number = F.create_map(*[F.lit(x) for p, k in order.items() for x in (p, k)])[F.col("file_path")]
-    placed = found.withColumn("place", number * F.lit(1 << 40) + F.col("row_index"))
-    sinks.write_json_lines(placed, f"{args.datasets}/reasoning/{args.slug}")
-    sinks.write_markdown(placed, f"{args.datasets}/markdown/{args.slug}", "place", args.per_file)
-    from .operators.records import summary
+    if args.shards:
+        return ingest_shards(spark, args, args.shards, args.slug or "traces", args.category)
+    if args.repo:
+        return ingest_repo(spark, args, args.repo, args.config, args.split, args.slug or args.repo.rpartition("/")[2].lower(), args.category)
+    items = manifest.require_repo(manifest.reasoning_items(manifests.read_manifests(spark, args.datasets)))
+    named = items.select(
+        "repo", F.coalesce("config", F.lit(args.config)).alias("config"), F.coalesce("split", F.lit(args.split)).alias("split"),
+        archive_name(key_filename(F.col("key"))).alias("slug"), model_category(F.col("model"), MODEL_PREFIX).alias("category"),
+    ).collect()
+    if not named:
+        raise SystemExit("no reasoning datasets in the manifests")
+    out = None
+    for r in named:
+        log.info("reasoning: %s (%s)", r["slug"], r["repo"])
+        done = ingest_repo(spark, args, *r)
+        out = done if out is None else out.unionByName(done)
+    return out
 
-    return summary(placed)
+
+def ingest_repo(spark: SparkSession, args: argparse.Namespace, repo: str, config: str, split: str, slug: str, category: str) -> DataFrame:
+    """Fetch the shards of a dataset as far as the limit asks, ingest them, and delete them unless they are to be kept."""
+    plan = traces.shard_plan(traces.listed_shards(spark, f"{args.hub}/{repo}/parquet/{config}/{split}"), slug)
+    if args.dry_run:
+        return plan
+    cache = args.cache or f"{args.root}/datasets/reasoning/{slug}"
+    plan = plan.withColumn("key", F.element_at(F.split("key", "/"), -1))
+    if args.limit <= 0:
+        execute.download(plan, cache, args.jobs, 3, stop=True)
+        paths = [f"{cache}/{r['key']}" for r in plan.select("key").orderBy("key").toLocalIterator()]
+    else:  # one shard after another, until there are enough records
+        paths, n = [], 0
+        for row in plan.orderBy("ordinal").toLocalIterator():
+            if n >= args.limit:
+                break
+            execute.download(plan.where(F.col("ordinal") == row["ordinal"]), cache, 1, 3, stop=True)
+            paths.append(f"{cache}/{row['key']}")
+            n += traces.ingest(traces.read_shards(spark, paths[-1]), max_tokens=args.max_tokens).count()
+    out = ingest_shards(spark, args, paths, slug, category)
+    if not args.keep_shards:
+        for p in paths:
+            files.delete(spark, p)
+    return out
+
+
+def ingest_shards(spark: SparkSession, args: argparse.Namespace, paths: list[str], slug: str, category: str) -> DataFrame:
+    """JSON lines and Markdown of the records of some shards, in the order of shards and rows; what was written, in one row."""
+    shards = traces.read_shards(spark, *paths)
+    found = traces.ingest(shards, keep=("file_path", "row_index"), max_tokens=args.max_tokens)
+    if args.limit > 0:
+        found = found.orderBy("file_path", "row_index").limit(args.limit)
+    placed = stage_table(found.withColumn("place", F.struct("file_path", "row_index")))
+    told = stage_table(summary(placed).select(F.lit(slug).alias("slug"), F.lit(len(shards.inputFiles())).alias("shards"), "records", "complete"))
+    if args.dry_run:
+        return told
+    sinks.write_json_lines(placed, args.jsonl or f"{args.root}/datasets/reasoning/{slug}.jsonl")
+    n = sinks.write_markdown(placed, args.markdown or f"{args.root}/datasets/{category}/markdown/{slug}", slug, "place", args.per_file)
+    return told.withColumn("markdown_files", F.lit(n))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> DataFrame:
+    logging.basicConfig(format="%(message)s")
+    log.setLevel(logging.INFO)
     args = parser().parse_args(argv)
     spark = spark or local_session()
     out = globals()[f"run_{args.command}"](spark, args)
     out.show(100, truncate=False)
     return out
 
+
 if __name__ == "__main__":
     main()

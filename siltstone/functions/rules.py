@@ -14,70 +14,188 @@ SITE_CATEGORY = {
     "wikibooks": "base", "wikiversity": "base", "wiktionary": "base", "wikiquote": "base", "wikisource": "base", "wikivoyage": "base",
     "vikidia": "base", "gutenberg": "base", "mooc": "base", "iFixit": "engineering", "phet": "physics", "psiram": "science",
 }
-# Encyclopedia archives, first match wins; each follows the prefix "wikipedia_en".
-WIKIPEDIA_PREFIX = "wikipedia_en"
+# Substrings of encyclopedia archives and their categories, first match wins.
 WIKIPEDIA = (
-    ("_history", "history"), ("_astronomy", "science"), ("_molcell", "science"), ("_climate-change", "science"), ("_medicine", "medicine"),
-    ("_physics", "physics"), ("_chemistry", "chemistry"), ("_mathematics", "math"), ("_computer", "programming"), ("_all", "base"),
-    ("-simple_all", "base"), ("_geography", "base"), ("_sociology", "base"), ("_top1m", "base"), ("_top", "base"), ("_100", "base"),
-)
-# Encyclopedia archives that are skipped, after the prefix and "_".
+    ("wikipedia_en_history", "history"),
+    ("wikipedia_en_astronomy", "science"),
+    ("wikipedia_en_molcell", "science"),
+    ("wikipedia_en_climate-change", "science"),
+    ("wikipedia_en_medicine", "medicine"),
+    ("wikipedia_en_physics", "physics"),
+    ("wikipedia_en_chemistry", "chemistry"),
+    ("wikipedia_en_mathematics", "math"),
+    ("wikipedia_en_computer", "programming"),
+    ("wikipedia_en_all", "base"),
+    ("wikipedia_en-simple_all", "base"),
+    ("wikipedia_en_geography", "base"),
+    ("wikipedia_en_sociology", "base"),
+    ("wikipedia_en_top1m", "base"),
+    ("wikipedia_en_top", "base"),
+    ("wikipedia_en_100", "base"),
+)
+# Encyclopedia archives that are skipped.
 WIKIPEDIA_SKIP = (
-    "football", "basketball", "baseball", "cricket", "tennis", "golf", "ice-hockey", "movies", "indian-cinema", "nollywood", "ray-charles", "comics", "knots",
-)
-# Question-and-answer hosts; a name without a dot stands for <name>.stackexchange.com.
-HOSTS = {
-    "cybersecurity": "security crypto reverseengineering tor",
-    "physics": "physics",
-    "chemistry": "chemistry",
-    "medicine": "medicalsciences",
-    "history": "history genealogy hsm",
-    "science": "biology astronomy earthscience space scicomp mattermodeling bioinformatics skeptics psychology",
-    "math": "math mathoverflow.net matheducators mathematica stats or proofassistants quant",
-    "programming": (
-        "stackoverflow.com serverfault.com superuser.com askubuntu.com stackapps.com unix dba devops softwareengineering cs cstheory codereview "
-        "codegolf sqa datascience ai genai computergraphics gamedev arduino raspberrypi iot langdev opensource softwarerecs webapps webmasters "
-        "wordpress drupal joomla magento craftcms expressionengine tridion sitecore salesforce sharepoint tex vi emacs android apple elementaryos "
-        "blender retrocomputing"
-    ),
-    "engineering": "engineering electronics robotics 3dprinting mechanics ham aviation drones woodworking networkengineering",
-}
-# Other archives, substrings in order, first match wins.
+    "wikipedia_en_football",
+    "wikipedia_en_basketball",
+    "wikipedia_en_baseball",
+    "wikipedia_en_cricket",
+    "wikipedia_en_tennis",
+    "wikipedia_en_golf",
+    "wikipedia_en_ice-hockey",
+    "wikipedia_en_movies",
+    "wikipedia_en_indian-cinema",
+    "wikipedia_en_nollywood",
+    "wikipedia_en_ray-charles",
+    "wikipedia_en_comics",
+    "wikipedia_en_knots",
+)
+# Question-and-answer hosts and their categories.
+HOSTS = (
+    ("security.stackexchange.com", "cybersecurity"),
+    ("crypto.stackexchange.com", "cybersecurity"),
+    ("reverseengineering.stackexchange.com", "cybersecurity"),
+    ("tor.stackexchange.com", "cybersecurity"),
+    ("physics.stackexchange.com", "physics"),
+    ("chemistry.stackexchange.com", "chemistry"),
+    ("medicalsciences.stackexchange.com", "medicine"),
+    ("history.stackexchange.com", "history"),
+    ("genealogy.stackexchange.com", "history"),
+    ("hsm.stackexchange.com", "history"),
+    ("biology.stackexchange.com", "science"),
+    ("astronomy.stackexchange.com", "science"),
+    ("earthscience.stackexchange.com", "science"),
+    ("space.stackexchange.com", "science"),
+    ("scicomp.stackexchange.com", "science"),
+    ("mattermodeling.stackexchange.com", "science"),
+    ("bioinformatics.stackexchange.com", "science"),
+    ("skeptics.stackexchange.com", "science"),
+    ("psychology.stackexchange.com", "science"),
+    ("math.stackexchange.com", "math"),
+    ("mathoverflow.net", "math"),
+    ("matheducators.stackexchange.com", "math"),
+    ("mathematica.stackexchange.com", "math"),
+    ("stats.stackexchange.com", "math"),
+    ("or.stackexchange.com", "math"),
+    ("proofassistants.stackexchange.com", "math"),
+    ("quant.stackexchange.com", "math"),
+    ("stackoverflow.com", "programming"),
+    ("serverfault.com", "programming"),
+    ("superuser.com", "programming"),
+    ("askubuntu.com", "programming"),
+    ("stackapps.com", "programming"),
+    ("unix.stackexchange.com", "programming"),
+    ("dba.stackexchange.com", "programming"),
+    ("devops.stackexchange.com", "programming"),
+    ("softwareengineering.stackexchange.com", "programming"),
+    ("cs.stackexchange.com", "programming"),
+    ("cstheory.stackexchange.com", "programming"),
+    ("codereview.stackexchange.com", "programming"),
+    ("codegolf.stackexchange.com", "programming"),
+    ("sqa.stackexchange.com", "programming"),
+    ("datascience.stackexchange.com", "programming"),
+    ("ai.stackexchange.com", "programming"),
+    ("genai.stackexchange.com", "programming"),
+    ("computergraphics.stackexchange.com", "programming"),
+    ("gamedev.stackexchange.com", "programming"),
+    ("arduino.stackexchange.com", "programming"),
+    ("raspberrypi.stackexchange.com", "programming"),
+    ("iot.stackexchange.com", "programming"),
+    ("langdev.stackexchange.com", "programming"),
+    ("opensource.stackexchange.com", "programming"),
+    ("softwarerecs.stackexchange.com", "programming"),
+    ("webapps.stackexchange.com", "programming"),
+    ("webmasters.stackexchange.com", "programming"),
+    ("wordpress.stackexchange.com", "programming"),
+    ("drupal.stackexchange.com", "programming"),
+    ("joomla.stackexchange.com", "programming"),
+    ("magento.stackexchange.com", "programming"),
+    ("craftcms.stackexchange.com", "programming"),
+    ("expressionengine.stackexchange.com", "programming"),
+    ("tridion.stackexchange.com", "programming"),
+    ("sitecore.stackexchange.com", "programming"),
+    ("salesforce.stackexchange.com", "programming"),
+    ("sharepoint.stackexchange.com", "programming"),
+    ("tex.stackexchange.com", "programming"),
+    ("vi.stackexchange.com", "programming"),
+    ("emacs.stackexchange.com", "programming"),
+    ("android.stackexchange.com", "programming"),
+    ("apple.stackexchange.com", "programming"),
+    ("elementaryos.stackexchange.com", "programming"),
+    ("blender.stackexchange.com", "programming"),
+    ("retrocomputing.stackexchange.com", "programming"),
+    ("engineering.stackexchange.com", "engineering"),
+    ("electronics.stackexchange.com", "engineering"),
+    ("robotics.stackexchange.com", "engineering"),
+    ("3dprinting.stackexchange.com", "engineering"),
+    ("mechanics.stackexchange.com", "engineering"),
+    ("ham.stackexchange.com", "engineering"),
+    ("aviation.stackexchange.com", "engineering"),
+    ("drones.stackexchange.com", "engineering"),
+    ("woodworking.stackexchange.com", "engineering"),
+    ("networkengineering.stackexchange.com", "engineering"),
+)
+# Substrings of other archives and their categories, first match wins.
 OTHER = (
-    ("cyberstrategy", "armypubs"),
-    ("cybersecurity", "privacydefence.org_en_opsecbible anonymousplanet.org sh1.org thalesdoc cloudflare.com_en_learning-center"),
-    ("medicine", "medlineplus.gov nhs.uk_en_medicines wwwnc.cdc.gov irp.fas.org_en_military-medicine"),
-    ("history", "womenshistory.si.edu folgerpedia.folger.edu"),
-    ("science", "apod.nasa.gov encyclopedie-environnement.org"),
-    ("math", "planetmath stacks.math.columbia.edu mspeekenbrink learningstatisticswithr learningstatistics ethanweed lost-stats.github.io"),
-    ("engineering", "cd3wdproject survivorlibrary openwrt.org"),
-    (
-        "programming",
-        "php.net docs.python.org peps.python lua.org dart.dev getbootstrap htdp.org opendatastructures jeffe.cs.illinois.edu gobyexample "
-        "www.mankier.com devhints.io permacomputing.net",
-    ),
-    (
-        "base",
-        "khanacademy milneopentextbooks booksdash citizensinformation.ie www.ready.gov_en internet-encyclopedia-philosophy based.cooking foss.cooking "
-        "publicdomainrecipes grimgrains gotquestions openmusictheory music.dalitio.de mutopiaproject chopin.lib.uchicago.edu solar.lowtechmagazine 100r.co",
-    ),
+    ("armypubs", "cyberstrategy"),
+    ("privacydefence.org_en_opsecbible", "cybersecurity"),
+    ("anonymousplanet.org", "cybersecurity"),
+    ("sh1.org", "cybersecurity"),
+    ("thalesdoc", "cybersecurity"),
+    ("cloudflare.com_en_learning-center", "cybersecurity"),
+    ("medlineplus.gov", "medicine"),
+    ("nhs.uk_en_medicines", "medicine"),
+    ("wwwnc.cdc.gov", "medicine"),
+    ("irp.fas.org_en_military-medicine", "medicine"),
+    ("womenshistory.si.edu", "history"),
+    ("folgerpedia.folger.edu", "history"),
+    ("apod.nasa.gov", "science"),
+    ("encyclopedie-environnement.org", "science"),
+    ("planetmath", "math"),
+    ("stacks.math.columbia.edu", "math"),
+    ("mspeekenbrink", "math"),
+    ("learningstatisticswithr", "math"),
+    ("learningstatistics", "math"),
+    ("ethanweed", "math"),
+    ("lost-stats.github.io", "math"),
+    ("cd3wdproject", "engineering"),
+    ("survivorlibrary", "engineering"),
+    ("openwrt.org", "engineering"),
+    ("php.net", "programming"),
+    ("docs.python.org", "programming"),
+    ("peps.python", "programming"),
+    ("lua.org", "programming"),
+    ("dart.dev", "programming"),
+    ("getbootstrap", "programming"),
+    ("htdp.org", "programming"),
+    ("opendatastructures", "programming"),
+    ("jeffe.cs.illinois.edu", "programming"),
+    ("gobyexample", "programming"),
+    ("www.mankier.com", "programming"),
+    ("devhints.io", "programming"),
+    ("permacomputing.net", "programming"),
+    ("khanacademy", "base"),
+    ("milneopentextbooks", "base"),
+    ("booksdash", "base"),
+    ("citizensinformation.ie", "base"),
+    ("www.ready.gov_en", "base"),
+    ("internet-encyclopedia-philosophy", "base"),
+    ("based.cooking", "base"),
+    ("foss.cooking", "base"),
+    ("publicdomainrecipes", "base"),
+    ("grimgrains", "base"),
+    ("gotquestions", "base"),
+    ("openmusictheory", "base"),
+    ("music.dalitio.de", "base"),
+    ("mutopiaproject", "base"),
+    ("chopin.lib.uchicago.edu", "base"),
+    ("solar.lowtechmagazine", "base"),
+    ("100r.co", "base"),
 )
 
 
 def substring_rules() -> list[tuple[str, int, str, str]]:
     """(site, ordinal, pattern, category) of all substring rules."""
-    wiki = [("wikipedia", k, WIKIPEDIA_PREFIX + p, c) for k, (p, c) in enumerate(WIKIPEDIA)]
-    other = [(p, c) for c, ps in OTHER for p in ps.split()]
-    return wiki + [("other", k, p, c) for k, (p, c) in enumerate(other)]
-
-
-def host_rules() -> list[tuple[str, str]]:
-    """(host, category) of all exact hosts."""
-    return [(h if "." in h else f"{h}.stackexchange.com", c) for c, hosts in HOSTS.items() for h in hosts.split()]
-
-
-def skip_patterns() -> list[str]:
-    return [f"{WIKIPEDIA_PREFIX}_{s}" for s in WIKIPEDIA_SKIP]
+    return [(site, k, p, c) for site, rules in (("wikipedia", WIKIPEDIA), ("other", OTHER)) for k, (p, c) in enumerate(rules)]
 
 
 def host_of(name: Column) -> Column:
@@ -93,10 +211,10 @@ def _first_match(lower: Column, site: str) -> Column:
 def classify(site: Column, name: Column) -> Column:
     """The category of an archive, null if it is to be skipped. Narrow: no join, no UDF."""
     lower = F.lower(name)
-    skipped = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(s)) for s in skip_patterns()])
+    skipped = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(s)) for s in WIKIPEDIA_SKIP])
     host = host_of(name)
     by_category: dict[str, list[str]] = {}
-    for h, c in host_rules():
+    for h, c in HOSTS:
         by_category.setdefault(c, []).append(h)
     exchange = reduce(lambda rest, c: F.when(host.isin(by_category[c]), F.lit(c)).otherwise(rest), by_category, F.lit(None).cast("string"))
     fixed = reduce(lambda rest, s: F.when(site == s, F.lit(SITE_CATEGORY[s])).otherwise(rest), SITE_CATEGORY, F.lit(None).cast("string"))
@@ -115,7 +233,7 @@ def rules_table(spark: SparkSession) -> DataFrame:
 
 def hosts_table(spark: SparkSession) -> DataFrame:
     """The exact hosts as rows; a fixed 82 of them."""
-    return spark.createDataFrame(host_rules(), "host string, category string")
+    return spark.createDataFrame(list(HOSTS), "host string, category string")
 
 
 def classify_by_join(entries: DataFrame, site: str, name: str, key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import format_document, split_trace, unicode_trim
 from ..schemas import RECORD_FIELDS
+from ..session import stage_table
 from ..sources.traces import ASSISTANT_ROLES, USER_ROLES
 
 ALWAYS = ("instruction", "thinking", "response")
@@ -57,24 +58,16 @@ def limited(records: DataFrame, order: list[str], most: int) -> DataFrame:
 def numbered(records: DataFrame, order: str, by_range: int | None = None) -> DataFrame:
     """Add rn, the number of every row in the order of a unique column, without a window over all rows.
 
-    Rows are dealt to ranges of the column and numbered inside them; the ranges'
-    row counts, one number each, give what to add.
+    Rows are dealt to ranges of the column, written once, and numbered inside
+    their range; a table with one row per range tells how many come before.
     """
     n = by_range or int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = records.select(F.percentile_approx(order, [k / n for k in range(1, n)], 1000).alias("q")).first()["q"] if n > 1 else []
-    bounds = sorted(set(quantiles or []))
-    block = F.lit(0)
-    for k, b in enumerate(bounds):
-        block = F.when(F.col(order) >= b, k + 1).otherwise(block)
-    dealt = records.withColumn("__block", block)
-    counts = {r["__block"]: r["n"] for r in dealt.groupBy("__block").agg(F.count("*").alias("n")).collect()}
-    before, total = {}, 0
-    for k in range(len(bounds) + 1):
-        before[k] = total
-        total += counts.get(k, 0)
-    offset = F.create_map(*[F.lit(x).cast("bigint") for k, v in before.items() for x in (k, v)])[F.col("__block").cast("bigint")]
+    dealt = stage_table(records.repartitionByRange(n, order).withColumn("__block", F.spark_partition_id()))
+    earlier = Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("__block").agg(F.count("*").alias("__n"))
+    before = counts.select("__block", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
     inner = F.row_number().over(Window.partitionBy("__block").orderBy(order))
-    return dealt.withColumn("rn", inner + offset).drop("__block")
+    return dealt.join(F.broadcast(before), "__block").withColumn("rn", inner + F.col("__before")).drop("__block", "__before")
 
 
 def chunked(records: DataFrame, order: str, per_file: int = 1000) -> DataFrame:

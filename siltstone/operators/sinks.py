@@ -3,24 +3,56 @@
 from __future__ import annotations
 
 import json
+import re
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import key_category
+from ..functions.rules import CATEGORIES
+from ..sources import files
+from ..sources.manifests import FIELDS
 from .records import chunked, complete, document, json_line
 
 
 def manifest_json(manifest: DataFrame) -> str:
     """A manifest as an indented JSON object with sorted keys. Manifests are catalogs of archives: small beside what they list."""
     rows = {r["key"]: {k: v for k, v in r.asDict().items() if k != "key" and v not in (None, "", [], 0)} for r in manifest.collect()}
+    return _indented(rows)
+
+
+def _indented(rows: dict) -> str:
     return json.dumps(rows, indent=2, sort_keys=True, ensure_ascii=False) + "\n"
 
 
-def write_manifests(manifest: DataFrame, folder: str) -> None:
-    """One folder per category; categories that the manifest doesn't name stay as they are. Malformed keys are left out."""
+def category_maps(manifest: DataFrame) -> DataFrame:
+    """(category, value): one JSON map of key to dataset for every category in the keys. Malformed keys are left out, empty fields too."""
+    present = []
+    for c in FIELDS:
+        kind = manifest.schema[c].dataType.typeName() if c in manifest.columns else None
+        if kind is not None:
+            empty = F.size(c) == 0 if kind == "array" else F.col(c) == (0 if kind in ("long", "integer") else "")
+            present.append(F.when(~empty, F.col(c)).alias(c))
     keyed = manifest.withColumn("category", key_category(F.col("key"))).where("category <> ''")
-    keyed.repartition("category").sortWithinPartitions("category", "key").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("category").json(folder)
+    rows = keyed.groupBy("category").agg(F.array_sort(F.collect_list(F.struct("key", F.struct(*present).alias("d")))).alias("rows"))
+    return rows.select("category", F.to_json(F.map_from_entries("rows")).alias("value"))
+
+
+def write_manifests(manifest: DataFrame, folder: str, managed: Iterable[str] = CATEGORIES) -> None:
+    """One ``<category>.json`` per category, replaced as a whole.
+
+    Files of managed categories that the manifest no longer names are deleted;
+    all others stay as they are. One category's map at a time passes the driver.
+    """
+    spark = manifest.sparkSession
+    written = set()
+    for row in category_maps(manifest).toLocalIterator():
+        files.write_text(spark, f"{folder}/{row['category']}.json", _indented(json.loads(row["value"])))
+        written.add(row["category"])
+    for category in set(managed) - written:
+        files.delete(spark, f"{folder}/{category}.json")
 
 
 def write_json_lines(records: DataFrame, folder: str) -> None:
@@ -28,8 +60,22 @@ def write_json_lines(records: DataFrame, folder: str) -> None:
     records.where(complete()).select(json_line().alias("value")).write.mode("overwrite").text(folder)
 
 
-def write_markdown(records: DataFrame, folder: str, order: str, per_file: int = 1000) -> None:
-    """Documents in files of ``per_file``, one partition folder for each; earlier output is replaced as a whole."""
+def write_markdown(records: DataFrame, folder: str, slug: str, order: str, per_file: int = 1000) -> int:
+    """Documents in files ``<slug>-00000.md`` and so on, of ``per_file`` each; the number of files.
+
+    Spark writes the files beside their place; then each is renamed. Files of an
+    earlier run with higher numbers stay.
+    """
+    spark = records.sparkSession
     doc = document()  # its last line end is the line separator of the text sink
     rows = chunked(records, order, per_file).withColumn("value", doc.substr(F.lit(1), F.length(doc) - 1))
-    rows.repartition("file_seq").sortWithinPartitions("file_seq", "position").select("value", "file_seq").write.mode("overwrite").partitionBy("file_seq").text(folder)
+    beside = f"{folder}/.parts-{uuid.uuid4().hex}"
+    parts = rows.repartition("file_seq").sortWithinPartitions("file_seq", "position").select("value", "file_seq")
+    parts.write.option("maxRecordsPerFile", 0).partitionBy("file_seq").text(beside)
+    n = 0
+    for path in files.listed(spark, f"{beside}/file_seq=*/part-*"):
+        seq = int(re.search(r"file_seq=(\d+)/", path)[1])
+        files.rename(spark, path, f"{folder}/{slug}-{seq:05d}.md")
+        n += 1
+    files.delete(spark, beside)
+    return n

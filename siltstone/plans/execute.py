@@ -7,6 +7,7 @@ present is skipped.
 
 from __future__ import annotations
 
+import logging
 import os
 import shutil
 import subprocess
@@ -15,10 +16,15 @@ import uuid
 from collections.abc import Callable, Iterator
 from urllib.request import urlopen
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage_table
+
 RESULT = "key string, action string, bytes bigint, error string"
+_ARROW = pa.schema([("key", pa.string()), ("action", pa.string()), ("bytes", pa.int64()), ("error", pa.string())])
+log = logging.getLogger("siltstone")
 
 
 def fetch_to_file(url: str, place: str, timeout: float = 90) -> int:
@@ -37,7 +43,7 @@ def fetch_to_file(url: str, place: str, timeout: float = 90) -> int:
             os.remove(part)
 
 
-def fetch_one(row: Row, root: str, retries: int, delay: float) -> tuple[str, str, int, str | None]:
+def fetch_one(row: dict, root: str, retries: int, delay: float) -> tuple[str, str, int, str | None]:
     """Skip what has the expected size; else fetch, with waits of delay * 2^(k-1) between attempts."""
     place, size = os.path.join(root, row["key"]), row["size"] or 0
     if os.path.isfile(place) and size in (0, os.path.getsize(place)):
@@ -60,7 +66,7 @@ def fetch_one(row: Row, root: str, retries: int, delay: float) -> tuple[str, str
     return row["key"], "failed", 0, error
 
 
-def convert_one(row: Row, root: str, force: bool) -> tuple[str, str, int, str | None]:
+def convert_one(row: dict, root: str, force: bool) -> tuple[str, str, int, str | None]:
     """Run the converter on one archive; with ``force`` earlier output goes first."""
     archive, output = os.path.join(root, row["key"]), os.path.join(root, row["output"])
     if not os.path.isfile(archive):
@@ -77,24 +83,38 @@ def convert_one(row: Row, root: str, force: bool) -> tuple[str, str, int, str |
     return row["key"], "extract", 0, None
 
 
-def _run(plan: DataFrame, jobs: int, one: Callable[[Row], tuple]) -> DataFrame:
-    """One row per item, items spread over ``jobs`` tasks; the work is done once, when the result is collected."""
+def find_converter(name: str) -> str:
+    """The converter's path; one that isn't there is an error before any work."""
+    if (found := shutil.which(name)) is None:
+        raise FileNotFoundError(f"converter {name!r} is not on the path: install it, or name it with --converter")
+    return found
+
+
+def _run(plan: DataFrame, jobs: int, one: Callable[[dict], tuple], stop: bool) -> DataFrame:
+    """One row per item, items spread over ``jobs`` tasks. The work is done here, once; its results are a written table.
 
-    def work(rows: Iterator[Row]) -> Iterator[tuple]:
-        return (one(r) for r in rows)
+    stop: the first item that fails is an error, and Spark ends the other tasks.
+    """
 
-    done = plan.repartition(jobs, "key").rdd.mapPartitions(work).collect()
-    return plan.sparkSession.createDataFrame(done, RESULT)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                done = one(row)
+                if stop and done[1] == "failed":
+                    raise RuntimeError(f"{done[0]}: {done[3]}")
+                yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, done, strict=True))], _ARROW)
 
+    return stage_table(plan.repartition(jobs, "key").mapInArrow(work, RESULT))
 
-def download(plan: DataFrame, root: str, jobs: int = 4, retries: int = 4, delay: float = 1.0) -> DataFrame:
+
+def download(plan: DataFrame, root: str, jobs: int = 4, retries: int = 4, delay: float = 1.0, stop: bool = False) -> DataFrame:
     """key, action (skip, download, failed), bytes and error of every item of a manifest or download plan."""
-    return _run(plan.select("key", "url", "size"), jobs, lambda r: fetch_one(r, root, retries, delay))
+    return _run(plan.select("key", "url", "size"), jobs, lambda r: fetch_one(r, root, retries, delay), stop)
 
 
-def extract(plan: DataFrame, root: str, jobs: int = 4, force: bool = False) -> DataFrame:
+def extract(plan: DataFrame, root: str, jobs: int = 4, force: bool = False, stop: bool = False) -> DataFrame:
     """key, action (skip, extract, failed) and error of every archive of an extraction plan."""
-    return _run(plan.select("key", "output", "argv"), jobs, lambda r: convert_one(r, root, force))
+    return _run(plan.select("key", "output", "argv"), jobs, lambda r: convert_one(r, root, force), stop)
 
 
 def failures(result: DataFrame, keep_going: bool = False) -> DataFrame:
@@ -105,13 +125,39 @@ def failures(result: DataFrame, keep_going: bool = False) -> DataFrame:
     return failed
 
 
-def train(plan: DataFrame, program: str, directory: str, env: dict[str, str] | None = None, keep_going: bool = False, run=subprocess.run) -> list[str]:
-    """Run the steps of a training plan in order on the driver; the models whose step failed."""
-    failed = []
+def train(
+    plan: DataFrame,
+    program: str,
+    directory: str,
+    env: dict[str, str] | None = None,
+    keep_going: bool = False,
+    run=subprocess.run,
+    require_corpus: Callable[[str], object] | None = None,
+    checkpoint: Callable[[], str] | None = None,
+) -> list[str]:
+    """Run the steps of a training plan in order on the driver; the models whose step failed.
+
+    require_corpus: called with the data folder of each step before it runs, and
+    fails where there is nothing to train on. checkpoint: called before the first
+    specialty; the checkpoint that all of them start from.
+    """
+    failed, start = [], None
     for step in plan.orderBy("step", "model").collect():
-        done = run([program, *step["argv"]], cwd=directory, env={**os.environ, **(env or {})})
-        if done.returncode:
-            if step["stage"] != "specialty" or not keep_going:
+        argv = list(step["argv"])
+        specialty = step["stage"] == "specialty"
+        try:
+            if require_corpus is not None:
+                require_corpus(argv[argv.index("--data-dir") + 1])
+            if specialty and checkpoint is not None:
+                start = start or checkpoint()
+                argv[argv.index("--init-model") + 1] = start
+            log.info("train: %s %s", step["stage"], step["model"])
+            done = run([program, *argv], cwd=directory, env={**os.environ, **(env or {})})
+            if done.returncode:
                 raise RuntimeError(f"{step['stage']} {step['model']}: exit {done.returncode}")
+        except (RuntimeError, OSError) as e:
+            if not specialty or not keep_going:
+                raise
+            log.warning("train: %s: %s", step["model"], e)
             failed.append(step["model"])
     return failed

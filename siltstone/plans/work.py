@@ -54,10 +54,16 @@ class TrainSettings:
     base: str = "base"
     reuse_base: bool = False
     tokenizer_present: bool = False
+    model_tag: str = ""
 
     @property
     def tag(self) -> str:
-        return f"d{self.depth}"
+        return self.model_tag or f"d{self.depth}"
+
+    @property
+    def checkpoint_folder(self) -> str:
+        """Where a training of the base writes its checkpoints."""
+        return f"{self.base_dir}/domains/{self.base}/base_checkpoints/{self.tag}"
 
 
 def requested_models(manifest: DataFrame, settings: TrainSettings = TrainSettings()) -> DataFrame:
@@ -86,7 +92,7 @@ def train_plan(manifest: DataFrame, settings: TrainSettings = TrainSettings()) -
         )
     head = spark.createDataFrame(fixed, "step int, stage string, model string, category string, argv array<string>")
     category = model_category(F.col("model"), s.prefix)
-    checkpoint = f"{s.base_dir}/{s.base}/{s.tag}/model_{s.num_iterations:06d}.gn"
+    checkpoint = f"{s.checkpoint_folder}/model_{s.num_iterations:06d}.gn"
     argv = F.array(
         *map(F.lit, ["run", "./cmd/base_train", "--domain"]), category, F.lit("--init-model"), F.lit(checkpoint), F.lit("--data-dir"),
         F.concat(F.lit(f"{s.datasets}/"), category), *map(F.lit, [*shape, "--base-dir", s.base_dir, "--model-tag", s.tag, *size]),

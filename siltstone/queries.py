@@ -320,7 +320,7 @@ _SIZE = f"'--device-batch-size', '{_S.device_batch_size}', '--num-iterations', '
     '--vocab-size', '131072', '--max-chars', '2000000', '--base-dir', 'checkpoints'] AS argv
   UNION ALL SELECT 1, 'base', 'lm-base', 'base', ['run', './cmd/base_train', '--domain', 'base', '--data-dir', 'datasets/base', '--data-format', 'markdown',
     '--base-dir', 'checkpoints', '--model-tag', 'd20', '--depth', '20', '--preset', 'flash', '--vocab-size', '131072', '--max-seq-len', '512', {_SIZE}]
-  UNION ALL SELECT 2, 'specialty', model, category, ['run', './cmd/base_train', '--domain', category, '--init-model', 'checkpoints/base/d20/model_000200.gn',
+  UNION ALL SELECT 2, 'specialty', model, category, ['run', './cmd/base_train', '--domain', category, '--init-model', 'checkpoints/domains/base/base_checkpoints/d20/model_000200.gn',
     '--data-dir', 'datasets/' || category, '--data-format', 'markdown', '--base-dir', 'checkpoints', '--model-tag', 'd20', {_SIZE}] FROM m""")
 def train_plan(spark, d):
     return work.train_plan(V.manifest(spark, d))
@@ -334,8 +334,8 @@ RANK_SQL = "CASE flavour WHEN 'nopic' THEN 0 WHEN 'maxi' THEN 1 WHEN 'mini' THEN
 FILE_SQL = r"""CASE WHEN lower(b) LIKE '%.zim' THEN b ELSE '' END"""
 BASE_SQL = r"""regexp_replace(regexp_extract(regexp_replace(regexp_extract(href, '^([^?#]*)', 1), '/$', ''), '([^/]*)$', 1), '\.meta4$', '')"""
 SUBSTRING_SQL = lambda site: "(CASE " + " ".join(f"WHEN contains(lower(name), {quote(p)}) THEN '{c}'" for s, _, p, c in rules.substring_rules() if s == site) + " END)"
-HOSTS_SQL = "(CASE " + " ".join(f"WHEN split_part(lower(name), '_', 1) = '{h}' THEN '{c}'" for h, c in rules.host_rules()) + " END)"
-SKIP_SQL = " OR ".join(f"contains(lower(name), {quote(s)})" for s in rules.skip_patterns())
+HOSTS_SQL = "(CASE " + " ".join(f"WHEN split_part(lower(name), '_', 1) = '{h}' THEN '{c}'" for h, c in rules.HOSTS) + " END)"
+SKIP_SQL = " OR ".join(f"contains(lower(name), {quote(s)})" for s in rules.WIKIPEDIA_SKIP)
 CLASS_SQL = f"""(CASE WHEN site = 'wikipedia' THEN CASE WHEN NOT ({SKIP_SQL}) THEN {SUBSTRING_SQL('wikipedia')} END
   WHEN site = 'stack_exchange' THEN {HOSTS_SQL} WHEN site = 'other' THEN {SUBSTRING_SQL('other')}
   {' '.join(f"WHEN site = '{s}' THEN '{c}'" for s, c in rules.SITE_CATEGORY.items())} END)"""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from urllib.error import HTTPError
 from urllib.parse import quote_plus
 from urllib.request import Request, urlopen
 
@@ -44,10 +46,20 @@ def read_pages(spark: SparkSession, folder: str, pattern: str = "*.xml") -> Data
 
 def fetch(url: str, timeout: float) -> bytes:
     """A page; any status but 200 is an error that quotes at most 256 bytes of it."""
-    with urlopen(Request(url, headers={"User-Agent": USER_AGENT, "Accept": "application/atom+xml,application/xml"}), timeout=timeout) as answer:  # noqa: S310
-        if answer.status != 200:
-            raise OSError(f"{url}: status {answer.status}: {answer.read(256)!r}")
-        return answer.read()
+    try:
+        with urlopen(Request(url, headers={"User-Agent": USER_AGENT, "Accept": "application/atom+xml,application/xml"}), timeout=timeout) as answer:  # noqa: S310
+            if answer.status == 200:
+                return answer.read()
+            status, said = answer.status, answer.read(256)
+    except HTTPError as e:
+        status, said = e.code, e.read(256)
+    raise OSError(f"{url}: status {status}: {said!r}")
+
+
+def discovered_categories(spark: SparkSession, base: str, timeout: float = 90) -> list[str]:
+    """The categories that a catalog names, in its order."""
+    page = fetch(f"{base.rstrip('/')}/categories", timeout).decode()
+    return [r["category"] for r in category_titles(spark.createDataFrame([(page,)], "value string")).collect()]
 
 
 def page_urls(base: str, category: str, start: int, count: int, lang: str) -> str:
@@ -80,7 +92,8 @@ class CatalogReader(DataSourceReader):
 
     def __init__(self, options):
         self.base = options["baseUrl"]
-        self.categories = [c for c in options["categories"].split(",") if c]
+        self.categories = [c for c in re.split(r"[,\n]", options["categories"]) if c]
+        self.keep_going = options.get("keepGoing", "false").lower() == "true"
         self.lang, self.count = options.get("lang", "eng"), int(options.get("count", "100"))
         self.most, self.timeout = int(options.get("maxPages", "1000")), float(options.get("timeout", "90"))
 
@@ -91,19 +104,32 @@ class CatalogReader(DataSourceReader):
         def get(start: int) -> str:
             return fetch(page_urls(self.base, partition.value, start, self.count, self.lang), self.timeout).decode()
 
-        for k, page in enumerate(walk_pages(get, self.most)):
-            yield partition.value, k, page
+        pages = []
+        try:
+            pages = list(walk_pages(get, self.most))
+        except Exception as e:
+            if not self.keep_going:
+                raise
+            yield partition.value, -1, None, str(e)
+            return
+        for k, page in enumerate(pages):
+            yield partition.value, k, page, None
 
 
 class CatalogSource(DataSource):
-    """``spark.read.format("catalog_feed")``: site, page, value. Options: baseUrl, categories (comma-joined), lang, count, maxPages, timeout."""
+    """``spark.read.format("catalog_feed")``: site, page, value, error.
+
+    Options: baseUrl, categories (joined by commas or line ends), lang, count,
+    maxPages, timeout, and keepGoing: a category that fails is one row with its
+    error, in place of an error of the query.
+    """
 
     @classmethod
     def name(cls):
         return "catalog_feed"
 
     def schema(self):
-        return "site string, page int, value string"
+        return "site string, page int, value string, error string"
 
     def reader(self, schema):
         return CatalogReader(self.options)

@@ -26,9 +26,9 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, folder: str) -> DataFrame:
-    """All ``*.json`` of a folder; of a key in several files the row of the last file (by name) counts. A missing folder is empty."""
+    """All ``*.json`` of a folder; of a key in several files the row of the last file (by name) counts. A folder without any is empty."""
     try:
-        files = spark.read.option("pathGlobFilter", "*.json").text(folder, wholetext=True)
+        files = spark.read.text(f"{folder}/*.json", wholetext=True)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise

@@ -12,6 +12,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ..functions.text import compact_list, field_or_blank, split_trace, unicode_trim
 from ..schemas import RECORD_FIELDS
 
+HUB = "https://huggingface.co/api/datasets"  # listings are at <hub>/<repo>/parquet/<config>/<split>
 USER_ROLES, ASSISTANT_ROLES = ("user", "human"), ("assistant", "gpt")
 
 
@@ -154,3 +155,15 @@ class ShardListSource(DataSource):
 
     def reader(self, schema):
         return ShardListReader(self.options)
+
+
+def listed_shards(spark: SparkSession, url: str) -> DataFrame:
+    """ordinal and url of the shards that a listing names; an empty listing is an error."""
+    spark.dataSource.register(ShardListSource)
+    return spark.read.format("shard_list").option("url", url).load()
+
+
+def shard_plan(shards: DataFrame, slug: str) -> DataFrame:
+    """ordinal, key, url and size of the shards, as a download plan."""
+    key = F.format_string(f"datasets/reasoning/{slug}/shard-%05d.parquet", "ordinal")
+    return shards.select("ordinal", key.alias("key"), "url", F.lit(0).cast("bigint").alias("size"))

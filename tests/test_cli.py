@@ -7,6 +7,7 @@ import pytest
 
 from siltstone import cli
 from siltstone.plans import execute, work
+from siltstone.sources import catalog, files
 
 FEED = '<feed xmlns="http://www.w3.org/2005/Atom"><totalResults>3</totalResults><startIndex>{start}</startIndex>{entries}</feed>'
 NAMES = ["math.stackexchange.com_en_all", "physics.stackexchange.com_en_all", "cooking.stackexchange.com_en_all"]
@@ -15,16 +16,26 @@ NAMES = ["math.stackexchange.com_en_all", "physics.stackexchange.com_en_all", "c
 class Handler(http.server.BaseHTTPRequestHandler):
     failures = {"/flaky": 2}
     hits: list[str] = []
+    shard = b""
 
     def do_GET(self):
         self.hits.append(self.path)
         path = self.path.split("?")[0]
-        if path == "/missing" or self.failures.get(path, 0) > 0:
+        if path in ("/missing", "/hub/none/parquet/default/train") or self.failures.get(path, 0) > 0:
             self.failures[path] = self.failures.get(path, 1) - 1
-            self.send_error(404 if path == "/missing" else 503)
+            self.send_error(503 if path == "/flaky" else 404)
             return
         body = b"data"
-        if path == "/entries":
+        if path == "/categories":
+            entries = "".join(f"<entry><title> {t} </title></entry>" for t in ("stack_exchange", "", "broken"))
+            body = FEED.format(start=0, entries=entries).encode()
+        elif path.startswith("/hub/"):
+            body = json.dumps([f"http://{self.headers['Host']}/shards/{k}" for k in range(3)]).encode()
+        elif path.startswith("/shards/"):
+            body = Handler.shard
+        elif path == "/entries" and "category=broken" in self.path:
+            body = b"<html>try later</html>"
+        elif path == "/entries":
             start = int(self.path.split("start=")[1].split("&")[0])
             entries = "".join(
                 f'<entry><id>urn:{n}</id><name>{n}</name><language>eng</language><link rel="x" type="application/x-zim" href="https://h/{n}.zim.meta4" length="7"/></entry>'
@@ -47,10 +58,22 @@ def server():
     web.shutdown()
 
 
-def test_update_reads_the_feed(spark, server, tmp_path):
-    cli.main(["--datasets", str(tmp_path), "update", "--base-url", server, "--category", "stack_exchange"], spark)
-    rows = spark.read.json(str(tmp_path / "manifests")).collect()
-    assert {r["key"]: r["size"] for r in rows} == {f"datasets/{n.split('.')[0]}/{n}.zim": 7 for n in NAMES[:2]}
+def test_update_then_download(spark, server, tmp_path, caplog):
+    """What update writes, download reads; a category that fails is left out with a warning, or is an error."""
+    (tmp_path / "history.json").write_text("{}")
+    command = ["--datasets", str(tmp_path), "update", "--base-url", server]
+    out = cli.main([*command, "--keep-going"], spark)
+    assert {tuple(r) for r in out.collect()} == {("math", 1, 7), ("physics", 1, 7)}
+    assert "broken is left out" in caplog.text and sorted(p.name for p in tmp_path.glob("*.json")) == ["math.json", "physics.json"]
+    plan = cli.main(["--datasets", str(tmp_path), "download", "--dry-run"], spark).collect()
+    assert {r["key"]: r["size"] for r in plan} == {f"datasets/{n.split('.')[0]}/{n}.zim": 7 for n in NAMES[:2]}
+    with pytest.raises(Exception, match="not a catalog feed"):
+        cli.main(command, spark)
+
+
+def test_fetch_quotes_the_answer(server):
+    with pytest.raises(OSError, match="status 404: b'"):
+        catalog.fetch(f"{server}/missing", 5)
 
 
 def test_download(spark, server, tmp_path):
@@ -63,6 +86,8 @@ def test_download(spark, server, tmp_path):
     assert again.first()["action"] == "skip"
     with pytest.raises(RuntimeError, match="z.zim|w.zim"):
         execute.failures(execute.download(plan, str(tmp_path), 1, 0))
+    with pytest.raises(Exception, match="z.zim|w.zim"):
+        execute.download(plan, str(tmp_path), 1, 0, stop=True)
 
 
 def test_commands_on_manifests(spark, tmp_path):
@@ -71,6 +96,8 @@ def test_commands_on_manifests(spark, tmp_path):
     assert cli.main(["--datasets", str(tmp_path), "download", "--dry-run", "--model", "lm-math"], spark).count() == 1
     with pytest.raises(ValueError, match="exceeds"):
         cli.main(["--datasets", str(tmp_path), "download", "--dry-run", "--max-bytes", "10"], spark)
+    with pytest.raises(FileNotFoundError, match="not on the path"):
+        cli.main(["--datasets", str(tmp_path), "extract", "--dry-run", "--converter", "no-such-tool"], spark)
     with pytest.raises(SystemExit, match="nothing"):
         cli.main(["--datasets", str(tmp_path), "extract", "--dry-run", "--model", "none"], spark)
     assert [r["stage"] for r in cli.main(["--datasets", str(tmp_path), "train", "--dry-run"], spark).collect()] == ["tokenizer", "base", "specialty"]
@@ -109,9 +136,54 @@ def test_train_runs_in_order(spark):
         execute.train(work.train_plan(rows), "go", ".", {"X": "1"}, run=run)
 
 
+def test_train_checks_corpora_and_takes_the_latest_checkpoint(spark, tmp_path):
+    rows = spark.createDataFrame([("k", "lm-math"), ("k", "lm-art")], "key string, model string")
+    settings = work.TrainSettings(datasets=str(tmp_path / "d"), base_dir=str(tmp_path / "c"), reuse_base=True, tokenizer_present=True)
+    for path in ("d/math/markdown/x.md", "c/domains/base/base_checkpoints/d20/model_000007.gn"):
+        (tmp_path / path).parent.mkdir(parents=True)
+        (tmp_path / path).write_text("x")
+    calls = []
+
+    def run(argv, cwd, env):
+        calls.append(argv[argv.index("--init-model") + 1])
+        return type("Done", (), {"returncode": 0})
+
+    checks = {"require_corpus": lambda d: files.require_markdown(spark, d), "checkpoint": lambda: files.require_checkpoint(spark, settings.checkpoint_folder)}
+    assert execute.train(work.train_plan(rows, settings), "go", ".", keep_going=True, run=run, **checks) == ["lm-art"]
+    assert calls == [str(tmp_path / "c/domains/base/base_checkpoints/d20/model_000007.gn")]
+    with pytest.raises(FileNotFoundError, match="no Markdown"):
+        execute.train(work.train_plan(rows, settings), "go", ".", run=run, **checks)
+
+
+def trace_rows(spark, n=7):
+    rows = [(f"q{k}", f"<think>t{k}</think>a{k}" if k % 2 else "plain") for k in range(n)]
+    return spark.createDataFrame(rows, "instruction string, response string").coalesce(1)
+
+
 def test_reasoning_command(spark, tmp_path):
-    rows = [(f"q{k}", f"<think>t{k}</think>a{k}" if k % 2 else "plain") for k in range(7)]
-    spark.createDataFrame(rows, "instruction string, response string").coalesce(1).write.parquet(str(tmp_path / "s"))
-    out = cli.main(["--datasets", str(tmp_path / "d"), "reasoning", str(tmp_path / "s"), "--slug", "x", "--limit", "5", "--per-file", "2"], spark)
-    assert tuple(out.first()) == (5, 2)
-    assert len(list((tmp_path / "d/markdown/x").glob("file_seq=*"))) == 3
+    trace_rows(spark).write.parquet(str(tmp_path / "s"))
+    out = cli.main(["--root", str(tmp_path), "reasoning", str(tmp_path / "s"), "--slug", "x", "--limit", "5", "--per-file", "2"], spark)
+    assert tuple(out.first()) == ("x", 1, 5, 2, 3)
+    folder = tmp_path / "datasets/base/markdown/x"
+    assert sorted(p.name for p in folder.glob("*.md")) == ["x-00000.md", "x-00001.md", "x-00002.md"]
+    assert folder.joinpath("x-00002.md").read_text().count("### Question") == 1
+    assert len(spark.read.json(str(tmp_path / "datasets/reasoning/x.jsonl")).collect()) == 2
+
+
+def test_reasoning_of_the_manifest(spark, server, tmp_path):
+    """Shards are listed, fetched only as far as the limit asks, ingested and deleted."""
+    trace_rows(spark).write.parquet(str(tmp_path / "s"))
+    Handler.shard = next((tmp_path / "s").glob("*.parquet")).read_bytes()
+    item = {"url": "", "model": "lm-math", "kind": "reasoning", "repo": "some/traces"}
+    (tmp_path / "reasoning.json").write_text(json.dumps({"datasets/reasoning/tr": item}))
+    command = ["--root", str(tmp_path), "--datasets", str(tmp_path), "reasoning", "--hub", f"{server}/hub"]
+    plan = cli.main([*command, "--dry-run"], spark).collect()
+    assert [r["key"] for r in plan] == [f"datasets/reasoning/tr/shard-0000{k}.parquet" for k in range(3)]
+    Handler.hits.clear()
+    assert tuple(cli.main([*command, "--limit", "9"], spark).first()) == ("tr", 2, 9, 4, 1)
+    assert [h for h in Handler.hits if h.startswith("/shards/")] == ["/shards/0", "/shards/1"]
+    assert not list((tmp_path / "datasets/reasoning/tr").glob("shard*")) and (tmp_path / "datasets/math/markdown/tr/tr-00000.md").exists()
+    out = cli.main([*command, "--repo", "some/traces", "--slug", "one", "--keep-shards"], spark)
+    assert tuple(out.first()) == ("one", 3, 21, 9, 1) and len(list((tmp_path / "datasets/reasoning/one").glob("shard*"))) == 3
+    with pytest.raises(Exception, match="404"):
+        cli.main([*command, "--repo", "none"], spark)

@@ -118,7 +118,7 @@ def test_classify_by_join_agrees(spark):
 
 def test_rule_tables():
     assert len(rules.substring_rules()) == 16 + 54
-    hosts = rules.host_rules()
+    hosts = rules.HOSTS
     assert len(hosts) == len({h for h, _ in hosts}) == 27 + 45 + 10
     assert {c for _, c in hosts} | {r[3] for r in rules.substring_rules()} <= set(rules.CATEGORIES)
 

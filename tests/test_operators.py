@@ -81,18 +81,6 @@ def test_manifest_files(spark, tmp_path):
         manifests.read_manifest(spark, str(tmp_path / "g.json"))
 
 
-def test_write_manifests(spark, rows, tmp_path):
-    sinks.write_manifests(rows, str(tmp_path / "m"))
-    sinks.write_manifests(rows.where("size = 0"), str(tmp_path / "m"))
-    assert {r["category"] for r in spark.read.json(str(tmp_path / "m")).collect()} == {"base", "physics", "programming"}
-    assert list(json.loads(sinks.manifest_json(rows.where("size = 10")))["datasets/base/a.zim"]) == ["categories", "model", "site", "size"]
-
-
-FEED = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom" xmlns:dc="http://purl.org/dc/terms/"><totalResults>41</totalResults>
-<entry><id>urn:1</id><title> T </title><name>n</name><language>eng</language><articleCount>342</articleCount><dc:issued>2026-01-01T00:00:00Z</dc:issued>
-<author><name>other</name></author><link rel="acq" href="h.zim" type="application/x-zim" length="246517760"/></entry><entry><title> </title></entry></feed>"""
-
-
 def test_feed(spark):
     row = feeds.feed_entries(spark.createDataFrame([(FEED,)], "value string")).where("position = 0").first()
     assert (row["name"], row["articleCount"], row["issued"], row["link"][0]["_length"]) == ("n", 342, "2026-01-01T00:00:00Z", 246517760)
@@ -215,9 +203,41 @@ def test_markdown_chunks(spark, tmp_path):
     rows = record_rows(spark, 23).orderBy(F.rand(3))
     got = sorted((r["place"], r["file_seq"], r["position"]) for r in records.chunked(rows, "place", 5).collect())
     assert got == [(k, k // 5, k % 5 + 1) for k in range(23)]
-    sinks.write_markdown(rows, str(tmp_path / "m"), "place", 5)
-    parts = sorted((tmp_path / "m").glob("file_seq=*/part-*"))
-    assert len(parts) == 5 and parts[0].read_text().startswith("### Question\n\nq0\n\n### Reasoning\n\nt\n\n---\n\n### Question\n\nq1")
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/s-00009.md").write_text("of an earlier run")
+    assert sinks.write_markdown(rows, str(tmp_path / "m"), "s", "place", 5) == 5
+    assert [r["path"].rsplit("/", 1)[1] for r in files.markdown_files(spark, str(tmp_path / "m")).collect()] == [f"s-0000{k}.md" for k in (0, 1, 2, 3, 4, 9)]
+    assert sinks.write_markdown(rows, str(tmp_path / "m"), "s", "place", 5) == 5
+    parts = sorted(p for p in (tmp_path / "m").iterdir() if p.suffix == ".md")
+    assert parts[0].read_text().startswith("### Question\n\nq0\n\n### Reasoning\n\nt\n\n---\n\n### Question\n\nq1")
+
+
+def test_many_ranges(spark):
+    rows = record_rows(spark, 3000).orderBy(F.rand(3))
+    assert records.numbered(rows, "place", 2000).where("rn <> place + 1").count() == 0
+    assert records.numbered(rows.limit(0), "place", 4).count() == 0
+
+
+def test_manifests_by_category(spark, tmp_path):
+    rows = [("datasets/math/b.zim", "u", ["math"], 5), ("datasets/math/a.zim", "v", [], 0), ("datasets/base/c.zim", "w", None, None), ("bad", "x", [], 1)]
+    found = spark.createDataFrame(rows, "key string, url string, categories array<string>, size bigint")
+    for name in ("physics", "reasoning"):
+        (tmp_path / f"{name}.json").write_text("{}")
+    sinks.write_manifests(found, str(tmp_path))
+    assert sorted(p.name for p in tmp_path.glob("*.json")) == ["base.json", "math.json", "reasoning.json"]
+    assert json.loads((tmp_path / "math.json").read_text()) == {"datasets/math/a.zim": {"url": "v"}, "datasets/math/b.zim": {"url": "u", "categories": ["math"], "size": 5}}
+    back = manifests.read_manifests(spark, str(tmp_path))
+    assert {(r["key"], r["url"], r["size"]) for r in back.collect()} == {("datasets/math/b.zim", "u", 5), ("datasets/math/a.zim", "v", None), ("datasets/base/c.zim", "w", None)}
+
+
+def test_required_files(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="no checkpoint"):
+        files.require_checkpoint(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError, match="no Markdown"):
+        files.require_markdown(spark, str(tmp_path / "none"))
+    for k in (2, 10):
+        (tmp_path / f"model_{k:06d}.gn").write_text("")
+    assert files.require_checkpoint(spark, str(tmp_path)) == str(tmp_path / "model_000010.gn")
 
 
 def test_limit_after_filters(spark):
@@ -244,7 +264,7 @@ def test_train_plan(rows):
     plan = work.train_plan(rows).collect()
     assert [(r["stage"], r["model"]) for r in plan] == [("tokenizer", ""), ("base", "lm-base"), ("specialty", "lm-physics"), ("specialty", "lm-programming")]
     argv = plan[2]["argv"]
-    assert argv[argv.index("--init-model") + 1].endswith("base/d20/model_000200.gn") and argv[argv.index("--domain") + 1] == "physics"
+    assert argv[argv.index("--init-model") + 1].endswith("checkpoints/domains/base/base_checkpoints/d20/model_000200.gn") and argv[argv.index("--domain") + 1] == "physics"
     reused = work.train_plan(rows, work.TrainSettings(reuse_base=True, tokenizer_present=True)).collect()
     assert [r["stage"] for r in reused] == ["specialty", "specialty"]
 
