@@ -53,8 +53,15 @@ ROW_PARTS = frozenset("tr td th thead tbody tfoot".split())
 UNDRAWN = frozenset("annotation annotation-xml clippath defs desc lineargradient marker mask metadata pattern radialgradient symbol".split())  # of svg and math
 HEAD_CONTENT = frozenset("title base link meta style script noscript template head html".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# In a tag, quotes count only where a value begins; elsewhere they are characters like any other.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([A-Za-z][^\s/>]*)((?>[\s/]+|[^\s/>=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?|=)*+)(?:>|\Z)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+MOST_DEPTH = 512  # as in the tree builders of browsers
+MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML itself has it
 SPACE = re.compile(r"[ \t\n\r\f]+")
 INVISIBLE_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden", re.I)
 
@@ -145,7 +152,7 @@ def build_tree(markup: str) -> Node:
             at = stop.end() if stop else end
         elif name not in VOID and not (m[3].endswith("/") and name not in BLOCKS and name not in HIDDEN):
             stack.append(node)
-        if len(stack) > 400:  # depth beyond any real page: deeper elements become siblings
+        if len(stack) > MOST_DEPTH:  # deeper elements become siblings; none of their text is lost
             stack.pop()
     return root
 
@@ -321,9 +328,9 @@ def _holds_rows(node: Node) -> bool:
     return False
 
 
-def _span(cell: Node, name: str) -> int:
+def _span(cell: Node, name: str, most: int) -> int:
     value = cell.attributes.get(name, "1")
-    return max(1, min(int(value), 100)) if re.fullmatch(r"\d{1,6}", value) else 1
+    return max(1, min(int(value), most)) if re.fullmatch(r"\d{1,6}", value) else 1
 
 
 def _table(table: Node, out: Layout) -> None:
@@ -351,10 +358,10 @@ def _table(table: Node, out: Layout) -> None:
             _render(holder, inner, False, [])
             inner.end_line()
             out.items += inner.items
-            wide = _span(cell, "colspan")
+            wide = _span(cell, "colspan", MOST_COLUMNS)
             cells.append(([x for x in inner.lines if x], wide))
             for c in range(column, column + wide):
-                waiting[c] = _span(cell, "rowspan") - 1
+                waiting[c] = _span(cell, "rowspan", MOST_ROWS) - 1
             column += wide
         if any(lines for lines, _ in cells):
             grid.append(cells)
