@@ -519,9 +519,10 @@ def cut_spans(text: Column, spans: Column) -> Column:
 
 def deduplicated(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
     """The documents with every repeated passage cut from all but the first document that holds it."""
-    removed = repeated_passages(docs, key, text, least_run).select(F.col(key).alias("cut_key"), F.col("removed").alias("cut_spans"))
-    joined = docs.join(removed, F.col(key) == F.col("cut_key"), "left")
-    return joined.withColumn(text, F.when(F.size("cut_spans") > 0, cut_spans(F.col(text), F.col("cut_spans"))).otherwise(F.col(text))).drop("cut_key", "cut_spans")
+    removed = repeated_passages(docs, key, text, least_run).select(F.col(key).alias("key"), F.col("removed").alias("spans"))
+    joined = docs.select(F.struct("*").alias("row")).join(removed, F.col("row")[key].eqNullSafe(F.col("key")), "left")
+    cut = F.when(F.size("spans") > 0, cut_spans(F.col("row")[text], F.col("spans"))).otherwise(F.col("row")[text])
+    return joined.select(F.col("row").withField(text, cut).alias("row")).select("row.*")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
