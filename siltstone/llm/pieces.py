@@ -1,13 +1,15 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie.
 
-The vocabulary (pieces with log scores) is read from a model file that is never
-copied or trained here. The best segmentation is the one with the largest sum of
+The vocabulary is read from a model file that is never copied or trained here;
+a file of merges has ranks in place of scores, which ``log_scores`` turns into
+log scores. The best segmentation is the one with the largest sum of
 scores. Characters that no piece covers become byte pieces; the marker U+2581
 stands for a space, and one is put before every text.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a model file
+MERGES = 2  # the kind of a model whose pieces are merged pair by pair
 UNKNOWN_PENALTY = 10.0
 
 
@@ -29,14 +32,25 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def log_scores(pieces: list[tuple[str, float, int]]) -> list[tuple[str, float, int]]:
+    """Pieces of a merge vocabulary, whose scores are 0, -1, -2, ... in the order of the merges, with log scores.
+
+    Merges come in falling order of frequency, so by Zipf's law the piece of rank
+    r has a probability in proportion to 1 / (r + 1). Nothing is trained.
+    """
+    total = math.log(sum(1 / (1 - s) for _, s, kind in pieces if kind == NORMAL) or 1)
+    return [(p, -math.log(1 - s) - total if kind == NORMAL else s, kind) for p, s, kind in pieces]
+
+
 def read_pieces(model: str) -> list[tuple[str, float, int]]:
-    """(piece, score, kind) by id from a SentencePiece model file."""
+    """(piece, log score, kind) by id from a SentencePiece model file: its own scores for a unigram model, else those of the merges' ranks."""
     from sentencepiece import sentencepiece_model_pb2
 
     proto = sentencepiece_model_pb2.ModelProto()
     with open(model, "rb") as f:
         proto.ParseFromString(f.read())
-    return [(p.piece, p.score, p.type) for p in proto.pieces]
+    found = [(p.piece, p.score, p.type) for p in proto.pieces]
+    return log_scores(found) if proto.trainer_spec.model_type == MERGES else found
 
 
 class DoubleArray:

@@ -74,8 +74,8 @@ def test_fit_raises_the_likelihood():
         chains.append((x, k % 2))
     model = quality.fit(chains)
     assert model.weights[2] < 0 and quality.fit(chains) == model
-    right = sum(np.mean(quality.viterbi((x @ np.array(model.weights)).tolist(), model.moves)) > 0.5 == (y == 1) for x, y in chains)
-    assert right >= 0
+    right = sum((np.mean(quality.viterbi((x @ np.array(model.weights)).tolist(), model.moves)) > 0.5) == (y == 1) for x, y in chains)
+    assert right >= 0.7 * len(chains)
     assert quality.fit([]) == quality.UNTRAINED and quality.fit([(np.ones((2, len(quality.FEATURES))), 1)]) == quality.UNTRAINED
 
 
@@ -178,6 +178,22 @@ def test_html_text_outside_of_cells_and_in_controls(page, text, rows):
     assert (got[0], got[3]) == (text, rows)
 
 
+@pytest.mark.parametrize(
+    "page, words",
+    [
+        ("<a title=Bob's>visible words don't show</a>", "visible words don't show"),
+        ("<p class=a\"b>one</p><p data-x='<b>'>two</p>", "one two"),
+        ("<p title = \"a > b\" hidden>no</p><p =x>yes</p>", "yes"),
+        ("<div title=\"never closed>kept <b>text</b>", "kept text"),
+        ("<p a='1'b='2'>near</p><br/><i x=/y/>end</i>", "near end"),
+        ("<b>" * 3000 + "deep" + "</b>" * 3000, "deep"),
+        ("<table><tr><td colspan=200>wide<td>next</table>", "wide next"),
+    ],
+)
+def test_html_quotes_in_tags(page, words):
+    assert html_text.render(page)[0].split() == words.split()
+
+
 def test_html_operator(spark):
     pages = spark.createDataFrame([(1, "<p>a", "x"), (1, "<p>a", "x"), (2, None, "x"), (3, "", "x")], "page_id long, html string, text string")
     assert sorted((r["page_id"], r["text"]) for r in html_text.extract_text(pages).collect()) == [(1, "a"), (1, "a"), (2, ""), (3, "")]
@@ -201,7 +217,7 @@ def test_reader_takes_members_in_turn():
 
 def test_reader_refuses_broken_archives():
     whole = member(b"payload")
-    with pytest.raises((warc.BadArchive, Exception)):
+    with pytest.raises(warc.BadArchive):
         list(warc.read_records(io.BytesIO(whole[:-9])))
     raw = gzip.decompress(whole)
     with pytest.raises(warc.BadArchive, match="content length"):
@@ -465,7 +481,9 @@ def test_pieces_like_the_library(codec, spark):
     proto = sentencepiece_model_pb2.ModelProto()
     with open(pieces.default_model(), "rb") as f:
         proto.ParseFromString(f.read())
-    proto.trainer_spec.model_type = 1  # the same pieces and scores as a unigram model
+    proto.trainer_spec.model_type = 1  # the same pieces as a unigram model, with the log scores
+    for piece, (_, score, _) in zip(proto.pieces, codec.pieces, strict=True):
+        piece.score = score
     library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
     words = sorted({w for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect() for w in r["text"].split()})[:1500]
     equal = 0
@@ -479,6 +497,17 @@ def test_pieces_like_the_library(codec, spark):
     assert equal >= 0.95 * len(words)
 
 
+def test_scores_are_log_probabilities(codec, spark):
+    """They add up to one, and words are cut into about as many pieces as by merging."""
+    import sentencepiece
+
+    assert sum(math.exp(s) for _, s, kind in codec.pieces if kind == pieces.NORMAL) == pytest.approx(1)
+    merging = sentencepiece.SentencePieceProcessor(model_file=pieces.default_model())
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).collect() if r["text"]]
+    ours, theirs = sum(len(codec.encode(t)) for t in texts), sum(map(len, merging.encode(texts)))
+    assert ours <= 1.05 * theirs
+
+
 @pytest.mark.parametrize("text", ["", " ", "  a", "a ", "\n\n", "漢字😀 é\x00\t", "x" * 5000, "ab " * 3000])
 def test_pieces_round_trip(codec, text):
     ids = codec.encode(text)
@@ -592,5 +621,14 @@ def test_passages_odd_rows(odd_documents, no_documents):
     assert cdc.repeated_passages(no_documents, "doc_id").count() == 0
 
 
+def test_cut_passages_of_null_keys_and_clashing_columns(spark):
+    """A passage that a null key shares with key 5 is found; the null key comes last, so it loses the passage. Other columns may have any name."""
+    passage = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(5, "five " + passage, 1, "a"), (None, "none " + passage, 2, "b"), (7, "short", 3, None)], "key long, text string, cut_key int, spans string")
+    assert {r["key"] for r in cdc.repeated_passages(docs, "key").collect()} == {5, None}
+    got = sorted(cdc.deduplicated(docs, "key").collect(), key=lambda r: r["cut_key"])
+    assert [(r["key"], r["text"].strip(), r["spans"]) for r in got] == [(5, "five " + passage, "a"), (None, "none", "b"), (7, "short", None)]
+
+
 def test_known_digest():
     assert warc.base32_sha1(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ" and hashlib.sha1(b"").hexdigest().startswith("da39")
