@@ -489,8 +489,9 @@ def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run:
     spans = f"array<{SPAN}>"
 
     def answered(asked: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-        back = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_answers, shape)
-        return (back if texts is None else texts.unionByName(back)).repartition(buckets, "chunk").sortWithinPartitions("chunk", "bucket")
+        partitions = min(buckets, packed.MOST_PARTITIONS)  # a task goes through its buckets and chunks one by one
+        back = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_answers, shape)
+        return (back if texts is None else texts.unionByName(back)).repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket")
 
     asked = answered(rows.mapInArrow(lambda b: _ask_anchors(b, least_run, buckets), shape), rows.mapInArrow(lambda b: _texts(b, least_run), shape))
     asked = answered(asked.mapInArrow(lambda b: _ask_runs(b, least_run, buckets, most), shape))

@@ -142,9 +142,10 @@ def score_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     asked = rows.mapInArrow(ask, "bucket long, chunk long, ask binary, cnts binary")
     shape = "chunk long, bucket long, b0 binary, b1 binary, b2 binary, b3 binary"
-    answered = asked.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, shape)
+    partitions = min(buckets, packed.MOST_PARTITIONS)  # a task goes through its buckets and chunks one by one
+    answered = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, shape)
     encoded = rows.mapInArrow(encode, shape)
-    back = encoded.unionByName(answered).repartition(buckets, "chunk").sortWithinPartitions("chunk", "bucket")
+    back = encoded.unionByName(answered).repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket")
     parts = stage_table(back.mapInArrow(score, "doc long, n_words long, part double, n_whole long, n_backoffs long"))
     total = parts.agg(F.sum("n_words")).first()[0] or 1
     log_score = F.col("part") - F.col("n_whole") * F.lit(math.log(total))
