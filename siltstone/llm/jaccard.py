@@ -263,7 +263,8 @@ def frequent_groups(classes: DataFrame) -> DataFrame:
 
 def frequent_leaders(often: DataFrame, percent: int) -> DataFrame:
     """The pairs of every class with the leaders of its frequent shingles."""
-    lead = often.groupBy("tok").agg(F.min(F.struct("share", "cid", "n", "at")).alias("l"), F.count("*").alias("m")).where("m > 1")
+    # written, so that adaptive execution may split a hot shingle's side of the join
+    lead = stage_table(often.groupBy("tok").agg(F.min(F.struct("share", "cid", "n", "at")).alias("l"), F.count("*").alias("m")).where("m > 1"))
     pairs = often.join(lead, "tok").where("cid <> l.cid")
     fit = _fits(F.col("n"), F.col("l.n"), F.col("at"), F.col("l.at"), percent).cast("int")
     swap = F.col("cid") > F.col("l.cid")
@@ -283,7 +284,7 @@ def with_partners(often: DataFrame, percent: int) -> DataFrame:
     rows = often.select("tok", "cid", "n", "share", (F.col("n") - F.col("at")).alias("left"), "comp", band)
     told = rows.groupBy("tok", "band").agg(F.max("left").alias("left"), F.min("n").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y"))
     near = told.select("tok", F.explode(F.sequence(F.col("band") - 2, F.col("band") + 2)).alias("band"), F.struct("left", "n", "x", "y").alias("s"))
-    near = near.groupBy("tok", "band").agg(F.collect_list("s").alias("near"))
+    near = stage_table(near.groupBy("tok", "band").agg(F.collect_list("s").alias("near")))
 
     def fits(s: Column) -> Column:
         shortest = F.greatest(s["n"], F.ceil(percent * F.col("n") / 100))
@@ -300,7 +301,7 @@ def merged_groups(rows: DataFrame) -> DataFrame:
     and mostly the same leader, so each class is verified in few groups instead
     of one for each shingle. Any pair of one group stays in one.
     """
-    lead = rows.groupBy("tok").agg(F.min(F.struct("share", "cid"))["cid"].alias("grp"))
+    lead = stage_table(rows.groupBy("tok").agg(F.min(F.struct("share", "cid"))["cid"].alias("grp")))
     return rows.join(lead, "tok").select("grp", "cid").distinct()
 
 
@@ -451,7 +452,7 @@ def unit_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], roles
 
 def leader_units(pairs: DataFrame) -> DataFrame:
     """Units of pairs (a, b): the members of every a, in parts of about LEADER_BLOCK."""
-    sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("m")), "a")
+    sized = pairs.join(stage_table(pairs.groupBy("a").agg(F.count("*").alias("m"))), "a")
     part = sized.select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / LEADER_BLOCK)).cast("int").alias("u1"))
     leaders = part.select("a", "u1").distinct().select(F.col("a").alias("u0"), "u1", F.lit(-1).alias("u2"), F.lit(0).alias("role"), F.col("a").alias("cid"))
     return leaders.unionByName(part.select(F.col("a").alias("u0"), "u1", F.lit(-1).alias("u2"), F.lit(1).alias("role"), F.col("b").alias("cid")))
@@ -567,8 +568,8 @@ class Classes:
         rare = stage_table(rare_pairs(live.join(comp, "cid"), self.plan, self.percent))
         # beside the counted shingles, a pair may share those of large groups, which are frequent ones if all of these are known
         pairs = stage_table(candidates(rare, self.percent, F.col("h") if self.whole else F.lit(1 << 30)))
-        large = stage_table(merged_groups(with_partners(self.often.join(comp, "cid"), self.percent)))
-        large = large.join(large.groupBy("grp").agg(F.count("*").alias("m")), "grp")
+        large = stage_table(merged_groups(stage_table(with_partners(self.often.join(comp, "cid"), self.percent))))
+        large = large.join(stage_table(large.groupBy("grp").agg(F.count("*").alias("m"))), "grp")
         # beyond what the order knows, large groups of rare shingles come from their buckets
         unknown = rare.where("kind = 1").select((-1 - F.col("a")).alias("grp"), F.col("b").alias("cid"), F.col("c").cast("bigint").alias("m"))
         units = stage_table(leader_units(pairs).unionByName(block_units(large.unionByName(unknown))))
