@@ -4,9 +4,13 @@ A passage is a run of at least ``least_run`` code points that two documents
 hold. In every such run, the half runs with the smallest hash are anchors; they
 depend on the run alone, so texts that share a run share an anchor. Anchors that
 several documents hold mark the places where runs are worth comparing; there,
-every run is compared with those of all documents, and overlapping runs make the
+runs are compared with those of all documents, and overlapping runs make the
 passages. The smallest key that holds a run keeps it.
 
+Long runs of twice the length, chosen alike by the smallest hash, are compared
+with the anchors. A smaller key that holds a long run holds the runs in it too,
+so these are known without asking; the smallest key of each run always asks.
+
 Anchors and runs go to buckets by their hash as one block for each chunk of
 texts, and the answers return to the chunk. A chunk names a run once, with its
 smallest and largest key, so a passage of many documents is no hot group.
@@ -34,7 +38,7 @@ WINDOW, AVERAGE_BITS, LEAST, MOST, LEAST_RUN = 16, 4, 24, 256, 96
 _SIZE_BITS = 20
 SPAN = "struct<start:bigint,end:bigint>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-CHUNK, PIECE = 3 << 20, 1 << 18  # code points that are asked for together, and hashed together
+CHUNK, PIECE = 2 << 20, 1 << 18  # code points that are asked for together, and hashed together
 LONGEST_WORD, FIRST_WIDE = 32, 0x2E80  # letters of a word that a span may end in; from here on scripts don't set words apart
 _NULL = (1 << 63) - 1
 _LETTERS = np.array([chr(c).isalnum() for c in range(FIRST_WIDE)] + [False])
@@ -207,9 +211,22 @@ def anchors(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.nd
     return at, h[at]
 
 
+def long_runs(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of runs of 2 * ``least_run`` code points: in each of them starts one that the run itself decides."""
+    n = least_run + 1
+    if len(points) < 2 * least_run:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    h, whole = run_hashes(points, least_run, 2 * least_run)
+    fits = room[: len(whole)] >= 2 * least_run
+    least = np.where(fits, _sliding(h, n, np.minimum), np.uint64(0))
+    outside = np.zeros(n - 1, np.uint64)
+    at = np.flatnonzero((_sliding(np.concatenate((outside, least, outside)), n, np.maximum) == h)[: len(whole)] & fits)
+    return at, whole[at]
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[tuple[int, int, np.ndarray]]:
     """(id, offset, code points) of the texts; long ones in pieces that overlap, so that each run is whole in one of them, with what stands beside it."""
-    for batch in batches:
+    for batch in (b.slice(k, 64) for b in batches for k in range(0, len(b), 64)):  # a few texts at once as strings
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             points = np.frombuffer((text or "").encode("utf-32-le"), np.uint32)
             for at in range(0, len(points) - least_run + 1, PIECE):
@@ -220,14 +237,19 @@ def _signed(block: bytes) -> np.ndarray:
     return packed.unpack(block).view(np.int64)
 
 
-def _asks(chunk: int, keys: np.ndarray, ids: np.ndarray, buckets: int) -> list[tuple[int, int, list[bytes]]]:
-    """Rows that ask each bucket for keys, with the smallest and the largest id that hold them here."""
+def _asks(chunk: int, keys: np.ndarray, ids: np.ndarray, above: np.ndarray, buckets: int) -> list[tuple[int, int, list[bytes]]]:
+    """Rows that ask each bucket for keys, with the smallest and the largest id that hold them here.
+
+    above: of each place, whether a larger id is known to hold its key, which then counts as the largest of all.
+    """
     order = np.argsort(keys, kind="stable")
     begin = np.flatnonzero(np.diff(keys[order], prepend=~keys[order][:1])) if len(keys) else np.zeros(0, np.int64)
     unique = keys[order][begin]
-    low, high = (of.reduceat(ids[order], begin) if len(keys) else ids for of in (np.minimum, np.maximum))
+    low, high = (of.reduceat(x[order], begin) if len(keys) else x for of, x in ((np.minimum, ids), (np.maximum, np.where(above, _NULL, ids))))
+    low = low.view(np.uint64)
+    spread = np.where(high == _NULL, np.uint64(0), high.view(np.uint64) - low + np.uint64(1))  # 0: to the largest of all
     return [
-        (b, chunk, [packed.pack(unique[lo:hi], True), packed.pack(low[lo:hi].view(np.uint64)), packed.pack((high[lo:hi] - low[lo:hi]).view(np.uint64))])
+        (b, chunk, [packed.pack(unique[lo:hi], True), packed.pack(low[lo:hi]), packed.pack(spread[lo:hi])])
         for b, lo, hi in packed.by_bucket(unique, 64, buckets)
     ]
 
@@ -247,7 +269,8 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         keys = [packed.unpack(r[2][0], True) for r in asked]
         low = np.concatenate([_signed(r[2][1]) for r in asked])
-        high = low + np.concatenate([_signed(r[2][2]) for r in asked])
+        spread = np.concatenate([_signed(r[2][2]) for r in asked])
+        high = np.where(spread == 0, _NULL, low + spread - 1)
         together = np.concatenate(keys)
         order = np.argsort(together, kind="stable")
         begin = np.flatnonzero(np.diff(together[order], prepend=~together[order][:1]))
@@ -261,7 +284,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(out)
 
 
-def _told(keys: np.ndarray, ids: np.ndarray, answers: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+def _told(keys: np.ndarray, ids: np.ndarray, above: np.ndarray, answers: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Whether a smaller, and whether a larger id holds each key of a chunk."""
     unique, where = np.unique(keys, return_inverse=True)
     flags = np.concatenate([np.zeros(0, np.uint64), *(packed.unpack(r[2][0]) for r in answers)])
@@ -269,10 +292,18 @@ def _told(keys: np.ndarray, ids: np.ndarray, answers: list[tuple]) -> tuple[np.n
         raise RuntimeError("answers of a chunk are missing")
     low, high = np.full(len(unique), np.iinfo(np.int64).max), np.full(len(unique), np.iinfo(np.int64).min)
     np.minimum.at(low, where, ids)
-    np.maximum.at(high, where, ids)
+    np.maximum.at(high, where, np.where(above, _NULL, ids))
     return (flags[where] & np.uint64(1) > 0) | (low[where] < ids), (flags[where] & np.uint64(2) > 0) | (high[where] > ids)
 
 
+def _covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of n places lie in any of the spans."""
+    marks = np.zeros(n + 1, np.int32)
+    np.add.at(marks, begin, 1)
+    np.subtract.at(marks, end, 1)
+    return np.cumsum(marks, out=marks)[:n] > 0
+
+
 def _split(points: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[slice, int, np.ndarray]]:
     """Whole pieces in blocks that fit the cache: (which pieces, first code point, code points)."""
     ends = np.cumsum(sizes)
@@ -293,18 +324,21 @@ def _chunks(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[tuple
         yield base + k, *(np.array(x, np.int64) for x in ([r[0] for r in part], [r[1] for r in part], [len(r[2]) for r in part])), np.concatenate([r[2] for r in part])
 
 
-def _chunk_anchors(points: np.ndarray, sizes: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
-    found = []
+def _chunk_anchors(points: np.ndarray, sizes: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(places, hashes, number of anchors) of a chunk's anchors, and of its long runs after them."""
+    found: tuple[list, list] = ([], [])
     for part, begin, own in _split(points, sizes):
-        at, h = anchors(own, _room(sizes[part]), least_run)
-        found.append((at + begin, h))
-    return np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])
+        room = _room(sizes[part])
+        for kind, of in zip(found, (anchors, long_runs), strict=True):
+            at, h = of(own, room, least_run)
+            kind.append((at + begin, h))
+    return *(np.concatenate([x[k] for kind in found for x in kind]) for k in (0, 1)), sum(len(x[0]) for x in found[0])
 
 
 def _ask_anchors(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for chunk, ids, _, sizes, points in _chunks(batches, least_run):
-        at, h = _chunk_anchors(points, sizes, least_run)
-        rows = _asks(chunk, h, np.repeat(ids, sizes)[at], buckets)
+        at, h, _ = _chunk_anchors(points, sizes, least_run)
+        rows = _asks(chunk, h, np.repeat(ids, sizes)[at], np.zeros(len(at), bool), buckets)
         if rows:
             yield _rows(rows)
 
@@ -327,16 +361,24 @@ def _unpacked(blocks: list[bytes]) -> list[np.ndarray]:
 
 
 def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Asks for every run that holds a shared anchor; the state keeps their text, with a code point on either side if there is one."""
+    """Asks for every run that holds a shared anchor, but for those in a long run of a smaller id.
+
+    The state keeps their text, with a code point on either side if there is
+    one, and what is known of them: 1 if a smaller id holds the run, plus 2 if
+    a larger one does, and the places where that changes.
+    """
     for chunk, rows in packed.groups(batches, 1):
         ids, offsets, sizes, points = _unpacked(rows[0][2])
-        at, h = _chunk_anchors(points, sizes, least_run)
+        at, h, short = _chunk_anchors(points, sizes, least_run)
         piece = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        smaller, larger = _told(h, ids[piece[at]], rows[1:])
-        at = at[smaller | larger]
+        smaller, larger = _told(h, ids[piece[at]], np.zeros(len(at), bool), rows[1:])
         room, n = _room(sizes), len(points)
-        marks = np.bincount(np.maximum(at - (least_run - (least_run // 2 or 1)), 0), minlength=n + 1) - np.bincount(at + 1, minlength=n + 1)
-        wanted = (np.cumsum(marks)[:n] > 0) & (room >= least_run)
+        known = np.zeros(n, np.int8)
+        for value, on in ((1, smaller), (2, larger)):
+            begin = at[short:][on[short:]] + 1  # a run inside has a code point of the long run on either side
+            known += np.int8(value) * _covered(begin, begin + least_run - 1, n)
+        at = at[:short][(smaller | larger)[:short]]
+        wanted = _covered(np.maximum(at - (least_run - (least_run // 2 or 1)), 0), at + 1, n) & (room >= least_run)
         edge = np.diff(np.concatenate(([False], wanted, [False])).astype(np.int8)) != 0
         bounds = np.flatnonzero(edge).reshape(-1, 2)  # no run starts at the end of a piece, so they are apart
         owner = piece[bounds[:, 0]]
@@ -346,9 +388,12 @@ def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, m
         after = (room[begin] > count + least_run - 1).astype(np.int64)
         lengths = before + count + least_run - 1 + after
         text = np.concatenate([np.zeros(0, np.uint32), *(points[b - x : b - x + m] for b, x, m in zip(begin.tolist(), before.tolist(), lengths.tolist(), strict=True))])
-        state = [ids[owner], offsets[owner] + begin - starts[owner], count, before, after, owner, text]
+        known = known[wanted]
+        change = np.flatnonzero(np.diff(known, prepend=np.int8(0)))
+        state = [ids[owner], offsets[owner] + begin - starts[owner], count, before, after, owner, change, known[change], text]
         keys, holders = _run_keys(state, least_run, most)
-        yield _rows([*_asks(chunk, keys, holders, buckets), (chunk % buckets, ~chunk, _packed(*state))])
+        own = known & 1 == 0
+        yield _rows([*_asks(chunk, keys[own], holders[own], known[own] > 1, buckets), (chunk % buckets, ~chunk, _packed(*state))])
 
 
 def _run_keys(state: list[np.ndarray], least_run: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -357,7 +402,7 @@ def _run_keys(state: list[np.ndarray], least_run: int, most: int) -> tuple[np.nd
     A run that starts or ends inside a word (of which it has fewer than ``most``
     letters) is another one than the same run with whole words.
     """
-    ids, _, count, before, after, _, text = state
+    ids, _, count, before, after, *_, text = state
     lengths = before + count + least_run - 1 + after
     found = []
     for part, _, own in _split(text, lengths):
@@ -383,9 +428,11 @@ def _spans(batches: Iterator[pa.RecordBatch], least_run: int, most: int) -> Iter
     """owner, repeated, removed of the pieces that hold any."""
     for _, rows in packed.groups(batches, 1):
         state = _unpacked(rows[0][2])
-        ids, starts, count, before, after, piece, text = state
+        ids, starts, count, before, after, piece, change, value, text = state
         keys, holders = _run_keys(state, least_run, most)
-        smaller, larger = _told(keys, holders, rows[1:])
+        known = np.repeat(np.append(0, value), np.diff(np.concatenate(([0], change, [len(keys)]))))
+        own, smaller, larger = known & 1 == 0, known & 1 > 0, known > 1
+        smaller[own], larger[own] = _told(keys[own], holders[own], known[own] > 1, rows[1:])
         place = np.arange(len(keys)) - np.repeat(np.cumsum(count) - count - starts, count)
         segment = np.repeat(np.arange(len(count)), count)
         lengths = before + count + least_run - 1 + after

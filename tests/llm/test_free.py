@@ -599,6 +599,31 @@ def test_whole_passages_of_two_documents(spark):
     assert {int(r["doc_id"]): r[1:] for r in cdc.repeated_passages(names, "doc_id", whole_words=False).collect()} == {k: r[1:] for k, r in found.items()}
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passages_of_long_copies(spark, seed):
+    """Copies in which long runs are known without asking: whole, cut, edited, repeated inside a document, over several chunks."""
+    rng = random.Random(seed)
+    fresh = lambda n, letters="abcdefghijklmnoprstu": " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range(n))
+    sources = [fresh(250), fresh(250), fresh(400, "ab"), "z" * 700]
+    texts = {}
+    for k in range(40):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            t = rng.choice(sources)
+            a = rng.randint(0, len(t) // 2)
+            parts += [t[a : rng.randint(a + 90, len(t))] if rng.random() < 0.8 else t, fresh(rng.randint(0, 3))]
+        t = " ".join(parts)
+        for _ in range(rng.randint(0, 2)):
+            i = rng.randint(0, len(t))
+            t = t[:i] + rng.choice(["#", "", "é"]) + t[i + 1 :]
+        texts[k - 5] = t
+    docs = spark.createDataFrame(rng.sample(list(texts.items()), len(texts)), "doc_id long, text string").repartition(7)
+    found = {r["doc_id"]: r for r in cdc.repeated_passages(docs, "doc_id", whole_words=False).collect()}
+    for column, smaller in (("repeated", False), ("removed", True)):
+        got = {k: {i for s in (found[k][column] if k in found else []) for i in range(s["start"], s["end"])} for k in texts}
+        assert got == shared_runs(texts, cdc.LEAST_RUN, smaller)
+
+
 def test_passages_end_at_whole_words(spark):
     a, b = "one two three four five six seven eight nine ten " * 3, "unlike "
     rows = [(1, f"xab{a}bcd other words"), (2, f"yab{a}bce"), (3, b + a.replace(" ", "") + "q"), (4, a.replace(" ", "") + "p")]
