@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import input_bytes, stage_table
+from .packed import MOST_PARTITIONS
 
 K = 3
 BIN_BITS, RANK_BITS, PLACE_BITS = 6, 30, 28  # 64 bits: bin, rank in the bin, place in the text
 HASH_BITS = 64 - PLACE_BITS
-KNOTS = 64
-BLOCK_BYTES, MOST_BLOCKS = 2 << 20, 1 << 20
+KNOTS, STEP = 4096, 64  # quantiles of the keys, looked up in two steps
+BLOCK_BYTES, PER_TASK, MOST_BLOCKS = 512 << 10, 16, 1 << 17
+HOT = 64  # a key with more than one of so many rows is split by its texts
 
 
 def _prev(a: Column, by: int = 1) -> Column:
@@ -113,19 +115,28 @@ def as_text(fingerprint: Column) -> Column:
     return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.lower(F.hex(x)), 10, "0")), "")
 
 
-def _block_of(docs: DataFrame, key: str, blocks: int, at: Column) -> Column:
-    """A monotonous map of keys to about ``blocks`` even blocks: quantiles, and straight lines between them."""
-    knots = docs.select(F.percentile_approx(key, [k / KNOTS for k in range(KNOTS + 1)], 10_000).alias("q")).first()["q"]
-    if not knots:
-        return F.lit(0)
-    bounds = sorted(set(knots))
-    out = F.lit(0)
-    per = max(1, blocks // KNOTS)
-    for k, low in enumerate(bounds):
-        high = bounds[k + 1] if k + 1 < len(bounds) else low
-        inner = F.floor((at - F.lit(low)) * F.lit(float(per)) / F.lit(float(high - low))) if high > low else F.lit(0)
-        out = F.when(at >= low, inner + k * per).otherwise(out)
-    return out.cast("long")
+def _with_blocks(rows: DataFrame, blocks: int) -> DataFrame:
+    """Add ``block`` to rows (k, o, h, t): ascending in the order by o and h, with about even numbers of rows.
+
+    Blocks lie between quantiles of o, and are cut by straight lines if there
+    are more blocks than quantiles. A hot key's rows, and those of null keys,
+    are split by h.
+    """
+    n = min(KNOTS, blocks)
+    knots = rows.where("k IS NOT NULL").select(F.percentile_approx("o", [k / n for k in range(n + 1)], 10 * KNOTS).alias("q")).first()["q"] or [0]
+    bounds, per = sorted(set(knots)), -(-blocks // n)
+    hot = [x for x in bounds if knots.count(x) > 1 + n // HOT] if len(bounds) < len(knots) else []
+    numbers = lambda x: F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>")
+    at = F.col("o")
+    upper = F.greatest(F.size(F.filter(numbers(bounds[::STEP]), lambda x: x <= at)) - 1, F.lit(0)) * STEP
+    rows = rows.withColumn("upper", upper)
+    rows = rows.withColumn("place", F.col("upper") + F.size(F.filter(F.slice(numbers(bounds), F.col("upper") + 1, STEP), lambda x: x <= at)) - 1)
+    low, high = (F.get(numbers(bounds), F.col("place") + k).cast("double") for k in (0, 1))
+    inner = F.when(low.isNotNull() & high.isNotNull(), F.least(F.floor((at.cast("double") - low) * per / (high - low)), F.lit(per - 1))).otherwise(0)
+    bits = max(0, blocks.bit_length() - 3)
+    block = F.when(F.col("k").isNull(), F.lit(2 * MOST_BLOCKS)).otherwise(F.col("place") * per + inner).cast("long")
+    split = F.when(F.col("k").isNull() | at.isin(hot), F.shiftright("h", 63 - bits)).otherwise(1 << bits)
+    return rows.withColumn("block", block * ((1 << bits) + 1) + split).drop("upper", "place")
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,8 +144,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     The edited text is the text without its last floor(n_chars / 4) code points
     and with the first as many of the next document (by ascending ``key``, then
-    by text; null keys come last, after the last comes the first). Columns:
-    ``key``, n_chars, edited_sha256, fingerprint, edited_fingerprint,
+    by a hash of the text; null keys come last, after the last comes the first).
+    Columns: ``key``, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next. A null text is empty; a text of fewer than K words
     has one k-mer, an empty one none and an empty fingerprint.
 
@@ -142,22 +153,22 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     what follows the last document of a block comes from a table with one row
     per block.
     """
-    spark = docs.sparkSession
-    blocks = min(MOST_BLOCKS, max(KNOTS, input_bytes(docs) // BLOCK_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = min(MOST_BLOCKS, max(STEP, input_bytes(docs) // BLOCK_BYTES))
     rows = docs.select(
         F.col(key).alias("k"), F.coalesce(F.col(key), F.lit((1 << 63) - 1)).cast("long").alias("o"), F.coalesce(F.col(text), F.lit("")).alias("t")
     )
-    placed = rows.withColumn("block", F.when(F.col("k").isNull(), F.lit(1 << 62)).otherwise(_block_of(docs, key, blocks, F.col("o"))))
-    # the first document of every block: at most MOST_BLOCKS pairs of numbers
-    firsts = stage_table(placed.groupBy("block").agg(F.min("o").alias("o")))
-    heads = placed.join(F.broadcast(firsts), ["block", "o"]).groupBy("block").agg(F.min("t").alias("head_text"))
+    placed = _with_blocks(rows.withColumn("h", F.shiftrightunsigned(F.xxhash64("t"), 1)), blocks)
+    # the first document of every block: numbers, of about MOST_BLOCKS blocks (no more than HOT keys are split)
+    firsts = stage_table(placed.groupBy("block").agg(F.min(F.struct("o", "h")).alias("first")).select("block", "first.*"))
+    heads = placed.join(F.broadcast(firsts), ["block", "o", "h"]).groupBy("block").agg(F.min("t").alias("head_text"))
     in_turn = Window.orderBy("block")
     after = firsts.select("block", F.coalesce(F.lead("block").over(in_turn), F.first("block").over(in_turn)).alias("next_block"))
     heads = with_fingerprint(heads.withColumnRenamed("block", "next_block"), "head_text", "head_print")
     heads = stage_table(after.join(heads, "next_block").drop("next_block").withColumnRenamed("block", "head_block"))
 
-    here = Window.partitionBy("block").orderBy("o", "t")
-    own = with_fingerprint(placed.repartition("block"), "t", "print")
+    here = Window.partitionBy("block").orderBy("o", "h", "t")
+    # several blocks to a task, so that hashed blocks make even tasks
+    own = with_fingerprint(placed.repartition(min(MOST_PARTITIONS, -(-blocks // PER_TASK)), "block"), "t", "print")
     own = own.select("*", F.lead("t").over(here).alias("next_text"), F.lead("print").over(here).alias("next_print"))
     own = own.join(heads, (F.col("block") == F.col("head_block")) & F.col("next_text").isNull(), "left").select(
         "k", "t", "print", F.length("t").alias("n"),

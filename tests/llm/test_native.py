@@ -1,10 +1,15 @@
 """Secret scans, mixing and fingerprints against plain versions."""
 
+import collections
+import functools
 import hashlib
 import itertools
+import random
 import re
+import struct
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from siltstone.llm import mixing, omh, secrets
@@ -148,8 +153,6 @@ def signature(text):
 
 
 def test_fingerprints(spark):
-    import random
-
     rng = random.Random(5)
     words = [f"w{k}" for k in range(400)]
     texts = [" ".join(rng.choices(words, k=rng.choice([0, 1, 2, 3, 10, 200, 900]))) for _ in range(40)]
@@ -174,9 +177,58 @@ def test_fingerprints(spark):
     assert prints["a b c " * 300] != prints["a b c " * 150] and prints["a b c " * 300] != prints["c b a " * 300]
 
 
-def test_likeness_follows_order(spark):
-    import random
+def plain_fingerprint(text):
+    """The fingerprint of a text, in plain Python."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    chain = lambda *parts: signed(functools.reduce(lambda seed, p: xxhash.xxh64_intdigest(p, seed % (1 << 64)), parts, 42))
+    long_, int_ = (lambda x: struct.pack("<q", x)), (lambda x: struct.pack("<i", x))
+    words = [chain(w.encode()) for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    grams = [chain(long_(chain(long_(a), long_(b))), long_(c)) for a, b, c in zip(words, words[1:], words[2:])]
+    if 0 < len(words) < omh.K:
+        grams = [chain(*map(long_, words))]
+    seen, bins = collections.Counter(), collections.defaultdict(list)
+    for place, g in enumerate(grams):
+        g >>= omh.PLACE_BITS
+        numbered = chain(long_(g), int_(seen[g])) >> omh.PLACE_BITS
+        seen[g] += 1
+        bins[numbered >> (omh.HASH_BITS - omh.BIN_BITS)].append((numbered, place))
+    entries = []
+    for b, found in sorted(bins.items()):
+        in_turn = sorted(sorted(found)[:2], key=lambda x: x[1])
+        entries.append((b + (1 << (omh.BIN_BITS - 1))) << 32 | chain(*(long_(x) for x, _ in in_turn)) & 0xFFFFFFFF)
+    return [f"{e:010x}" for e in entries]
+
+
+def plain_likeness(a, b):
+    used = {e[:-8] for e in a} | {e[:-8] for e in b}
+    return len(set(a) & set(b)) / len(used) if used else 1.0
+
+
+@pytest.mark.parametrize("keys", ["unique", "uneven", "hot"])
+def test_fingerprints_like_a_plain_version(spark, keys):
+    """Every column, also for uneven keys, and for a key and null keys that hold a third of the rows each."""
+    rng = random.Random(len(keys))
+    words = [f"w{k}" for k in range(300)] + ["漢字", "é"]
+    texts = [" ".join(rng.choices(words, k=rng.choice([0, 1, 2, 3, 10, 60, 200]))) for _ in range(150)]
+    texts += [texts[7], "a b c " * 200, "a b c " * 100, None, ""]
+    ids = {
+        "unique": rng.sample(range(-500, 500), len(texts)),
+        "uneven": [-(10**18), 10**18, *(k * k * k for k in range(len(texts) - 2))],
+        "hot": [rng.choice([None, 5, rng.randint(-100, 100)]) for _ in texts],
+    }[keys]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(5)
+    order = sorted(((i, t or "") for i, t in zip(ids, texts)), key=lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64_intdigest(r[1].encode(), 42) >> 1))
+    wanted = []
+    for (k, t), (_, nxt) in zip(order, order[1:] + order[:1]):
+        moved = len(t) // 4
+        edited = t[: len(t) - moved] + nxt[:moved]
+        own, other, after = map(plain_fingerprint, (t, edited, nxt))
+        wanted.append((k, len(t), hashlib.sha256(edited.encode()).hexdigest(), "".join(own), "".join(other), plain_likeness(own, other), plain_likeness(own, after)))
+    got = [tuple(r) for r in omh.fingerprints(docs).collect()]
+    assert sorted(got, key=repr) == sorted(wanted, key=repr)
 
+
+def test_likeness_follows_order(spark):
     rng = random.Random(7)
     words = [f"w{k}" for k in range(800)]
     half = words[:400]
