@@ -1,6 +1,7 @@
 """Order MinHash fingerprints, sensitive to edit distance, in DataFrame functions only.
 
-A text is a sequence of words; its k-mers are runs of K words. Every k-mer is
+A text is a sequence of units: words, and the code points of long words (texts
+without spaces, encoded data). Its k-mers are runs of K units. Every k-mer is
 numbered by its occurrence in the text, and each numbered k-mer gets a hash that
 decides its bin and its rank there. Each of the BINS bins selects its two
 smallest numbered k-mers, puts them back in the order of the text and hashes the
@@ -17,6 +18,7 @@ from ..session import input_bytes, stage_table
 from .packed import MOST_PARTITIONS
 
 K = 3
+LONG_WORD = 48  # UTF-8 bytes; a longer word counts as its code points
 BIN_BITS, RANK_BITS, PLACE_BITS = 6, 30, 28  # 64 bits: bin, rank in the bin, place in the text
 HASH_BITS = 64 - PLACE_BITS
 KNOTS, STEP = 4096, 64  # quantiles of the keys, looked up in two steps
@@ -40,7 +42,11 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     place = F.lit((1 << PLACE_BITS) - 1).cast("bigint")
     step = f"{name}_step"
     words = F.filter(F.split(F.col(text), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
-    df = df.withColumn(step, F.transform(words, lambda w: F.xxhash64(w)))
+    long_word = lambda w: F.octet_length(w) > LONG_WORD
+    df = df.withColumn(step, words)
+    cut = F.flatten(F.transform(step, lambda w: F.when(long_word(w), F.split(w, "")).otherwise(F.array(w))))
+    df = df.withColumn(step, F.when(F.exists(step, long_word), cut).otherwise(F.col(step)))
+    df = df.withColumn(step, F.transform(step, lambda w: F.xxhash64(w)))
     n = F.size(step)
     kmers = F.when(
         n >= K,
@@ -146,7 +152,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     and with the first as many of the next document (by ascending ``key``, then
     by a hash of the text; null keys come last, after the last comes the first).
     Columns: ``key``, n_chars, edited_sha256, fingerprint, edited_fingerprint,
-    near_edited, near_next. A null text is empty; a text of fewer than K words
+    near_edited, near_next. A null text is empty; a text of fewer than K units
     has one k-mer, an empty one none and an empty fingerprint.
 
     Documents are dealt to blocks of neighbouring keys, so the texts move once;
