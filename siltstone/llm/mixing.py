@@ -4,7 +4,9 @@ Documents are aggregated by membership pattern (the set of sources that a
 document belongs to). A min-cost flow routes words from patterns to source
 quotas; the cost of a pattern's words is convex in how often they are repeated,
 so repetition is spread before anything is repeated more. Whole documents are
-then selected in a seeded order until each pattern's share is used up.
+then selected in a seeded order until each pattern's share is used up: a
+document that is larger than what is missing is passed over, and the run goes
+on behind it.
 
 Only aggregates reach the driver: one row per membership pattern, and 1024
 histogram bins per pattern for each level of the selection. None of them grows
@@ -14,6 +16,7 @@ with the number of documents.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +24,10 @@ from pyspark.sql import functions as F
 from ..session import stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
-BIN_BITS, LEVELS = 10, 3
+BIN_BITS, LEVELS = 10, 6
+LAST = 1 << BIN_BITS * LEVELS  # above every order
+ROUNDS = 8  # runs through the order, each behind the document at which the one before ended
+NEAR = 2000  # a pattern is done if less than one in so many of its words is missing
 
 
 def n_words(text: Column) -> Column:
@@ -111,6 +117,21 @@ def min_cost_flow(supply: list[int], members: list[list[int]], quotas: list[int]
     return out
 
 
+@dataclass
+class Share:
+    """What a mix takes of a pattern: all documents ``whole`` times, and those of ``picks`` once more.
+
+    A pick (first, stop, largest) means the documents of at most ``largest``
+    words whose order lies from ``first`` to before ``stop``. missing: words of
+    the share that no pick covers yet. near: so few missing words don't matter.
+    """
+
+    whole: int
+    missing: int
+    near: int
+    picks: list[tuple[int, int, int]] = field(default_factory=list)
+
+
 class Mix:
     """How often a mix takes each document, and the sources with their sizes and targets.
 
@@ -119,8 +140,8 @@ class Mix:
     null is 0. The sources' targets share the sum of all sizes by ``weights``;
     no target is above ``most`` times its source's size. Whole documents are
     taken 0 to ``most`` times, in an order seeded by (seed, key), so reruns
-    agree; rows with equal keys and sources are taken alike. Empty tables give
-    no rows.
+    agree; rows with equal keys, sources and sizes are taken alike. Empty tables
+    give no rows.
 
     rows: (key, mix_pattern, mix_size, mix_order) of all documents, written.
     sources: name, size and target of each source.
@@ -137,13 +158,12 @@ class Mix:
         seed: int = 7,
     ):
         names = F.when(F.size(sources) > 0, F.array_distinct(sources)).otherwise(F.array(F.lit(None).cast("string")))
-        self._pattern = F.to_json(F.array_sort(names))
-        self._order = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 64 - BIN_BITS * LEVELS)
-        self.rows = stage_table(
-            docs.select(
-                F.col(key), self._pattern.alias("mix_pattern"), F.coalesce(size, F.lit(0)).cast("long").alias("mix_size"), self._order.alias("mix_order")
-            )
-        )
+        self._facts = [
+            F.to_json(F.array_sort(names)).alias("mix_pattern"),
+            F.coalesce(size, F.lit(0)).cast("long").alias("mix_size"),
+            F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 64 - BIN_BITS * LEVELS).alias("mix_order"),
+        ]
+        self.rows = stage_table(docs.select(F.col(key), *self._facts))
         # the number of patterns is that of distinct source sets, not of documents
         totals = [
             (r["mix_pattern"], r["names"], int(r["words"]))
@@ -161,67 +181,87 @@ class Mix:
         targets = water_fill(sum(r[2] for r in totals), weights(ordered), {s: most * sizes[s] for s in ordered})
         place = {s: k for k, s in enumerate(ordered)}
         flow = min_cost_flow([r[2] for r in totals], [[place[s] for s in r[1]] for r in totals], [round(targets[s]) for s in ordered], most)
-        plan = {}
+        shares = {}
         for (pattern, _, words), row in zip(totals, flow, strict=True):
             whole, rest = divmod(sum(row), words) if words else (0, 0)
-            plan[pattern] = [whole, rest, 0, 0]  # whole uses, words of one more use, where its order ends, words before
-        _selection_ends(self.rows, plan)
-        extra = _last_documents(self.rows, plan)
-        self._uses = docs.sparkSession.createDataFrame(
-            [(p, v[0], v[2], extra.get(p, -1)) for p, v in plan.items()], "mix_pattern string, whole int, stop long, extra long"
-        )
+            shares[pattern] = Share(whole, rest, words // NEAR)
+        for _ in range(ROUNDS):
+            _run_on(self.rows, shares)
+        _last_documents(self.rows, shares)
+        self._uses = _table(self.rows, [(p, v.whole, v.picks) for p, v in shares.items()], f"whole int, picks {PICKS}")
         self.sources = [(s, sizes[s], targets[s]) for s in ordered]
 
     def _with_copies(self, rows: DataFrame) -> DataFrame:
-        once_more = (F.col("mix_order") < F.col("stop")) | (F.col("mix_order") == F.col("extra"))
-        return rows.join(F.broadcast(self._uses), "mix_pattern").withColumn("copies", F.col("whole") + once_more.cast("int"))
+        return rows.join(F.broadcast(self._uses), "mix_pattern").withColumn("copies", F.col("whole") + _picked().cast("int"))
 
     def taken(self) -> DataFrame:
         """rows with the number of copies that the mix takes."""
-        return self._with_copies(self.rows).drop("whole", "stop", "extra", "mix_order")
+        return self._with_copies(self.rows).drop("whole", "picks", "mix_order")
 
     def documents(self, docs: DataFrame) -> DataFrame:
         """The mixed documents: every row of ``docs`` as often as it is taken, without an exchange."""
-        inner = docs.select(F.struct("*").alias("row"), self._pattern.alias("mix_pattern"), self._order.alias("mix_order"))
-        counted = self._with_copies(inner).where("copies > 0")
+        counted = self._with_copies(docs.select(F.struct("*").alias("row"), *self._facts)).where("copies > 0")
         return counted.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
-def _selection_ends(sized: DataFrame, plan: dict[str, list[int]]) -> None:
-    """Set for each pattern the order value before which the words just fit into its remainder."""
-    spark = sized.sparkSession
+PICKS = "array<struct<first: long, stop: long, largest: long>>"
+
+
+def _picked() -> Column:
+    """Whether one of the picks of its pattern takes a document."""
+    order, size = F.col("mix_order"), F.col("mix_size")
+    return F.exists("picks", lambda p: (order >= p["first"]) & (order < p["stop"]) & (size <= p["largest"]))
+
+
+def _table(like: DataFrame, rows: list[tuple], columns: str) -> DataFrame:
+    return like.sparkSession.createDataFrame(rows, f"mix_pattern string, {columns}")
+
+
+def _run_on(sized: DataFrame, shares: dict[str, Share]) -> None:
+    """Add a pick to each unfinished share: the documents that fit, up to the first that does not.
+
+    The end is found in histograms of the order, each level inside the bin of
+    the level before, until that bin holds one document or hardly any words.
+    """
+    ends = {p: [v.picks[-1][1] + 1 if v.picks else 0, v.missing, 0] for p, v in shares.items() if v.missing > v.near}
     for level in range(1, LEVELS + 1):
-        open_ = [(p, v[2]) for p, v in plan.items() if v[1] > 0]
-        if not open_:
+        if not ends:
             return
         shift = BIN_BITS * (LEVELS - level)
-        at = spark.createDataFrame(open_, "mix_pattern string, prefix long")
-        inside = sized.join(F.broadcast(at), "mix_pattern").where(F.shiftright("mix_order", shift + BIN_BITS) == F.col("prefix"))
-        bins: dict[str, dict[int, int]] = {}
-        for r in inside.groupBy("mix_pattern", F.shiftright("mix_order", shift).alias("bin")).agg(F.sum("mix_size").alias("words")).collect():
-            bins.setdefault(r["mix_pattern"], {})[r["bin"]] = r["words"]
-        for p, _ in open_:
-            entry = plan[p]
-            own = sorted(bins.get(p, {}).items())
-            for b, words in own:
-                if entry[3] + words > entry[1]:
-                    entry[2] = b
+        at = _table(sized, [(p, *v) for p, v in ends.items()], "first long, largest long, prefix long")
+        inside = sized.join(F.broadcast(at), "mix_pattern").where(
+            (F.shiftright("mix_order", shift + BIN_BITS) == F.col("prefix")) & (F.col("mix_order") >= F.col("first")) & (F.col("mix_size") <= F.col("largest"))
+        )
+        counts = inside.groupBy("mix_pattern", F.shiftright("mix_order", shift).alias("bin")).agg(
+            F.sum("mix_size").alias("words"), F.count("*").alias("documents"), F.min("mix_order").alias("least")
+        )
+        bins: dict[str, list] = {}
+        for r in counts.collect():
+            bins.setdefault(r["mix_pattern"], []).append((r["bin"], r["words"], r["documents"], r["least"]))
+        for p, end in list(ends.items()):
+            share, stop = shares[p], LAST
+            for b, words, documents, least in sorted(bins.get(p, [])):
+                if words > share.missing:
+                    stop = least if documents == 1 or level == LEVELS else b << shift if share.missing <= share.near else None
+                    end[2] = b
                     break
-                entry[3] += words
-            else:  # all of them fit
-                entry[2] = own[-1][0] + 1 if own else entry[2] << BIN_BITS
+                share.missing -= words
+            if stop is not None:
+                share.picks.append((end[0], stop, end[1]))
+                del ends[p]
 
 
-def _last_documents(sized: DataFrame, plan: dict[str, list[int]]) -> dict[str, int]:
-    """For each pattern the order of one more document, the one that comes nearest to what is still missing."""
-    missing = [(p, v[2], v[1] - v[3]) for p, v in plan.items() if v[1] > v[3]]
+def _last_documents(sized: DataFrame, shares: dict[str, Share]) -> None:
+    """Add a pick of one more document to each unfinished share, the one that comes nearest to what is still missing."""
+    missing = [(p, v.picks, v.missing) for p, v in shares.items() if v.missing > v.near]
     if not missing:
-        return {}
-    at = sized.sparkSession.createDataFrame(missing, "mix_pattern string, stop long, missing long")
+        return
+    at = _table(sized, missing, f"picks {PICKS}, missing long")
     off = F.abs(F.col("mix_size") - F.col("missing"))
-    rest = sized.join(F.broadcast(at), "mix_pattern").where((F.col("mix_order") >= F.col("stop")) & (off < F.col("missing")))
-    best = rest.groupBy("mix_pattern").agg(F.min(F.struct(off.alias("off"), "mix_order")).alias("best"))
-    return {r["mix_pattern"]: r["best"]["mix_order"] for r in best.collect()}
+    rest = sized.join(F.broadcast(at), "mix_pattern").where(~_picked() & (off < F.col("missing")))
+    best = rest.groupBy("mix_pattern").agg(F.min(F.struct(off.alias("off"), "mix_order", "mix_size")).alias("best"))
+    for r in best.select("mix_pattern", "best.*").collect():
+        shares[r["mix_pattern"]].picks.append((r["mix_order"], r["mix_order"] + 1, r["mix_size"]))
 
 
 def mixed_report(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:

@@ -126,6 +126,50 @@ def test_mix_meets_targets(spark, sf_dir):
     assert mix.documents(docs).count() == sum(r["taken"] // r["size"] for r in rows if r["size"])
 
 
+def greedy(docs, share, near):
+    """The documents of a share, one by one in their order: what is larger than the rest is passed over, and a run ends at the first that no longer fits."""
+    got, missing, first = set(), share, 0
+    for _ in range(mixing.ROUNDS):
+        if missing <= near:
+            return got, missing
+        largest, stop = missing, None
+        for order, key, size in sorted(docs):
+            if order >= first and size <= largest:
+                if size > missing:
+                    stop = order
+                    break
+                got.add(key)
+                missing -= size
+        if stop is None:
+            break
+        first = stop + 1
+    rest = [(abs(size - missing), order, key, size) for order, key, size in docs if key not in got and abs(size - missing) < missing]
+    if missing > near and rest:
+        _, _, key, size = min(rest)
+        got.add(key)
+        missing -= size
+    return got, missing
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_selection_passes_over_long_documents(spark, seed):
+    """A source with a few documents that are longer than its share comes near its target all the same."""
+    rng = random.Random(seed)
+    rows = [(k, "a", rng.choice([40, 90, 130, 20_000]) if k < 200 else rng.randint(5, 300)) for k in range(400)] + [(1000 + k, "b", 500) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, words long")
+    mix = mixing.Mix(docs, "doc_id", F.array("source"), F.col("words"), weights=lambda names: {"a": 1.0 + seed, "b": 3.0}, seed=seed)
+    taken = mix.taken().collect()
+    orders = {r["doc_id"]: r["mix_order"] for r in mix.rows.collect()}
+    for name, size, target in mix.sources:
+        own = [(orders[k], k, w) for k, s, w in rows if s == name]
+        whole, share = divmod(round(target), size)
+        want, missing = greedy(own, share, size // mixing.NEAR)
+        mine = {r["doc_id"]: r["copies"] for r in taken if r["mix_pattern"] == f'["{name}"]'}
+        assert {k for k, n in mine.items() if n > whole} == want and set(mine.values()) <= {whole, whole + 1}
+        assert abs(sum(dict((k, w) for _, k, w in own)[k] * n for k, n in mine.items()) - target) <= max(abs(missing), 0) + 1
+        assert name == "b" or abs(missing) <= 0.002 * target
+
+
 def test_overlapping_sources(spark):
     rows = [(k, ["a", "b"] if k % 3 == 0 else ["a"] if k % 3 == 1 else ["b", None], 10) for k in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, own array<string>, words long")
@@ -141,9 +185,15 @@ def test_mix_odd_rows(odd_documents, no_documents):
     assert mixing.mixed_report(no_documents, "doc_id", "source", "text").count() == 0
 
 
+def units(text):
+    """Words, and the code points of long ones."""
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    return [u for w in words for u in (w if len(w.encode()) > omh.LONG_WORD else [w])]
+
+
 def signature(text):
     """Order MinHash of the module, in plain Python, up to its hash function: the numbered k-mers only."""
-    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    words = units(text)
     grams = [tuple(words[i : i + omh.K]) for i in range(len(words) - omh.K + 1)] or ([tuple(words)] if words else [])
     seen, out = {}, []
     for g in grams:
@@ -182,7 +232,7 @@ def plain_fingerprint(text):
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     chain = lambda *parts: signed(functools.reduce(lambda seed, p: xxhash.xxh64_intdigest(p, seed % (1 << 64)), parts, 42))
     long_, int_ = (lambda x: struct.pack("<q", x)), (lambda x: struct.pack("<i", x))
-    words = [chain(w.encode()) for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    words = [chain(u.encode()) for u in units(text)]
     grams = [chain(long_(chain(long_(a), long_(b))), long_(c)) for a, b, c in zip(words, words[1:], words[2:])]
     if 0 < len(words) < omh.K:
         grams = [chain(*map(long_, words))]
@@ -210,7 +260,7 @@ def test_fingerprints_like_a_plain_version(spark, keys):
     rng = random.Random(len(keys))
     words = [f"w{k}" for k in range(300)] + ["漢字", "é"]
     texts = [" ".join(rng.choices(words, k=rng.choice([0, 1, 2, 3, 10, 60, 200]))) for _ in range(150)]
-    texts += [texts[7], "a b c " * 200, "a b c " * 100, None, ""]
+    texts += [texts[7], "a b c " * 200, "a b c " * 100, None, "", "x" * 48, "x" * 49, "é" * 25 + " w1 w2", "漢字かな交じり文" * 40]
     ids = {
         "unique": rng.sample(range(-500, 500), len(texts)),
         "uneven": [-(10**18), 10**18, *(k * k * k for k in range(len(texts) - 2))],
@@ -241,6 +291,15 @@ def test_likeness_follows_order(spark):
     assert swap < 0.75 and 0.2 < near < 0.8  # the swap keeps nearly all k-mers but reverses many pairs
 
 
+def test_long_texts_without_spaces(spark):
+    """One long word gives a graded likeness, also where words follow it."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000)), " ".join(f"w{k}" for k in range(3000)), "".join(rng.choices("漢字仮名交文章書", k=900))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in omh.fingerprints(docs).collect()}
+    assert all(0.2 < got[k]["near_edited"] < 1 for k in (0, 2)) and all(r["near_next"] < 0.1 for r in got.values())
+
+
 def test_fingerprints_odd_rows(odd_documents, no_documents):
     got = omh.fingerprints(odd_documents).collect()
     assert len(got) == 8 and {r["fingerprint"] for r in got if r["doc_id"] in (2, 3, 6)} == {""}
