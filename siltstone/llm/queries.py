@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cdc, html_text, jaccard, lm, mixing, omh, pieces, quality, secrets, warc
+from . import cdc, html_text, jaccard, leaks, lm, mixing, omh, pieces, quality, secrets, spelling, turns, warc
 
 QUERIES = {
     "op1_secret_scans": secrets.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_sentencepiece": pieces.op8,
     "op9_fingerprints": omh.op9,
     "op10_substring_dedup": cdc.op10,
+    "op11_conversation_repair": turns.op11,
+    "op12_spelling_variants": spelling.op12,
+    "op13_decontamination": leaks.op13,
 }
 
 
@@ -80,9 +83,50 @@ _LM_SQL = r"""WITH
   SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(coalesce(x, 0), 6) AS log_score, round(x / len(ws), 6) AS mean_log_score,
     CAST(coalesce(steps, 0) AS BIGINT) AS n_backoffs FROM d LEFT JOIN r USING (doc_id)"""
 
+# DuckDB has no crc32: a table of 256 remainders, then one byte at a time.
+_SPELLING_SQL = r"""WITH RECURSIVE
+  remainders AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+  runs AS (SELECT doc_id, run, count(*) AS times FROM (SELECT doc_id, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+    WHERE length(run) >= 7 GROUP BY 1, 2),
+  hex AS (SELECT run, times, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+  bytes AS (SELECT run, times, list_transform(range(length(x) // 2), lambda k: CAST('0x' || substr(x, 2 * k + 1, 2) AS BIGINT)) AS bs FROM hex),
+  h AS (SELECT run, times, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bs), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+    FROM bytes, remainders),
+  typed AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+  words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+  cuts AS (SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS cut FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+  near AS (SELECT DISTINCT a, b, bn FROM (
+    SELECT x.word AS a, y.word AS b, y.n AS bn FROM cuts x JOIN cuts y ON x.cut = y.cut AND x.p = y.p WHERE x.word <> y.word
+    UNION ALL SELECT w.word, c.word, c.n FROM words w JOIN cuts c ON c.cut = w.word
+    UNION ALL SELECT c.word, w.word, w.n FROM words w JOIN cuts c ON c.cut = w.word)),
+  ranked AS (SELECT a, b, bn, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY bn DESC, b) AS r FROM near),
+  forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN bn >= 10 * w.n THEN b END AS form, CASE WHEN bn >= 10 * w.n THEN bn END AS form_n
+    FROM words w LEFT JOIN ranked ON a = w.word AND r = 1),
+  chain(word, place, step) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT c.word, f.form, step + 1 FROM chain c JOIN forms f ON f.word = c.place WHERE f.form IS NOT NULL)
+  SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, max_by(place, step) AS root FROM chain GROUP BY word) USING (word)"""
+
+_LEAKS_SQL = r"""WITH
+  d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+  b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+  win AS (SELECT DISTINCT item, least(len(ws), 10) AS m, array_to_string(ws[i:i+9], ' ') AS win FROM (
+    SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+  dw AS (SELECT doc_id, i, m, array_to_string(ws[i:i+m-1], ' ') AS win FROM (
+    SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+  hit AS (SELECT DISTINCT doc_id, i, m, item FROM dw JOIN win USING (win, m)),
+  places AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY doc_id),
+  items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+  SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(i.n, 0) AS BIGINT) AS n_items,
+    sha256(coalesce(i.s, '')) AS items_sha256, p.n IS NOT NULL AS contaminated FROM d LEFT JOIN places p USING (doc_id) LEFT JOIN items i USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_secret_scans": _secrets_sql(),
     "op4_warc": _WARC_SQL,
     "op5_jaccard_join": _JACCARD_SQL,
     "op6_lm_scoring": _LM_SQL,
+    "op12_spelling_variants": _SPELLING_SQL,
+    "op13_decontamination": _LEAKS_SQL,
 }
