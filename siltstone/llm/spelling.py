@@ -55,8 +55,8 @@ def word_counts(docs: DataFrame, key: str, text: str = "text", least_length: int
     return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word_key, kind, place, id): each word's deletions by place, itself, and its distinct deletions.
+def _keys(batches: Iterator[pa.RecordBatch], kind: int) -> Iterator[pa.RecordBatch]:
+    """(word_key, place, id) of one kind: each word's deletions by place, itself, or its distinct deletions.
 
     A key is a polynomial over mixed code points modulo 2^64, so all deletions
     of a word take time in proportion to its length.
@@ -68,39 +68,43 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = np.cumsum(sizes) - sizes
         owner = np.repeat(np.arange(len(words)), sizes)
         place = np.arange(len(points)) - begin[owner]
-        powers = np.ones(int(sizes.max(initial=0)) + 1, np.uint64)
-        powers[1:] = _BASE
+        powers = np.full(int(sizes.max(initial=0)) + 1, _BASE, np.uint64)
+        powers[0] = 1
         powers = np.cumprod(powers, dtype=np.uint64)
         upto = np.concatenate(([np.uint64(0)], np.cumsum(packed.mixed(points.astype(np.uint64) + np.uint64(1)) * powers[place], dtype=np.uint64)))
         first, end = upto[begin], upto[begin + sizes]
-        cut = (upto[:-1] - first[owner]) + (end[owner] - upto[1:]) * _INVERSE
         lengths = sizes.astype(np.uint64) * packed.FACTORS[0]
-        shorter = lengths[owner] - packed.FACTORS[0]
-        fresh = (place == 0) | (points != np.roll(points, 1))  # equal neighbours give the same deletion
-        whole = packed.mixed((end - first) ^ packed.mixed(lengths))
-        deleted = packed.mixed(cut ^ packed.mixed(shorter))
-        at_place = packed.mixed(deleted + place.astype(np.uint64) * packed.FACTORS[1] + packed.FACTORS[2])
-        keys = np.concatenate((at_place, whole, deleted[fresh])).view(np.int64)
-        kinds = np.repeat(np.array([SAME_PLACE, ITSELF, DELETION], np.int8), [len(at_place), len(whole), int(fresh.sum())])
-        places = np.concatenate((place, np.zeros(len(whole), np.int64), place[fresh])).astype(np.int32)
-        owners = np.concatenate((ids[owner], ids, ids[owner[fresh]]))
+        if kind == ITSELF:
+            keys, place, owner = packed.mixed((end - first) ^ packed.mixed(lengths)), np.zeros(len(words), np.int64), np.arange(len(words))
+        else:
+            cut = (upto[:-1] - first[owner]) + (end[owner] - upto[1:]) * _INVERSE
+            keys = packed.mixed(cut ^ packed.mixed(lengths[owner] - packed.FACTORS[0]))
+            if kind == SAME_PLACE:
+                keys = packed.mixed(keys + place.astype(np.uint64) * packed.FACTORS[1])
+            else:
+                fresh = (place == 0) | (points != np.roll(points, 1))  # equal neighbours give the same deletion
+                keys, place, owner = keys[fresh], place[fresh], owner[fresh]
         for k in range(0, len(keys), 1 << 16):
-            s = slice(k, k + (1 << 16))
-            yield pa.RecordBatch.from_arrays([pa.array(keys[s]), pa.array(kinds[s]), pa.array(places[s]), pa.array(owners[s])], names=["word_key", "kind", "place", "id"])
+            at = slice(k, k + (1 << 16))
+            columns = [pa.array(keys[at].view(np.int64)), pa.array(place[at].astype(np.int32)), pa.array(ids[owner[at]])]
+            yield pa.RecordBatch.from_arrays(columns, names=["word_key", "place", "id"])
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """Pairs of ids of words (id, word) that differ by exactly one inserted, deleted or replaced code point, in both orders: id, other."""
-    keys = words.select("id", "word").mapInArrow(_keys, "word_key long, kind byte, place int, id long")
-    opposite = F.when(F.col("kind") == ITSELF, DELETION).when(F.col("kind") == DELETION, ITSELF).otherwise(SAME_PLACE).cast("byte")
-    left = keys.select("word_key", "kind", "id", F.col("place").alias("at"))
-    right = keys.select("word_key", opposite.alias("kind"), F.col("id").alias("other"), F.col("place").alias("other_at"))
-    pairs = left.join(right, ["word_key", "kind"]).where("id <> other").select("kind", "id", "at", "other", "other_at")
-    pairs = pairs.join(words.select("id", F.col("word").alias("a")), "id").join(words.select(F.col("id").alias("other"), F.col("word").alias("b")), "other")
-    a, b = F.col("a"), F.col("b")
-    cut_a, cut_b = without(a, F.col("at")), without(b, F.col("other_at"))
-    near = F.when(F.col("kind") == ITSELF, a == cut_b).when(F.col("kind") == DELETION, b == cut_a).otherwise((F.length(a) == F.length(b)) & (cut_a == cut_b))
-    return pairs.where(near).select("id", "other")
+    """Words (id, word, n) that differ by exactly one inserted, deleted or replaced code point: structs a and b, each pair once."""
+    rows = words.select("id", "word")
+    same, itself, deleted = (rows.mapInArrow(lambda batches, kind=kind: _keys(batches, kind), "word_key long, place int, id long") for kind in (SAME_PLACE, ITSELF, DELETION))
+    # both sides are one exchange, which Spark reuses
+    replaced = same.alias("x").join(same.alias("y"), F.col("x.word_key") == F.col("y.word_key")).where("x.id < y.id")
+    replaced = replaced.select(F.col("x.id").alias("id"), F.col("x.place").alias("at"), F.col("y.id").alias("other"), F.col("y.place").alias("other_at"))
+    longer = deleted.alias("x").join(itself.alias("y"), F.col("x.word_key") == F.col("y.word_key"))
+    longer = longer.select(F.col("x.id").alias("id"), F.col("x.place").alias("at"), F.col("y.id").alias("other"), F.lit(-1).alias("other_at"))
+    own = F.struct("id", "word", "n")
+    pairs = replaced.unionByName(longer).join(words.select("id", own.alias("a")), "id")
+    pairs = pairs.join(words.select(F.col("id").alias("other"), own.alias("b")), "other")
+    a, b = F.col("a.word"), F.col("b.word")
+    cut_b = F.when(F.col("other_at") < 0, b).otherwise(without(b, F.col("other_at")))
+    return pairs.where((a != b) & (without(a, F.col("at")) == cut_b)).select("a", "b")
 
 
 def grouped(words: DataFrame, times: int = TIMES) -> DataFrame:
@@ -114,9 +118,8 @@ def grouped(words: DataFrame, times: int = TIMES) -> DataFrame:
     if times < 2:
         raise ValueError("a form occurs at least twice as often as its variant")
     words = stage_table(words.select(F.monotonically_increasing_id().alias("id"), "word", "n"))
-    pairs = near_pairs(words)
-    others = words.select(F.col("id").alias("other"), F.struct((-F.col("n")).alias("minus"), "word", F.col("id").alias("form_id")).alias("best"))
-    near = pairs.join(others, "other").groupBy("id").agg(F.count("*").alias("n_near"), F.min("best").alias("best"))
+    sides = [F.struct(F.col(x)["id"].alias("id"), F.struct((-F.col(y)["n"]).alias("minus"), F.col(y)["word"].alias("word"), F.col(y)["id"].alias("form_id")).alias("best")) for x, y in ("ab", "ba")]
+    near = near_pairs(words).select(F.inline(F.array(*sides))).groupBy("id").agg(F.count("*").alias("n_near"), F.min("best").alias("best"))
     near = words.join(near, "id", "left")
     best = F.col("best")
     has = -best["minus"] >= times * F.col("n")
