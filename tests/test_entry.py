@@ -4,7 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from siltstone.queries import ORACLE_SQL, QUERIES
+from siltstone import event_queries, queries
+
+QUERIES, ORACLE_SQL = queries.QUERIES | event_queries.QUERIES, queries.ORACLE_SQL | event_queries.ORACLE_SQL
 
 
 def plain(v):
