@@ -1,6 +1,7 @@
 """Streams over event time: what is late, what is final, and going on from a checkpoint."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,10 +101,18 @@ def test_first_seen_lets_a_key_through_once(spark, tmp_path):
     put(spark, folder, [(1, 5, 1), (2, 3, 1), (3, 9, 2)])
     rows = sessions.first_seen(start(spark, folder), "user_id", "ts", 24)
     query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(processingTime="1 second").start()
+
+    def read(n):
+        """Wait until the query has read so many rows."""
+        for _ in range(240):
+            if query.exception() is not None or sum(p["numInputRows"] for p in query.recentProgress) >= n:
+                return
+            time.sleep(0.25)
+
     try:
-        query.processAllAvailable()
+        read(3)
         put(spark, folder, [(4, 1, 1), (5, 7, 3)])
-        query.processAllAvailable()
+        read(5)
     finally:
         query.stop()
     epoch = 1_704_067_200
