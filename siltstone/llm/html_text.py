@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HIDDEN = frozenset(
-    "script style head title template noscript iframe noembed noframes object audio video canvas datalist area base link meta param rp source track input".split()
+    "script style head title template noscript iframe noembed noframes object audio video canvas datalist area base link meta param rp source track".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li listing main menu nav ol optgroup option p plaintext pre search section summary table tbody td tfoot th thead tr ul caption xmp".split()
@@ -55,7 +55,7 @@ HEAD_CONTENT = frozenset("title base link meta style script noscript template he
 
 # In a tag, quotes count only where a value begins; elsewhere they are characters like any other.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?>[\s/]+|[^\s/>=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]*))?|=)*+)(?:>|\Z)",
     re.S,
 )
@@ -63,14 +63,23 @@ ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 MOST_DEPTH = 512  # as in the tree builders of browsers
 MOST_COLUMNS, MOST_ROWS = 1000, 65534  # of one cell, as HTML itself has it
 SPACE = re.compile(r"[ \t\n\r\f]+")
-INVISIBLE_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden", re.I)
+# What the properties that decide on visibility may be; other declarations are invalid and don't count.
+STYLES = {
+    "display": frozenset(
+        "none block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell table-row-group table-caption list-item flow-root contents ruby initial inherit unset revert".split()
+    ),
+    "visibility": frozenset("visible hidden collapse inherit initial unset revert".split()),
+    "content-visibility": frozenset("visible hidden auto".split()),
+}
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+UNLABELLED = frozenset("hidden password checkbox radio file color range image".split())  # inputs whose value is no text on the page
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "shown")
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
-        self.tag, self.attributes, self.children = tag, attributes, []
+    def __init__(self, tag: str, attributes: dict[str, str], shown: bool = True):
+        self.tag, self.attributes, self.children, self.shown = tag, attributes, [], shown
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -142,7 +151,7 @@ def build_tree(markup: str) -> Node:
             stack[-1].children.append(row := Node("tr", {}))
             stack.append(row)
         if name in UNDRAWN and any(n.tag in ("svg", "math") for n in stack):
-            attributes["hidden"] = ""
+            attributes = {"hidden": ""}
         node = Node(name, attributes)
         stack[-1].children.append(node)
         if name in RAW:
@@ -154,16 +163,66 @@ def build_tree(markup: str) -> Node:
             stack.append(node)
         if len(stack) > MOST_DEPTH:  # deeper elements become siblings; none of their text is lost
             stack.pop()
+    _inherit(root)
     return root
 
 
+def styles(declarations: str) -> dict[str, str]:
+    """The properties of a style attribute that decide on visibility; of several valid values the last counts, important ones before others."""
+    found: dict[str, tuple[bool, str]] = {}
+    for part in CSS_COMMENT.sub("", declarations).split(";"):
+        name, _, value = part.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        important = value.endswith("!important") or value.replace(" ", "").endswith("!important")
+        value = value.split("!")[0].strip()
+        if value in STYLES.get(name, ()) and (important or not found.get(name, (False, ""))[0]):
+            found[name] = important, value
+    return {name: value for name, (_, value) in found.items()}
+
+
+def _inherit(root: Node) -> None:
+    """Set ``shown``: an element is hidden by its own visibility, or its parent's if it has none."""
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        for child in node.children:
+            if isinstance(child, Node):
+                style = child.attributes.get("style")
+                own = styles(style).get("visibility", "inherit") if style else "inherit"
+                child.shown = node.shown if own in ("inherit", "unset", "revert") else own in ("visible", "initial")
+                waiting.append(child)
+
+
 def visible(node: Node) -> bool:
+    """Whether an element and what is in it is laid out at all."""
     a = node.attributes
     if node.tag in HIDDEN or (node.tag == "dialog" and "open" not in a):
         return False
     if not a:
         return True
-    return not ("hidden" in a or INVISIBLE_STYLE.search(a.get("style", "")))
+    style = styles(a["style"]) if a.get("style") else {}
+    return style.get("display", "none" if "hidden" in a else "") != "none" and style.get("content-visibility") != "hidden"
+
+
+def label(node: Node) -> str:
+    """The text that an input shows: its value."""
+    return "" if node.attributes.get("type", "text").strip().lower() in UNLABELLED else node.attributes.get("value", "")
+
+
+def _number(node: Node, name: str) -> int | None:
+    value = node.attributes.get(name, "").strip()
+    return int(value) if re.fullmatch(r"[-+]?\d{1,9}", value) else None
+
+
+def walk(steps: Iterator) -> None:
+    """Run a generator that yields generators to be run in its place; depth takes memory, not the interpreter's stack."""
+    stack = [steps]
+    while stack:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+        else:
+            stack.append(step)
 
 
 def cells_wide(text: str) -> int:
@@ -219,10 +278,15 @@ class Layout:
         self.gap = max(self.gap, empty)
 
 
-def _render(node: Node, out: Layout, keep: bool, numbers: list[int | None]) -> None:
-    for child in node.children:
+def _render(node: Node, out: Layout, keep: bool, numbers: list[list[int] | None]) -> Iterator:
+    """numbers: for each list around, the next number and the step to the one after it; None for lists without numbers."""
+    children = node.children
+    if node.tag == "details" and "open" not in node.attributes:  # closed: only its summary is seen
+        children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
+    for child in children:
         if isinstance(child, str):
-            out.text(child, keep)
+            if node.shown:
+                out.text(child, keep)
             continue
         tag = child.tag
         if not visible(child):
@@ -236,15 +300,19 @@ def _render(node: Node, out: Layout, keep: bool, numbers: list[int | None]) -> N
         if tag == "wbr":
             continue
         if tag == "img":
-            if child.attributes.get("alt", "").strip():
+            if child.shown and child.attributes.get("alt", "").strip():
                 out.text(child.attributes["alt"], False)
             continue
+        if tag == "input":
+            if child.shown and label(child).strip():
+                out.text(f" {label(child)} ", False)
+            continue
         if tag == "hr":
             out.block(1)
             continue
         if tag == "table":
             out.block(1)
-            _table(child, out)
+            yield _table(child, out)
             out.block(1)
             continue
         is_block = tag in BLOCKS
@@ -255,18 +323,24 @@ def _render(node: Node, out: Layout, keep: bool, numbers: list[int | None]) -> N
         if tag in ("ul", "menu", "dir"):
             inner = [*numbers, None]
         elif tag == "ol":
-            start = child.attributes.get("start", "1")
-            inner = [*numbers, int(start) if re.fullmatch(r"-?\d{1,9}", start) else 1]
+            step = -1 if "reversed" in child.attributes else 1
+            start = _number(child, "start")
+            if start is None:
+                start = 1 if step > 0 else sum(isinstance(c, Node) and c.tag == "li" and visible(c) for c in child.children)
+            inner = [*numbers, [start, step]]
         elif tag == "li":
             out.items += 1
             sign = "- "
             if numbers and numbers[-1] is not None:
-                sign = f"{numbers[-1]}. "
-                numbers[-1] += 1
+                number, step = numbers[-1]
+                own = _number(child, "value")
+                number = number if own is None else own
+                sign = f"{number}. "
+                numbers[-1][0] = number + step
             out.pad, out.marker = pad + " " * len(sign), sign
         elif tag in ("blockquote", "dd"):
             out.pad = pad + "  "
-        _render(child, out, keep or tag in ("pre", "textarea", "listing", "xmp"), inner)
+        yield _render(child, out, keep or tag in ("pre", "textarea", "listing", "xmp"), inner)
         if is_block:
             out.block(empty)
         out.pad = pad
@@ -279,7 +353,8 @@ def _parts(table: Node, strays: list[Node | str]) -> Iterator[Node]:
     loose: Node | None = None  # a row of cells that stand in none
     for child in table.children:
         if isinstance(child, str):
-            strays.append(child)
+            if table.shown:
+                strays.append(child)
         elif child.tag == "tr":
             if visible(child):
                 row = Node("tr", child.attributes)
@@ -297,7 +372,7 @@ def _parts(table: Node, strays: list[Node | str]) -> Iterator[Node]:
         elif child.tag not in ("colgroup", "col"):
             strays.append(child)
         elif visible(child):
-            strays.extend(child.children)
+            strays.extend(c for c in child.children if child.shown or isinstance(c, Node))
         if not isinstance(child, str):
             loose = None
 
@@ -309,7 +384,7 @@ def _cells(row: Node, strays: list[Node | str]) -> Iterator[Node]:
         elif isinstance(child, Node) and _holds_rows(child):
             if visible(child):
                 yield from _cells(child, strays)
-        else:
+        elif row.shown or isinstance(child, Node):
             strays.append(child)
 
 
@@ -333,12 +408,12 @@ def _span(cell: Node, name: str, most: int) -> int:
     return max(1, min(int(value), most)) if re.fullmatch(r"\d{1,6}", value) else 1
 
 
-def _table(table: Node, out: Layout) -> None:
+def _table(table: Node, out: Layout) -> Iterator:
     strays: list[Node | str] = []  # captions and text outside of cells stand before the table
     rows = list(_parts(table, strays))
     holder = Node("div", {})
     holder.children = strays
-    _render(holder, out, False, [])
+    yield _render(holder, out, False, [])
     out.block(0)
     grid: list[list[tuple[list[str], int]]] = []
     waiting: dict[int, int] = {}  # columns that cells from rows above still fill
@@ -353,9 +428,9 @@ def _table(table: Node, out: Layout) -> None:
                 cells.append(([], 1))
                 column += 1
             inner = Layout()
-            holder = Node("div", {})
+            holder = Node("div", {}, cell.shown)
             holder.children = cell.children
-            _render(holder, inner, False, [])
+            yield _render(holder, inner, False, [])
             inner.end_line()
             out.items += inner.items
             wide = _span(cell, "colspan", MOST_COLUMNS)
@@ -391,7 +466,7 @@ def render(markup: str | None) -> tuple[str, int, int, int]:
     if not markup:
         return "", 0, 0, 0
     out = Layout()
-    _render(build_tree(markup), out, False, [])
+    walk(_render(build_tree(markup), out, False, []))
     out.end_line()
     while out.lines and not out.lines[-1]:
         out.lines.pop()

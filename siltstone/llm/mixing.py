@@ -6,11 +6,13 @@ quotas; the cost of a pattern's words is convex in how often they are repeated,
 so repetition is spread before anything is repeated more. Whole documents are
 then selected in a seeded order until each pattern's share is used up: a
 document that is larger than what is missing is passed over, and the run goes
-on behind it.
+on behind it. What is then still missing comes from the smallest documents of
+the pattern, by a subset sum.
 
-Only aggregates reach the driver: one row per membership pattern, and 1024
-histogram bins per pattern for each level of the selection. None of them grows
-with the number of documents.
+Only aggregates reach the driver: one row per membership pattern, 1024 histogram
+bins per pattern for each level of the selection, and a few hundred of its
+smallest documents. None of them grows with the number of documents; tables of
+too many patterns are refused.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -28,6 +30,8 @@ BIN_BITS, LEVELS = 10, 6
 LAST = 1 << BIN_BITS * LEVELS  # above every order
 ROUNDS = 8  # runs through the order, each behind the document at which the one before ended
 NEAR = 2000  # a pattern is done if less than one in so many of its words is missing
+FILLERS = 256  # smallest documents of a pattern that are chosen anew to meet its share
+MOST_PATTERNS = 100_000  # sets of sources that the driver routes words between
 
 
 def n_words(text: Column) -> Column:
@@ -170,8 +174,11 @@ class Mix:
             for r in self.rows.groupBy("mix_pattern")
             .agg(F.sum("mix_size").alias("words"))
             .withColumn("names", F.from_json("mix_pattern", "array<string>"))
+            .limit(MOST_PATTERNS + 1)
             .collect()
         ]
+        if len(totals) > MOST_PATTERNS:
+            raise ValueError(f"more than {MOST_PATTERNS} different sets of sources")
         totals.sort(key=lambda r: r[0])
         sizes: dict[str | None, int] = {}
         for _, own, words in totals:
@@ -187,16 +194,20 @@ class Mix:
             shares[pattern] = Share(whole, rest, words // NEAR)
         for _ in range(ROUNDS):
             _run_on(self.rows, shares)
-        _last_documents(self.rows, shares)
-        self._uses = _table(self.rows, [(p, v.whole, v.picks) for p, v in shares.items()], f"whole int, picks {PICKS}")
+        _fill(self.rows, shares, most)
+        self._uses = _table(self.rows, [(p, v.whole, v.picks, v.filled, *v.bound) for p, v in shares.items()], USES)
         self.sources = [(s, sizes[s], targets[s]) for s in ordered]
 
     def _with_copies(self, rows: DataFrame) -> DataFrame:
-        return rows.join(F.broadcast(self._uses), "mix_pattern").withColumn("copies", F.col("whole") + _picked().cast("int"))
+        size, order = F.col("mix_size"), F.col("mix_order")
+        small = (size > 0) & ((size < F.col("bound_size")) | ((size == F.col("bound_size")) & (order <= F.col("bound_order"))))
+        filled = F.get(F.filter("filled", lambda x: (x["size"] == size) & (x["order"] == order)), F.lit(0))["copies"]
+        copies = F.when(small, F.coalesce(filled, F.lit(0))).otherwise(F.col("whole") + _picked().cast("int"))
+        return rows.join(F.broadcast(self._uses), "mix_pattern").withColumn("copies", copies)
 
     def taken(self) -> DataFrame:
         """rows with the number of copies that the mix takes."""
-        return self._with_copies(self.rows).drop("whole", "picks", "mix_order")
+        return self._with_copies(self.rows).select(*self.rows.columns, "copies").drop("mix_order")
 
     def documents(self, docs: DataFrame) -> DataFrame:
         """The mixed documents: every row of ``docs`` as often as it is taken, without an exchange."""
@@ -205,6 +216,7 @@ class Mix:
 
 
 PICKS = "array<struct<first: long, stop: long, largest: long>>"
+USES = f"whole int, picks {PICKS}, filled array<struct<size: long, order: long, copies: int>>, bound_size long, bound_order long"
 
 
 def _picked() -> Column:
@@ -251,17 +263,63 @@ def _run_on(sized: DataFrame, shares: dict[str, Share]) -> None:
                 del ends[p]
 
 
-def _last_documents(sized: DataFrame, shares: dict[str, Share]) -> None:
-    """Add a pick of one more document to each unfinished share, the one that comes nearest to what is still missing."""
-    missing = [(p, v.picks, v.missing) for p, v in shares.items() if v.missing > v.near]
-    if not missing:
+def _fill(sized: DataFrame, shares: dict[str, Share], most: int) -> None:
+    """Choose the smallest documents of each unfinished share anew, so that their words come as near as can be to what they have to give."""
+    open_ = [(p,) for p, v in shares.items() if v.missing > v.near]
+    if not open_:
         return
-    at = _table(sized, missing, f"picks {PICKS}, missing long")
-    off = F.abs(F.col("mix_size") - F.col("missing"))
-    rest = sized.join(F.broadcast(at), "mix_pattern").where(~_picked() & (off < F.col("missing")))
-    best = rest.groupBy("mix_pattern").agg(F.min(F.struct(off.alias("off"), "mix_order", "mix_size")).alias("best"))
-    for r in best.select("mix_pattern", "best.*").collect():
-        shares[r["mix_pattern"]].picks.append((r["mix_order"], r["mix_order"] + 1, r["mix_size"]))
+    own = sized.where("mix_size > 0").join(F.broadcast(sized.sparkSession.createDataFrame(open_, "mix_pattern string")), "mix_pattern", "left_semi")
+    # rows of one size and order are taken alike, and have one rank
+    ranked = own.withColumn("place", F.rank().over(Window.partitionBy("mix_pattern").orderBy("mix_size", "mix_order"))).where(F.col("place") <= FILLERS)
+    fillers: dict[str, list[tuple[int, int, int]]] = {}
+    for r in ranked.groupBy("mix_pattern", "mix_size", "mix_order").agg(F.count("*").alias("n")).collect():
+        fillers.setdefault(r["mix_pattern"], []).append((r["mix_size"], r["mix_order"], r["n"]))
+    for p, found in fillers.items():
+        share = shares[p]
+        found.sort()
+        words = [size * n for size, _, n in found]
+        want = share.missing + sum(w * share.takes(size, order) for w, (size, order, _) in zip(words, found, strict=True))
+        whole = share.whole
+        copies = nearest_copies(words, want, whole, min(whole + 1, most))
+        if abs(_words(words, copies) - want) * NEAR > want:  # few documents: how often each is taken may differ more
+            wide = nearest_copies(words, want, max(0, whole - 1), min(whole + 2, most))
+            copies = min(copies, wide, key=lambda c: abs(_words(words, c) - want))
+        share.filled = [(size, order, c) for (size, order, _), c in zip(found, copies, strict=True)]
+        share.bound = found[-1][:2]
+        share.missing = want - _words(words, copies)
+
+
+def _words(words: list[int], copies: list[int]) -> int:
+    return sum(w * c for w, c in zip(words, copies, strict=True))
+
+
+def nearest_copies(words: list[int], want: int, low: int, high: int) -> list[int]:
+    """How often to take each of some numbers, from ``low`` to ``high`` times, so that the sum comes as near to ``want`` as can be.
+
+    A subset sum over a bit set of reachable sums, in units that keep it below
+    some 4 million bits (beyond, the result is near by that unit).
+    """
+    want -= low * sum(words)
+    if want <= 0 or high <= low:
+        return [low] * len(words)
+    unit = max(1, want >> 22)
+    steps = [k for k in range(len(words)) for _ in range(high - low)]
+    sizes = [round(words[k] / unit) for k in steps]
+    aim = round(want / unit)
+    mask = (1 << aim + max(sizes) + 1) - 1
+    reached = [1]
+    for size in sizes:
+        reached.append((reached[-1] | reached[-1] << size) & mask)
+    last = reached[-1]
+    below = (last & ((1 << aim + 1) - 1)).bit_length() - 1
+    above = last >> aim
+    at = below if not above or aim - below <= (over := (above & -above).bit_length() - 1) else aim + over
+    copies = [low] * len(words)
+    for k in range(len(steps) - 1, -1, -1):
+        if not reached[k] >> at & 1:
+            copies[steps[k]] += 1
+            at -= sizes[k]
+    return copies
 
 
 def mixed_report(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
