@@ -1,21 +1,23 @@
-"""Substring deduplication by content-defined anchors, exact to the ends of the passages.
-
-A passage is a run of at least ``least_run`` code points that two documents
-hold. In every such run, the half runs with the smallest hash are anchors; they
-depend on the run alone, so texts that share a run share an anchor. Anchors that
-several documents hold mark the places where runs are worth comparing; there,
-runs are compared with those of all documents, and overlapping runs make the
-passages. The smallest key that holds a run keeps it.
+"""Substring deduplication: content-defined cuts by a gear rolling hash, matches extended to the true ends of the passages.
+
+A gear hash h = 2 h + GEAR(code point) rolls over each text; a text is cut where
+it is smallest in a stretch of text. Cuts depend on the content alone, so an
+insertion moves no cut outside of its own surroundings, and none is forced by a
+count. What is cut is deduplicated by digest: the gear hash of the window at a
+cut names it. A passage is a run of at least ``least_run`` code points that two
+documents hold; stretches are so short that every such run has a cut whose
+window lies in it, which whole chunks from cut to cut would not ensure. Cuts
+that several documents hold mark the places where runs are worth comparing;
+there, runs are compared with those of all documents, and overlapping runs make
+the passages. The smallest key that holds a run keeps it.
 
 Long runs of twice the length, chosen alike by the smallest hash, are compared
-with the anchors. A smaller key that holds a long run holds the runs in it too,
+with the cuts. A smaller key that holds a long run holds the runs in it too,
 so these are known without asking; the smallest key of each run always asks.
 
-Anchors and runs go to buckets by their hash as one block for each chunk of
-texts, and the answers return to the chunk. A chunk names a run once, with its
+Cuts and runs go to buckets by their hash as one block for each part of the
+texts, and the answers return to the part. A part names a run once, with its
 smallest and largest key, so a passage of many documents is no hot group.
-
-``chunks`` cuts texts by a gear rolling hash over the UTF-8 bytes.
 """
 
 from __future__ import annotations
@@ -34,8 +36,7 @@ from ..session import input_bytes, stage_table
 from . import packed
 from .lm import _reproducible as reproducible
 
-WINDOW, AVERAGE_BITS, LEAST, MOST, LEAST_RUN = 16, 4, 24, 256, 96
-_SIZE_BITS = 20
+LEAST_RUN = 96
 SPAN = "struct<start:bigint,end:bigint>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 CHUNK, PIECE = 2 << 20, 1 << 18  # code points that are asked for together, and hashed together
@@ -44,116 +45,25 @@ _NULL = (1 << 63) - 1
 _LETTERS = np.array([chr(c).isalnum() for c in range(FIRST_WIDE)] + [False])
 
 
-def _gear() -> np.ndarray:
-    """256 numbers from the splitmix64 generator, lower halves."""
-    x = (np.arange(1, 257, dtype=np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).astype(np.uint32)
-
-
-GEAR = _gear()
-
-
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The gear hash h = 2 h + GEAR[byte] over the last WINDOW bytes at every byte, by doubling."""
-    h = GEAR[data]
-    step = 1
-    while step < WINDOW:
-        wider = h.copy()
-        wider[step:] += h[:-step] << np.uint32(step)
-        h, step = wider, step * 2
-    return h
-
-
-def cut_places(data: np.ndarray) -> np.ndarray:
-    """Places in the bytes where a chunk may end, never inside a character."""
-    mask = np.uint32((1 << AVERAGE_BITS) - 1)
-    low = np.uint32(WINDOW - AVERAGE_BITS)  # these bits depend on the last WINDOW bytes alone
-    places = np.flatnonzero(((gear_hashes(data) >> low) & mask) == 0) + 1
-    places = places[places < len(data)]
-    return places[(data[places] & 0xC0) != 0x80]
-
-
-def chunk_ends(places: list[int], at: int, end: int, data: np.ndarray) -> Iterator[int]:
-    """Ends of the chunks of the text in [at, end): the first place at least LEAST on, or MOST on."""
-    for p in places:
-        if p >= end:
-            break
-        while p - at > MOST:
-            at += MOST
-            while (data[at] & 0xC0) == 0x80:
-                at -= 1
-            yield at
-        if p - at >= LEAST:
-            at = p
-            yield at
-    while end - at > MOST:
-        at += MOST
-        while (data[at] & 0xC0) == 0x80:
-            at -= 1
-        yield at
-    if end > at:
-        yield end
-
-
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        at = 0
-        while at < len(keys):  # parts of a few MB, or one text
-            raw, size, first = [], 0, at
-            while at < len(keys) and (not raw or size < 4 << 20):
-                raw.append((texts[at] or "").encode())
-                size += len(raw[-1])
-                at += 1
-            yield _chunk(keys[first:at], raw, batch.schema.field(0).type)
-
-
-def _chunk(keys: list, raw: list[bytes], kind: pa.DataType) -> pa.RecordBatch:
-    whole = b"".join(raw)
-    data = np.frombuffer(whole, np.uint8)
-    places = cut_places(data)
-    points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
-    owner, begins, ends, bases, digests = [], [], [], [], []
-    start = 0
-    digest = xxhash.xxh3_128_digest
-    for key, text in zip(keys, raw, strict=True):
-        end = start + len(text)
-        lo, hi = np.searchsorted(places, (start + 1, end))
-        before = start
-        for e in chunk_ends(places[lo:hi].tolist(), start, end, data):
-            owner.append(key)
-            begins.append(before)
-            ends.append(e)
-            bases.append(start)
-            digests.append(digest(whole[before:e]))
-            before = e
-        start = end
-    begin_points = points[np.array(begins, np.int64)]
-    sizes = points[np.array(ends, np.int64)] - begin_points
-    begin_points = begin_points - points[np.array(bases, np.int64)]
-    halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(owner, kind),
-            pa.array(halves[:, 0]),
-            pa.array(halves[:, 1]),
-            pa.array((begin_points << _SIZE_BITS) | sizes, pa.int64()),
-        ],
-        names=["owner", "d1", "d2", "at"],
-    )
+def window(least_run: int) -> int:
+    """Code points that the gear hash at a cut covers: half a run, as far as 64 bits remember."""
+    return min(max(1, least_run // 2), 64)
 
 
-def chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per chunk: owner (the key), d1, d2 (its digest), at (start << 20 | size, in code points)."""
-    schema = T.StructType(
-        [
-            T.StructField("owner", docs.schema[key].dataType),
-            *[T.StructField(c, T.LongType()) for c in ("d1", "d2", "at")],
-        ]
-    )
-    return docs.select(F.col(key), F.col(text)).where(F.length(text) > 0).mapInArrow(_chunk_batches, schema)
+def gear_hashes(points: np.ndarray, n: int) -> np.ndarray:
+    """The gear hash h = 2 h + GEAR(code point) of the ``n`` code points from every place on, by doubling; n is at most 64.
+
+    GEAR is a mixing of the code point's number, so it knows every script.
+    """
+    h, m = packed.mixed(points.astype(np.uint64) + np.uint64(1)), 1
+    whole, done = h, 0
+    while True:
+        if n & m:
+            whole = (whole[: len(h) - done] << np.uint64(m)) + h[done:] if done else h
+            done += m
+        if done == n:
+            return whole
+        h, m = (h[: len(h) - m] << np.uint64(m)) + h[m:], 2 * m
 
 
 def run_hashes(points: np.ndarray, *sizes: int) -> list[np.ndarray]:
@@ -194,17 +104,17 @@ def _room(sizes: np.ndarray) -> np.ndarray:
     return np.repeat(ends, sizes) - np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
 
 
-def anchors(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the anchors: in every run of ``least_run`` code points, all halves with the smallest hash.
+def cuts(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, digests) of the windows at the cuts: in every run of ``least_run`` code points, all windows with the smallest gear hash.
 
     Which ones those are depends on the run alone, so that texts that share a
-    run share an anchor in it, whatever stands around it.
+    run share a cut in it, whatever stands around it.
     """
-    half = least_run // 2 or 1
+    wide = window(least_run)
     if len(points) < least_run:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    h = run_hashes(points, half)[0]
-    n = least_run - half + 1
+    h = gear_hashes(points, wide)
+    n = least_run - wide + 1
     least = np.where(room[: len(points) - least_run + 1] >= least_run, _sliding(h, n, np.minimum), np.uint64(0))
     outside = np.zeros(n - 1, np.uint64)
     at = np.flatnonzero(_sliding(np.concatenate((outside, least, outside)), n, np.maximum) == h)
@@ -324,20 +234,20 @@ def _chunks(batches: Iterator[pa.RecordBatch], least_run: int) -> Iterator[tuple
         yield base + k, *(np.array(x, np.int64) for x in ([r[0] for r in part], [r[1] for r in part], [len(r[2]) for r in part])), np.concatenate([r[2] for r in part])
 
 
-def _chunk_anchors(points: np.ndarray, sizes: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(places, hashes, number of anchors) of a chunk's anchors, and of its long runs after them."""
+def _chunk_cuts(points: np.ndarray, sizes: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(places, hashes, number of cuts) of the cuts of a part, and of its long runs after them."""
     found: tuple[list, list] = ([], [])
     for part, begin, own in _split(points, sizes):
         room = _room(sizes[part])
-        for kind, of in zip(found, (anchors, long_runs), strict=True):
+        for kind, of in zip(found, (cuts, long_runs), strict=True):
             at, h = of(own, room, least_run)
             kind.append((at + begin, h))
     return *(np.concatenate([x[k] for kind in found for x in kind]) for k in (0, 1)), sum(len(x[0]) for x in found[0])
 
 
-def _ask_anchors(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _ask_cuts(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for chunk, ids, _, sizes, points in _chunks(batches, least_run):
-        at, h, _ = _chunk_anchors(points, sizes, least_run)
+        at, h, _ = _chunk_cuts(points, sizes, least_run)
         rows = _asks(chunk, h, np.repeat(ids, sizes)[at], np.zeros(len(at), bool), buckets)
         if rows:
             yield _rows(rows)
@@ -361,7 +271,7 @@ def _unpacked(blocks: list[bytes]) -> list[np.ndarray]:
 
 
 def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Asks for every run that holds a shared anchor, but for those in a long run of a smaller id.
+    """Asks for every run that holds a shared cut's window, but for those in a long run of a smaller id.
 
     The state keeps their text, with a code point on either side if there is
     one, and what is known of them: 1 if a smaller id holds the run, plus 2 if
@@ -369,7 +279,7 @@ def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, m
     """
     for chunk, rows in packed.groups(batches, 1):
         ids, offsets, sizes, points = _unpacked(rows[0][2])
-        at, h, short = _chunk_anchors(points, sizes, least_run)
+        at, h, short = _chunk_cuts(points, sizes, least_run)
         piece = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         smaller, larger = _told(h, ids[piece[at]], np.zeros(len(at), bool), rows[1:])
         room, n = _room(sizes), len(points)
@@ -378,7 +288,7 @@ def _ask_runs(batches: Iterator[pa.RecordBatch], least_run: int, buckets: int, m
             begin = at[short:][on[short:]] + 1  # a run inside has a code point of the long run on either side
             known += np.int8(value) * _covered(begin, begin + least_run - 1, n)
         at = at[:short][(smaller | larger)[:short]]
-        wanted = _covered(np.maximum(at - (least_run - (least_run // 2 or 1)), 0), at + 1, n) & (room >= least_run)
+        wanted = _covered(np.maximum(at - (least_run - window(least_run)), 0), at + 1, n) & (room >= least_run)
         edge = np.diff(np.concatenate(([False], wanted, [False])).astype(np.int8)) != 0
         bounds = np.flatnonzero(edge).reshape(-1, 2)  # no run starts at the end of a piece, so they are apart
         owner = piece[bounds[:, 0]]
@@ -504,31 +414,30 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN, whole_words: bool = True) -> DataFrame:
-    """Passages that other documents hold too, one row per document that has any.
+def _owned(docs: DataFrame, key: str, text: str, least_run: int) -> tuple[DataFrame, DataFrame | None]:
+    """Texts by owner, a whole number in the order of the keys (nulls last), and the owners' keys and digests if numbers had to be made.
 
-    Columns: ``key``, repeated_chars, repeated (spans in code points, end
-    exclusive, of every run of ``least_run`` code points that another key also
-    holds, wherever it stands) and
-    removed (the part of them that a smaller key holds; cutting it leaves every
-    code point of a passage in the first document). ``whole_words``: a run must
-    start and end alike in both documents, inside a word or not, and the parts
-    of words and white space at the ends of a span are left out; without it
-    spans reach to the last equal code point. Null and shorter texts have
-    no passages. Rows with equal keys count as one document (all null keys too,
-    as the last one), and repeats inside one document don't count. Runs are
-    compared by 64-bit hashes: one of n runs is taken for another with a chance
-    of about n / 2^64.
+    Rows with equal keys and texts have one owner. Whole keys are their own
+    numbers if none of them stands on different texts.
     """
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") >= least_run)
+    if isinstance(docs.schema[key].dataType, T.ByteType | T.ShortType | T.IntegerType | T.LongType):
+        hashed = rows.groupBy("key").agg(F.min(F.xxhash64("text")).alias("least"), F.max(F.xxhash64("text")).alias("most"))
+        if hashed.where("least <> most").isEmpty():
+            return rows.select(F.coalesce(F.col("key").cast("long"), F.lit(_NULL)).alias("owner"), "text"), None
+    rows = rows.withColumn("digest", F.md5("text"))
+    names = rows.select("key", "digest").distinct().orderBy(F.col("key").asc_nulls_last(), "digest")
+    names = stage_table(names.select("key", "digest", F.monotonically_increasing_id().alias("owner")))
+    own = names.select(F.col("key").alias("_key"), F.col("digest").alias("_digest"), "owner")
+    found = rows.join(own, F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest")))
+    return found.select("owner", "text"), names
+
+
+def _passages(docs: DataFrame, key: str, text: str, least_run: int, whole_words: bool) -> tuple[DataFrame, bool]:
+    """key, digest (of the text; null where the key alone tells the row), repeated_chars, repeated, removed; and whether digests tell rows apart."""
     if least_run < 2:
         raise ValueError("passages have at least two code points")
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") >= least_run)
-    whole = isinstance(docs.schema[key].dataType, T.ByteType | T.ShortType | T.IntegerType | T.LongType)
-    if whole:
-        rows = rows.select(F.coalesce(F.col("key").cast("long"), F.lit(_NULL)).alias("owner"), "text")
-    else:  # numbers in the order of the keys take their place
-        names = stage_table(rows.where("key IS NOT NULL").select("key").distinct().orderBy("key").select("key", F.monotonically_increasing_id().alias("owner")))
-        rows = rows.join(names, "key", "left").select(F.coalesce("owner", F.lit(_NULL)).alias("owner"), "text")
+    rows, names = _owned(docs, key, text, least_run)
     rows = reproducible(rows)
     most = min(LONGEST_WORD, least_run // 2) if whole_words else 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), input_bytes(docs) // (8 << 20))
@@ -536,20 +445,42 @@ def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run:
     spans = f"array<{SPAN}>"
 
     def answered(asked: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-        partitions = min(buckets, packed.MOST_PARTITIONS)  # a task goes through its buckets and chunks one by one
+        partitions = min(buckets, packed.MOST_PARTITIONS)  # a task goes through its buckets and parts one by one
         back = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_answers, shape)
         return (back if texts is None else texts.unionByName(back)).repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket")
 
-    asked = answered(rows.mapInArrow(lambda b: _ask_anchors(b, least_run, buckets), shape), rows.mapInArrow(lambda b: _texts(b, least_run), shape))
+    asked = answered(rows.mapInArrow(lambda b: _ask_cuts(b, least_run, buckets), shape), rows.mapInArrow(lambda b: _texts(b, least_run), shape))
     asked = answered(asked.mapInArrow(lambda b: _ask_runs(b, least_run, buckets, most), shape))
     found = asked.mapInArrow(lambda b: _spans(b, least_run, most), f"owner long, repeated {spans}, removed {spans}")
     per_doc = found.groupBy("owner").agg(F.collect_set("repeated").alias("repeated"), F.collect_set("removed").alias("removed"))
     out = per_doc.mapInArrow(_merged, f"owner long, repeated_chars long, repeated {spans}, removed {spans}")
-    if whole:
-        own = F.when(F.col("owner") != _NULL, F.col("owner")).cast(docs.schema[key].dataType)
+    if names is None:
+        out = out.select(F.when(F.col("owner") != _NULL, F.col("owner")).cast(docs.schema[key].dataType).alias("key"), F.lit(None).cast("string").alias("digest"), "repeated_chars", "repeated", "removed")
     else:
-        out, own = out.join(names, "owner", "left"), F.col("key")
-    return out.select(own.alias(key), "repeated_chars", "repeated", "removed")
+        out = out.join(names, "owner").select("key", "digest", "repeated_chars", "repeated", "removed")
+    return out, names is not None
+
+
+def repeated_passages(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN, whole_words: bool = True) -> DataFrame:
+    """Passages that other documents hold too, one row per document that has any.
+
+    Columns: ``key``, repeated_chars, repeated (spans in code points, end
+    exclusive, of every run of ``least_run`` code points that another document
+    also holds, wherever it stands) and
+    removed (the part of them that an earlier document holds; cutting it leaves
+    every code point of a passage in the first document). Documents are in the
+    order of their keys, nulls last, then of their texts' digests. ``whole_words``: a run must
+    start and end alike in both documents, inside a word or not, and the parts
+    of words and white space at the ends of a span are left out; without it
+    spans reach to the last equal code point. Null and shorter texts have
+    no passages. Rows with equal keys and equal texts count as one document, rows
+    with equal (or null) keys and different texts as several; repeats inside one
+    document don't count. Runs are
+    compared by 64-bit hashes: one of n runs is taken for another with a chance
+    of about n / 2^64.
+    """
+    found, _ = _passages(docs, key, text, least_run, whole_words)
+    return found.select(F.col("key").alias(key), "repeated_chars", "repeated", "removed")
 
 
 def cut_spans(text: Column, spans: Column) -> Column:
@@ -566,9 +497,20 @@ def cut_spans(text: Column, spans: Column) -> Column:
 
 
 def deduplicated(docs: DataFrame, key: str, text: str = "text", least_run: int = LEAST_RUN) -> DataFrame:
-    """The documents with every repeated passage cut from all but the first document that holds it."""
-    removed = repeated_passages(docs, key, text, least_run).select(F.col(key).alias("key"), F.col("removed").alias("spans"))
-    joined = docs.select(F.struct("*").alias("row")).join(removed, F.col("row")[key].eqNullSafe(F.col("key")), "left")
+    """The documents with every repeated passage cut from all but the first document that holds it.
+
+    Each row loses only what its own text shares, also where rows have equal or
+    null keys; rows with equal keys and texts are cut alike.
+    """
+    found, by_text = _passages(docs, key, text, least_run, True)
+    removed = found.select("key", "digest", F.col("removed").alias("spans"))
+    joined = docs.select(F.struct("*").alias("row"))
+    same = F.col("row")[key].eqNullSafe(F.col("key"))
+    if by_text:
+        same = same & (F.md5(F.col("row")[text]) == F.col("digest"))
+    else:
+        same = same & (F.length(F.col("row")[text]) >= least_run)
+    joined = joined.join(removed, same, "left")
     cut = F.when(F.size("spans") > 0, cut_spans(F.col("row")[text], F.col("spans"))).otherwise(F.col("row")[text])
     return joined.select(F.col("row").withField(text, cut).alias("row")).select("row.*")
 

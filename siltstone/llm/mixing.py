@@ -128,12 +128,19 @@ class Share:
     A pick (first, stop, largest) means the documents of at most ``largest``
     words whose order lies from ``first`` to before ``stop``. missing: words of
     the share that no pick covers yet. near: so few missing words don't matter.
+    Documents up to ``bound`` (size and order) are taken as ``filled`` says
+    instead: size, order and copies.
     """
 
     whole: int
     missing: int
     near: int
     picks: list[tuple[int, int, int]] = field(default_factory=list)
+    filled: list[tuple[int, int, int]] = field(default_factory=list)
+    bound: tuple[int | None, int | None] = (None, None)
+
+    def takes(self, size: int, order: int) -> int:
+        return self.whole + any(first <= order < stop and size <= largest for first, stop, largest in self.picks)
 
 
 class Mix:

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from siltstone.llm import cdc, html_text, jaccard, lm, packed, pieces, quality, warc
 
 
@@ -521,30 +523,60 @@ def test_pieces_odd_rows(odd_documents, no_documents):
     assert pieces.encode_documents(no_documents, "doc_id").count() == 0
 
 
-# --- chunks ---
+@pytest.mark.parametrize(
+    ("markup", "text"),
+    [
+        ("a <!--> b", "a b"), ("a <!---> b", "a b"), ("<!-- c --!> d", "d"), ("a <!-- b -- > c --> d", "a d"), ("x <!-- y", "x"),
+        ("<div style='visibility:hidden'>x<b style='visibility:visible'>y</b>z</div>", "y"), ("<i style='VISIBILITY: collapse !important; visibility:visible'>x</i>y", "y"),
+        ("<p style='display:none;display:block'>k</p>", "k"), ("<p style='display:none;display:bogus'>k</p>m", "m"), ("<p hidden style='display:block'>k</p>", "k"),
+        ("<input type=submit value='Go &amp; now'>", "Go & now"), ("<input type=hidden value=h><input type=PASSWORD value=s>x", "x"), ("a<input value=v>b", "a v b"),
+        ("<details><summary>S</summary>body</details>", "S"), ("<details open><summary>S</summary>body</details>", "S\nbody"), ("<details>body</details>x", "x"),
+        ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"), ("<ol reversed><li>x<li>y</ol>", "2. x\n1. y"), ("<ol start=-1 reversed><li>x<li>y</ol>", "-1. x\n-2. y"),
+        ("<table style='visibility:hidden'>t<tr><td>a<td style='visibility:visible'>b</table>", "  b"), ("<p style='visibility:hidden'><img alt=x></p>y", "y"),
+    ],
+)
+def test_html_visibility(markup, text):
+    assert html_text.render(markup)[0] == text
 
 
-def test_gear_hash_rolls():
-    data = np.frombuffer(random.Random(1).randbytes(3000), np.uint8)
-    h, got = 0, cdc.gear_hashes(data)
-    for k, b in enumerate(data.tolist()):
-        h = ((h << 1) + int(cdc.GEAR[b])) & 0xFFFFFFFF
-        assert h & 0xFFFF == int(got[k]) & 0xFFFF
+@pytest.mark.parametrize("part", ["<table>", "<table><tr><td>", "<ul><li>", "<div>", "<form><table><form>", "<b><p>", "<details open>"])
+def test_html_depth_never_fails(part):
+    n = 100_000 if part == "<table>" else 3000
+    assert html_text.render(part * n + "x")[0].split()[-1] == "x"
 
 
-def test_chunks_cover_texts(spark):
-    rng = random.Random(6)
-    texts = ["", None, "é" * 700, "x" * 1000, *("".join(rng.choices("ab c漢é\n", k=rng.randint(1, 3000))) for _ in range(20))]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    parts = collections.defaultdict(list)
-    for r in cdc.chunks(docs, "doc_id", "text").collect():
-        parts[r["owner"]].append((r["at"] >> 20, r["at"] & ((1 << 20) - 1)))
-    for k, t in enumerate(texts):
-        at = 0
-        for start, size in sorted(parts[k]):
-            assert start == at and 0 < size <= cdc.MOST
-            at += size
-        assert at == len(t or "")
+# --- cuts ---
+
+
+def test_gear_hash_rolls():
+    rng = random.Random(1)
+    points = np.array([rng.choice((rng.randrange(128), rng.randrange(0x110000))) for _ in range(500)], np.uint32)
+    gear = [int(x) for x in cdc.packed.mixed(points.astype(np.uint64) + np.uint64(1))]
+    for n in (1, 2, 3, 16, 47, 48, 63, 64):
+        got = cdc.gear_hashes(points, n)
+        assert len(got) == len(points) - n + 1
+        for k in range(0, len(got), 7):
+            h = 0
+            for g in gear[k : k + n]:
+                h = (2 * h + g) % (1 << 64)
+            assert h == int(got[k])
+
+
+@pytest.mark.parametrize("least_run", [2, 7, 96, 200])
+def test_cuts_resist_insertions(least_run):
+    """Every run has a cut inside, and an insertion moves no cut but those around it."""
+    rng = random.Random(least_run)
+    text = "".join(rng.choices("ab c漢é\n", k=3000)) + "x" * 500
+    points = lambda t: np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    room = lambda t: cdc._room(np.array([len(t)]))
+    at, h = cdc.cuts(points(text), room(text), least_run)
+    wide = cdc.window(least_run)
+    for k in range(len(text) - least_run + 1):
+        assert np.searchsorted(at, k) < len(at) and at[np.searchsorted(at, k)] <= k + least_run - wide
+    later, g = cdc.cuts(points(text[:1500] + "INSERTED" + text[1500:]), room(text + "INSERTED"), least_run)
+    far = lambda p, x, lo, hi: list(zip((p[(p < lo) | (p >= hi)]).tolist(), x[(p < lo) | (p >= hi)].tolist(), strict=True))
+    before, after = far(at, h, 1500 - least_run, 1500 + least_run), far(later, g, 1500 - least_run, 1508 + least_run)
+    assert [(p + 8 * (p >= 1500), x) for p, x in before] == after
 
 
 def test_passages_are_found_and_cut(spark):
@@ -646,6 +678,64 @@ def test_passages_odd_rows(odd_documents, no_documents):
     assert cdc.repeated_passages(no_documents, "doc_id").count() == 0
 
 
+def aligned_runs(rows, n):
+    """``repeated`` with whole words by brute force: runs of n that start and end alike in two rows, without parts of words at the ends."""
+    most = min(cdc.LONGEST_WORD, n // 2)
+    letter = [[c.isalnum() and ord(c) < cdc.FIRST_WIDE for c in t] for t in rows]
+
+    def inside(k, at, step):
+        """Whether a run's end at a place lies in a word of which it has fewer than ``most`` letters."""
+        t, other = letter[k], at - step
+        if not (0 <= other < len(t) and t[at] and t[other]):
+            return False
+        return next((j for j in range(most) if not (0 <= at + step * j < len(t)) or not t[at + step * j]), most) < most
+
+    holders = collections.defaultdict(set)
+    runs = [(k, i, (t[i : i + n], inside(k, i, 1), inside(k, i + n - 1, -1))) for k, t in enumerate(rows) for i in range(len(t) - n + 1)]
+    for k, _, r in runs:
+        holders[r].add(k)
+    found = [set() for _ in rows]
+    for k, i, r in runs:
+        if len(holders[r]) > 1:
+            found[k].update(range(i, i + n))
+    return found
+
+
+def test_whole_words_against_brute_force(spark):
+    """Spans lie in the brute-force ones, end at whole words, and leave out parts of words and spaces alone."""
+    rng = random.Random(15)
+    fresh = lambda n: " ".join("".join(rng.choices("abcdeé", k=rng.randint(1, 9))) for _ in range(n))
+    texts = []
+    for _ in range(30):
+        passage = fresh(rng.randint(18, 40))
+        at = rng.randint(0, 6)
+        for _ in range(2):
+            texts.append(f"{fresh(rng.randint(0, 30))}{rng.choice((' ', '', ', '))}{passage[at:]}{rng.choice((' ', '', '.'))}{fresh(rng.randint(0, 30))}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["repeated"] for r in cdc.repeated_passages(docs, "doc_id").collect()}
+    whole = aligned_runs(texts, cdc.LEAST_RUN)
+    assert set(found) == {k for k, w in enumerate(whole) if w}
+    for k, spans in found.items():
+        got = {i for s in spans for i in range(s["start"], s["end"])}
+        assert got <= whole[k]
+        for i in whole[k] - got:  # what is left out belongs to a word or space at the end of a span
+            run = [j for j in range(i - cdc.LONGEST_WORD, i + cdc.LONGEST_WORD) if j in whole[k]]
+            assert run and (min(run) > i - cdc.LONGEST_WORD or max(run) < i + cdc.LONGEST_WORD - 1)
+
+
+def test_rows_lose_only_what_their_own_text_shares(spark):
+    rng = random.Random(9)
+    fresh = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    p, q, r = fresh(60), fresh(90), fresh(60)
+    rows = [(1, "one " + p, "a"), (5, p + " five", "b"), (5, q, "c"), (None, r + " x", "d"), (None, q + " y", "e"), (None, "y " + r, "f"), (1, "one " + p, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    got = {x["digest"]: x["text"].strip() for x in cdc.deduplicated(docs, "doc_id").collect()}
+    assert got["a"] == got["g"] == "one " + p and got["b"] == "five" and got["c"] == q and got["e"] == "y"
+    assert sorted((got["d"], got["f"]), key=len)[0] in ("x", "y") and sorted((got["d"], got["f"]), key=len)[1] in (r + " x", "y " + r)
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert {x["digest"]: x["text"].strip() for x in cdc.deduplicated(named, "doc_id").collect()} == got
+
+
 def test_cut_passages_of_null_keys_and_clashing_columns(spark):
     """A passage that a null key shares with key 5 is found; the null key comes last, so it loses the passage. Other columns may have any name."""
     passage = " ".join(f"word{k}" for k in range(60))
