@@ -71,6 +71,7 @@ STYLES = {
     "visibility": frozenset("visible hidden collapse inherit initial unset revert".split()),
     "content-visibility": frozenset("visible hidden auto".split()),
 }
+VISIBILITY = re.compile("visibility|&", re.I)  # a property's name may be written with entities
 CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 UNLABELLED = frozenset("hidden password checkbox radio file color range image".split())  # inputs whose value is no text on the page
 
@@ -163,7 +164,8 @@ def build_tree(markup: str) -> Node:
             stack.append(node)
         if len(stack) > MOST_DEPTH:  # deeper elements become siblings; none of their text is lost
             stack.pop()
-    _inherit(root)
+    if VISIBILITY.search(markup):
+        _inherit(root)
     return root
 
 
@@ -340,7 +342,12 @@ def _render(node: Node, out: Layout, keep: bool, numbers: list[list[int] | None]
             out.pad, out.marker = pad + " " * len(sign), sign
         elif tag in ("blockquote", "dd"):
             out.pad = pad + "  "
-        yield _render(child, out, keep or tag in ("pre", "textarea", "listing", "xmp"), inner)
+        keeps = keep or tag in ("pre", "textarea", "listing", "xmp")
+        if tag == "details" or any(type(c) is Node for c in child.children):
+            yield _render(child, out, keeps, inner)
+        elif child.shown:
+            for c in child.children:
+                out.text(c, keeps)
         if is_block:
             out.block(empty)
         out.pad = pad
