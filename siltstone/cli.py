@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,9 @@ from .functions.keys import MODEL_PREFIX, archive_name, key_filename, model_cate
 from .operators import catalog, manifest, sinks
 from .operators.records import summary
 from .plans import execute, work
-from .session import local_session, stage_table
+from .session import local_session, shared_dir, stage_table
 from .sources import catalog as feeds
-from .sources import files, manifests, traces
+from .sources import files, footers, manifests, traces
 
 log = logging.getLogger("siltstone")
 DEFAULTS = work.TrainSettings()
@@ -117,13 +118,17 @@ def run_download(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def run_extract(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     rows = manifest.only_archives(selection(spark, args))
     converter = execute.find_converter(args.converter)
-    nothing = spark.createDataFrame([], "path string")
-    plan = work.extract_plan(rows, nothing, converter, args.workers, args.force)
+    wanted = work.extract_plan(rows, spark.createDataFrame([], "path string"), converter, args.workers, args.force)
+    plan = work.extract_plan(rows, execute.present_outputs(wanted, args.root), converter, args.workers, args.force)
     if args.dry_run:
         return plan
     result = execute.extract(plan, args.root, args.jobs, args.force, stop=not args.keep_going)
+    failed = 0
     for row in execute.failures(result, True).toLocalIterator():
         log.warning("extract: %s: %s", row["key"], row["error"])
+        failed += 1
+    if failed:
+        raise SystemExit(f"extract: {failed} archives failed")
     return result
 
 
@@ -153,7 +158,7 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def run_reasoning(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.shards:
-        return ingest_shards(spark, args, args.shards, args.slug or "traces", args.category)
+        return ingest_shards(spark, args, local_shards(spark, args, args.shards), args.slug or "traces", args.category)
     if args.repo:
         return ingest_repo(spark, args, args.repo, args.config, args.split, args.slug or args.repo.rpartition("/")[2].lower(), args.category)
     items = manifest.require_repo(manifest.reasoning_items(manifests.read_manifests(spark, args.datasets)))
@@ -172,38 +177,69 @@ def run_reasoning(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def ingest_repo(spark: SparkSession, args: argparse.Namespace, repo: str, config: str, split: str, slug: str, category: str) -> DataFrame:
-    """Fetch the shards of a dataset as far as the limit asks, ingest them, and delete them unless they are to be kept."""
+    """Fetch the shards of a dataset as far as the limit asks, ingest each once, and delete it unless it is to be kept.
+
+    As many shards as there are jobs are on disk at a time, one if there is a limit.
+    """
     plan = traces.shard_plan(traces.listed_shards(spark, f"{args.hub}/{repo}/parquet/{config}/{split}"), slug)
     if args.dry_run:
         return plan
     cache = args.cache or f"{args.root}/datasets/reasoning/{slug}"
-    plan = plan.withColumn("key", F.element_at(F.split("key", "/"), -1))
-    if args.limit <= 0:
-        execute.download(plan, cache, args.jobs, 3, stop=True)
-        paths = [f"{cache}/{r['key']}" for r in plan.select("key").orderBy("key").toLocalIterator()]
-    else:  # one shard after another, until there are enough records
-        paths, n = [], 0
-        for row in plan.orderBy("ordinal").toLocalIterator():
-            if n >= args.limit:
-                break
-            execute.download(plan.where(F.col("ordinal") == row["ordinal"]), cache, 1, 3, stop=True)
-            paths.append(f"{cache}/{row['key']}")
-            n += traces.ingest(traces.read_shards(spark, paths[-1]), max_tokens=args.max_tokens).count()
-    out = ingest_shards(spark, args, paths, slug, category)
+    plan = stage_table(plan.withColumn("key", F.element_at(F.split("key", "/"), -1)))
+
+    def fetched():
+        step = 1 if args.limit > 0 else max(1, args.jobs)
+        for first in range(0, plan.count(), step):
+            part = plan.where(F.col("ordinal").between(first, first + step - 1))
+            execute.download(part, cache, step, 3, stop=True)
+            paths = [f"{cache}/{r['key']}" for r in part.select("key").orderBy("key").collect()]
+            try:
+                yield paths
+            finally:
+                for p in [] if args.keep_shards else paths:
+                    files.delete(spark, p)
+
+    out = ingest_shards(spark, args, fetched(), slug, category)
     if not args.keep_shards:
-        for p in paths:
-            files.delete(spark, p)
+        files.delete_empty(spark, cache)
     return out
 
 
-def ingest_shards(spark: SparkSession, args: argparse.Namespace, paths: list[str], slug: str, category: str) -> DataFrame:
-    """JSON lines and Markdown of the records of some shards, in the order of shards and rows; what was written, in one row."""
-    shards = traces.read_shards(spark, *paths)
-    found = traces.ingest(shards, keep=("file_path", "row_index"), max_tokens=args.max_tokens)
+def local_shards(spark: SparkSession, args: argparse.Namespace, paths: list[str]):
+    """The Parquet files of paths: all at once, or with a limit first as many as hold so many rows by their footers, then one by one."""
+    found = sorted(spark.read.parquet(*paths).inputFiles())
+    if args.limit <= 0:
+        yield found
+        return
+    sizes = {r["path"]: r["n"] for r in footers.row_groups(spark, found).groupBy("path").agg(F.sum("n_rows").alias("n")).toLocalIterator()}
+    first, rows = 0, 0
+    while first < len(found) and rows < args.limit:
+        rows, first = rows + sizes.get(found[first], 0), first + 1
+    yield found[:first]
+    for path in found[first:]:
+        yield [path]
+
+
+def ingest_shards(spark: SparkSession, args: argparse.Namespace, parts, slug: str, category: str) -> DataFrame:
+    """JSON lines and Markdown of the records of some shards, in the order of shards and rows; what was written, in one row.
+
+    parts: lists of shards, each read once, until there are as many records as the limit asks for.
+    """
+    staged, n_shards = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}", 0
+    place = ("file_path", "row_index")
+    for paths in parts:
+        found = traces.ingest(traces.read_shards(spark, *paths), keep=place, max_tokens=args.max_tokens)
+        found.write.mode("append").parquet(staged)
+        n_shards += len(paths)
+        if args.limit > 0 and spark.read.parquet(staged).count() >= args.limit:
+            break
+    parts.close()
+    found = spark.read.parquet(staged)
     if args.limit > 0:
-        found = found.orderBy("file_path", "row_index").limit(args.limit)
-    placed = stage_table(found.withColumn("place", F.struct("file_path", "row_index")))
-    told = stage_table(summary(placed).select(F.lit(slug).alias("slug"), F.lit(len(shards.inputFiles())).alias("shards"), "records", "complete"))
+        found = found.orderBy(*place).limit(args.limit)
+    placed = stage_table(found.withColumn("place", F.struct(*place)))
+    told = stage_table(summary(placed).select(F.lit(slug).alias("slug"), F.lit(n_shards).alias("shards"), "records", "complete"))
+    files.delete(spark, staged)
     if args.dry_run:
         return told
     sinks.write_json_lines(placed, args.jsonl or f"{args.root}/datasets/reasoning/{slug}.jsonl")
@@ -216,6 +252,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
     log.setLevel(logging.INFO)
     args = parser().parse_args(argv)
     spark = spark or local_session()
+    if args.command in ("download", "extract", "reasoning") and not spark.sparkContext.master.startswith("local") and "/" not in args.root[:1]:
+        raise SystemExit("on a cluster --root names a folder that all executors share, from / on")
     out = globals()[f"run_{args.command}"](spark, args)
     out.show(100, truncate=False)
     return out

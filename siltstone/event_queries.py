@@ -1,4 +1,4 @@
-"""Queries over time, totals and sketches, with the same query in SQL."""
+"""Queries over time, totals, sketches, footers and table functions, with the same query in SQL."""
 
 from __future__ import annotations
 
@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import views as V
+from .functions import table_functions
 from .functions.keys import key_category
 from .operators import sketches, temporal, totals
+from .queries import ANSWER, THINKING
 from .session import table
+from .sources import footers
 from .streaming.windows import window_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +145,32 @@ def trailing_users(spark, d):
     close = lambda found, want, of: F.abs(found - want) <= 0.03 * of + 1
     day = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("long").alias("day")
     return exact.select(day, "n", "users", close(F.col("estimate"), F.col("users"), F.col("users")).alias("users_close"), close(F.col("below"), F.col("n") / 2, F.col("n")).alias("median_close"))
+
+
+# --- footers and table functions ---
+
+
+@query("SELECT count(*) AS n_rows, min(o_orderkey) AS low, max(o_orderkey) AS high, true AS all_in_place FROM orders")
+def row_group_index(spark, d):
+    """Counts and bounds of a table from its footers alone; no data is scanned."""
+    shards = spark.createDataFrame([(p,) for p in table(spark, d, "orders").inputFiles()], "path string")
+    groups = footers.with_places(footers.row_groups(spark, shards, ["o_orderkey"]))
+    bound = lambda end: F.col("bounds")["o_orderkey"][end].cast("long")
+    told = groups.agg(F.sum("n_rows").alias("n_rows"), F.min(bound("low")).alias("low"), F.max(bound("high")).alias("high"), F.max(F.col("before") + F.col("n_rows")).alias("end"))
+    return told.select("n_rows", "low", "high", (F.col("end") == F.col("n_rows")).alias("all_in_place"))
+
+
+@query(f"WITH {V.TRACES_FLAT} SELECT conv_id, turn, {THINKING} AS thinking, {ANSWER} AS answer FROM traces_flat")
+def split_traces_in_sql(spark, d):
+    """The table function on a table argument, from SQL."""
+    table_functions.register(spark)
+    return spark.sql("SELECT conv_id, turn, thinking, answer FROM split_traces(TABLE({t}), 'response')", t=V.traces_flat(spark, d))
+
+
+@query("""SELECT conv_id, turn, row_number() OVER w AS number, last_value(CASE WHEN role = 'user' THEN nullif(text, '') END IGNORE NULLS) OVER w AS last_user,
+  last_value(CASE WHEN role = 'assistant' THEN nullif(text, '') END IGNORE NULLS) OVER w AS last_assistant FROM conversations
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)""")
+def conversation_state_in_sql(spark, d):
+    """A table function that asks for its partitioning and order itself; one exchange by conversation."""
+    table_functions.register(spark)
+    return spark.sql("SELECT * FROM conversation_state(TABLE({t}))", t=table(spark, d, "conversations"))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -13,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import key_category
 from ..functions.rules import CATEGORIES
 from ..sources import files
+from ..sources.chunk_files import write_chunk_files
 from ..sources.manifests import FIELDS
 from .records import chunked, complete, document, json_line
 
@@ -63,19 +62,10 @@ def write_json_lines(records: DataFrame, folder: str) -> None:
 def write_markdown(records: DataFrame, folder: str, slug: str, order: str, per_file: int = 1000) -> int:
     """Documents in files ``<slug>-00000.md`` and so on, of ``per_file`` each; the number of files.
 
-    Spark writes the files beside their place; then each is renamed. Files of an
-    earlier run with higher numbers stay.
+    They appear together (``chunk_files``); files of the slug from an earlier run
+    go, others in the folder stay.
     """
-    spark = records.sparkSession
-    doc = document()  # its last line end is the line separator of the text sink
+    doc = document()  # its last line end is the line separator of the sink
     rows = chunked(records, order, per_file).withColumn("value", doc.substr(F.lit(1), F.length(doc) - 1))
-    beside = f"{folder}/.parts-{uuid.uuid4().hex}"
-    parts = rows.repartition("file_seq").sortWithinPartitions("file_seq", "position").select("value", "file_seq")
-    parts.write.option("maxRecordsPerFile", 0).partitionBy("file_seq").text(beside)
-    n = 0
-    for path in files.listed(spark, f"{beside}/file_seq=*/part-*"):
-        seq = int(re.search(r"file_seq=(\d+)/", path)[1])
-        files.rename(spark, path, f"{folder}/{slug}-{seq:05d}.md")
-        n += 1
-    files.delete(spark, beside)
-    return n
+    write_chunk_files(rows, folder, slug)
+    return -(-records.count() // per_file)

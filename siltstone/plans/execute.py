@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterator
 from urllib.request import urlopen
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -90,31 +90,65 @@ def find_converter(name: str) -> str:
     return found
 
 
-def _run(plan: DataFrame, jobs: int, one: Callable[[dict], tuple], stop: bool) -> DataFrame:
+def _run(plan: DataFrame, root: str, jobs: int, one: Callable[[dict], tuple], stop: bool) -> DataFrame:
     """One row per item, items spread over ``jobs`` tasks. The work is done here, once; its results are a written table.
 
-    stop: the first item that fails is an error, and Spark ends the other tasks.
+    stop: after the first item that fails no other is begun, and the failure is
+    an error. A mark in ``root`` tells the other tasks, so that no task fails
+    and is tried again.
     """
+    mark = os.path.join(root, f".stopped-{uuid.uuid4().hex}")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            if stop and os.path.exists(mark):
+                done = row["key"], "cancelled", 0, None
+            else:
                 done = one(row)
                 if stop and done[1] == "failed":
-                    raise RuntimeError(f"{done[0]}: {done[3]}")
-                yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, done, strict=True))], _ARROW)
+                    os.makedirs(root, exist_ok=True)
+                    open(mark, "w").close()
+            yield pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, done, strict=True))], _ARROW)
+
+    try:
+        result = stage_table(_dealt(plan, jobs).mapInArrow(work, RESULT))
+    finally:
+        if os.path.exists(mark):
+            os.remove(mark)
+    if stop:
+        failures(result)
+    return result
+
+
+def _dealt(plan: DataFrame, jobs: int) -> DataFrame:
+    """Items dealt to tasks by their place in the order of size, so that no task gets several of the largest by chance.
+
+    A plan has one row for each archive of a manifest, which one task can number.
+    """
+    size = F.coalesce("size", F.lit(0)) if "size" in plan.columns else F.lit(0)
+    numbered = plan.withColumn("_place", F.row_number().over(Window.orderBy(size.desc(), "key")) - 1)
+    return numbered.repartitionById(jobs, (F.col("_place") % jobs).cast("int")).drop("_place")
+
+
+def present_outputs(plan: DataFrame, root: str) -> DataFrame:
+    """``path`` of the output folders of an extraction plan that hold a file."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            here = [p for p in batch.column(0).to_pylist() if os.path.isdir(at := os.path.join(root, p)) and any(os.scandir(at))]
+            yield pa.RecordBatch.from_arrays([pa.array(here, pa.string())], names=["path"])
 
-    return stage_table(plan.repartition(jobs, "key").mapInArrow(work, RESULT))
+    return plan.select("output").mapInArrow(look, "path string")
 
 
 def download(plan: DataFrame, root: str, jobs: int = 4, retries: int = 4, delay: float = 1.0, stop: bool = False) -> DataFrame:
     """key, action (skip, download, failed), bytes and error of every item of a manifest or download plan."""
-    return _run(plan.select("key", "url", "size"), jobs, lambda r: fetch_one(r, root, retries, delay), stop)
+    return _run(plan.select("key", "url", "size"), root, jobs, lambda r: fetch_one(r, root, retries, delay), stop)
 
 
 def extract(plan: DataFrame, root: str, jobs: int = 4, force: bool = False, stop: bool = False) -> DataFrame:
     """key, action (skip, extract, failed) and error of every archive of an extraction plan."""
-    return _run(plan.select("key", "output", "argv"), jobs, lambda r: convert_one(r, root, force), stop)
+    return _run(plan.select("key", "output", "argv"), root, jobs, lambda r: convert_one(r, root, force), stop)
 
 
 def failures(result: DataFrame, keep_going: bool = False) -> DataFrame:

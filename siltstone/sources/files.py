@@ -34,7 +34,7 @@ def require_markdown(spark: SparkSession, root: str) -> None:
         raise FileNotFoundError(f"corpus {root}: no Markdown files")
 
 
-def latest_checkpoint(files: DataFrame, path: str = "path", pattern: str = r"model_(\d+)\.[^/]*$") -> DataFrame:
+def latest_checkpoint(files: DataFrame, path: str = "path", pattern: str = r"model_(\d+)\.gn$") -> DataFrame:
     """The path of the checkpoint with the largest step, in one row (null if there is none)."""
     step = F.regexp_extract(F.col(path), pattern, 1)
     return files.where(step != "").agg(F.max_by(path, step.cast("long")).alias("checkpoint"))
@@ -42,7 +42,7 @@ def latest_checkpoint(files: DataFrame, path: str = "path", pattern: str = r"mod
 
 def require_checkpoint(spark: SparkSession, folder: str) -> str:
     """The latest checkpoint in a folder; none is an error."""
-    found = latest_checkpoint(spark.createDataFrame([(p,) for p in listed(spark, f"{folder}/model_*")], "path string")).first()[0]
+    found = latest_checkpoint(spark.createDataFrame([(p,) for p in listed(spark, f"{folder}/model_*.gn")], "path string")).first()[0]
     if found is None:
         raise FileNotFoundError(f"no checkpoint in {folder}")
     return found
@@ -69,6 +69,13 @@ def delete(spark: SparkSession, path: str) -> bool:
     return files.delete(place, True)
 
 
+def delete_empty(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that holds nothing any more."""
+    files, place = _place(spark, folder)
+    if files.exists(place) and len(files.listStatus(place)) == 0:
+        files.delete(place, False)
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file, in place of what has the new name."""
     jvm = spark._jvm

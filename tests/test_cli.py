@@ -117,6 +117,50 @@ def test_extract_runs_the_converter(spark, tmp_path):
     assert {r["action"] for r in execute.extract(plan, str(tmp_path), 2).collect()} == {"skip", "failed"}
 
 
+def test_extract_tells_what_is_there_and_fails_at_the_end(spark, tmp_path):
+    """A dry run knows finished archives; with keep-going the others are still extracted, but the command fails."""
+    tool = tmp_path / "tool.sh"
+    tool.write_text('#!/bin/sh\nfor last; do :; done\nmkdir -p "$2/$(basename "$last" .zim)"\necho t > "$2/$(basename "$last" .zim)/p.md"\n')
+    tool.chmod(tool.stat().st_mode | stat.S_IEXEC)
+    (tmp_path / "datasets/base/markdown/done").mkdir(parents=True)
+    (tmp_path / "datasets/base/markdown/done/p.md").write_text("x")
+    (tmp_path / "datasets/base/markdown/b").mkdir()
+    for name in ("a", "b", "done"):
+        (tmp_path / f"datasets/base/{name}.zim").write_text("z")
+    (tmp_path / "m").mkdir()
+    names = ("a", "b", "done", "gone")
+    (tmp_path / "m/base.json").write_text(json.dumps({f"datasets/base/{n}.zim": {"url": "u", "model": "lm-base", "size": 1} for n in names}))
+    command = ["--datasets", str(tmp_path / "m"), "--root", str(tmp_path), "extract", "--converter", str(tool)]
+    plan = {r["key"][14:-4]: r["action"] for r in cli.main([*command, "--dry-run"], spark).collect()}
+    assert plan == {"a": "extract", "b": "extract", "done": "skip", "gone": "extract"}
+    with pytest.raises(SystemExit, match="1 archives failed"):
+        cli.main([*command, "--keep-going"], spark)
+    assert (tmp_path / "datasets/base/markdown/a/p.md").exists() and (tmp_path / "datasets/base/markdown/b/p.md").exists()
+
+
+def test_first_failure_stops_the_others(spark, tmp_path):
+    """No item is begun after a failure, and nothing is tried again."""
+    begun = tmp_path / "begun"
+    begun.mkdir()
+
+    def one(row):
+        (begun / row["key"]).touch(exist_ok=False)
+        return row["key"], "failed" if row["key"] == "k00" else "done", 0, "broken"
+
+    plan = spark.createDataFrame([(f"k{k:02}", 100 - k) for k in range(20)], "key string, size bigint")
+    with pytest.raises(RuntimeError, match="k00: broken"):
+        execute._run(plan, str(tmp_path), 1, one, True)
+    assert [p.name for p in begun.iterdir()] == ["k00"] and not list(tmp_path.glob(".stopped*"))
+    got = execute._run(plan, str(tmp_path / "other"), 4, lambda r: (r["key"], "done", r["size"], None), True)
+    assert got.count() == 20 and got.where("action = 'done'").count() == 20
+
+
+def test_checkpoints_are_gn_files(spark, tmp_path):
+    for name in ("model_000007.gn", "model_000300.json", "model_000020.gn", "other_9.gn"):
+        (tmp_path / name).write_text("x")
+    assert files.require_checkpoint(spark, str(tmp_path)).endswith("model_000020.gn")
+
+
 def test_train_runs_in_order(spark):
     rows = spark.createDataFrame([("k", "lm-math"), ("k", "lm-art")], "key string, model string")
     calls = []
@@ -182,7 +226,7 @@ def test_reasoning_of_the_manifest(spark, server, tmp_path):
     Handler.hits.clear()
     assert tuple(cli.main([*command, "--limit", "9"], spark).first()) == ("tr", 2, 9, 4, 1)
     assert [h for h in Handler.hits if h.startswith("/shards/")] == ["/shards/0", "/shards/1"]
-    assert not list((tmp_path / "datasets/reasoning/tr").glob("shard*")) and (tmp_path / "datasets/math/markdown/tr/tr-00000.md").exists()
+    assert not (tmp_path / "datasets/reasoning/tr").exists() and (tmp_path / "datasets/math/markdown/tr/tr-00000.md").exists()
     out = cli.main([*command, "--repo", "some/traces", "--slug", "one", "--keep-shards"], spark)
     assert tuple(out.first()) == ("one", 3, 21, 9, 1) and len(list((tmp_path / "datasets/reasoning/one").glob("shard*"))) == 3
     with pytest.raises(Exception, match="404"):

@@ -211,7 +211,7 @@ def test_markdown_chunks(spark, tmp_path):
     (tmp_path / "m").mkdir()
     (tmp_path / "m/s-00009.md").write_text("of an earlier run")
     assert sinks.write_markdown(rows, str(tmp_path / "m"), "s", "place", 5) == 5
-    assert [r["path"].rsplit("/", 1)[1] for r in files.markdown_files(spark, str(tmp_path / "m")).collect()] == [f"s-0000{k}.md" for k in (0, 1, 2, 3, 4, 9)]
+    assert [r["path"].rsplit("/", 1)[1] for r in files.markdown_files(spark, str(tmp_path / "m")).collect()] == [f"s-0000{k}.md" for k in range(5)]
     assert sinks.write_markdown(rows, str(tmp_path / "m"), "s", "place", 5) == 5
     parts = sorted(p for p in (tmp_path / "m").iterdir() if p.suffix == ".md")
     assert parts[0].read_text().startswith("### Question\n\nq0\n\n### Reasoning\n\nt\n\n---\n\n### Question\n\nq1")
