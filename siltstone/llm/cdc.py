@@ -39,7 +39,7 @@ from .lm import _reproducible as reproducible
 LEAST_RUN = 96
 SPAN = "struct<start:bigint,end:bigint>"
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-CHUNK, PIECE = 2 << 20, 1 << 18  # code points that are asked for together, and hashed together
+CHUNK, PIECE = 1 << 20, 1 << 18  # code points that are asked for together, and hashed together
 LONGEST_WORD, FIRST_WIDE = 32, 0x2E80  # letters of a word that a span may end in; from here on scripts don't set words apart
 _NULL = (1 << 63) - 1
 _LETTERS = np.array([chr(c).isalnum() for c in range(FIRST_WIDE)] + [False])
