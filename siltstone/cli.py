@@ -20,6 +20,7 @@ from .sources import files, footers, manifests, traces
 
 log = logging.getLogger("siltstone")
 DEFAULTS = work.TrainSettings()
+BUILT_IN = "spark"
 
 
 def parser() -> argparse.ArgumentParser:
@@ -47,7 +48,8 @@ def parser() -> argparse.ArgumentParser:
     fetch.add_argument("--max-bytes", type=int, default=0)
     fetch.add_argument("--retry", type=int, default=4)
     convert = commands.add_parser("extract", parents=[chosen], help="archives to Markdown by an external converter")
-    convert.add_argument("--converter", default="archive-to-markdown")
+    convert.add_argument("--converter", default="archive-to-markdown", help=f"a program, or {BUILT_IN}: Spark reads the archives itself")
+    convert.add_argument("--per-file", type=int, default=1000, help=f"pages of a Markdown file with the converter {BUILT_IN}")
     convert.add_argument("--workers", type=int, default=1)
     convert.add_argument("--force", action="store_true")
     convert.add_argument("--keep-going", action="store_true")
@@ -117,12 +119,16 @@ def run_download(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def run_extract(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     rows = manifest.only_archives(selection(spark, args))
-    converter = execute.find_converter(args.converter)
+    built_in = args.converter == BUILT_IN
+    converter = args.converter if built_in else execute.find_converter(args.converter)
     wanted = work.extract_plan(rows, spark.createDataFrame([], "path string"), converter, args.workers, args.force)
     plan = work.extract_plan(rows, execute.present_outputs(wanted, args.root), converter, args.workers, args.force)
     if args.dry_run:
         return plan
-    result = execute.extract(plan, args.root, args.jobs, args.force, stop=not args.keep_going)
+    if built_in:
+        result = execute.extract_archives(plan, args.root, args.per_file, args.force, stop=not args.keep_going)
+    else:
+        result = execute.extract(plan, args.root, args.jobs, args.force, stop=not args.keep_going)
     failed = 0
     for row in execute.failures(result, True).toLocalIterator():
         log.warning("extract: %s: %s", row["key"], row["error"])

@@ -13,6 +13,7 @@ from ..functions.rules import CATEGORIES
 from ..sources import files
 from ..sources.chunk_files import write_chunk_files
 from ..sources.manifests import FIELDS
+from .markdown import html_to_markdown
 from .records import chunked, complete, document, json_line
 
 
@@ -69,3 +70,16 @@ def write_markdown(records: DataFrame, folder: str, slug: str, order: str, per_f
     rows = chunked(records, order, per_file).withColumn("value", doc.substr(F.lit(1), F.length(doc) - 1))
     write_chunk_files(rows, folder, slug)
     return -(-records.count() // per_file)
+
+
+def write_pages(pages: DataFrame, folder: str, slug: str, order: str, per_file: int = 1000) -> int:
+    """Markdown of pages (``html``), in the order of a unique column, in numbered files; the number of pages.
+
+    Pages without text are left out. No pages make an empty folder.
+    """
+    texts = pages.select(order, html_to_markdown(F.col("html")).alias("markdown")).where("markdown <> ''")
+    rows = chunked(texts, order, per_file)
+    last = (F.col("position") % per_file) == 0
+    # pages of one file are parted by an empty line
+    write_chunk_files(rows.withColumn("value", F.when(last, F.col("markdown")).otherwise(F.concat("markdown", F.lit("\n")))), folder, slug)
+    return rows.count()

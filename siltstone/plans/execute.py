@@ -17,10 +17,14 @@ from collections.abc import Callable, Iterator
 from urllib.request import urlopen
 
 import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.sinks import write_pages
 from ..session import stage_table
+from ..sources import files
+from ..sources.archives import read_html
 
 RESULT = "key string, action string, bytes bigint, error string"
 _ARROW = pa.schema([("key", pa.string()), ("action", pa.string()), ("bytes", pa.int64()), ("error", pa.string())])
@@ -151,6 +155,36 @@ def extract(plan: DataFrame, root: str, jobs: int = 4, force: bool = False, stop
     return _run(plan.select("key", "output", "argv"), root, jobs, lambda r: convert_one(r, root, force), stop)
 
 
+def extract_archives(plan: DataFrame, root: str, per_file: int = 1000, force: bool = False, stop: bool = False) -> DataFrame:
+    """As ``extract``, without a converter: one Spark job after another reads an archive's pages and writes their Markdown.
+
+    The archive's own clusters are what is spread over the tasks. Its files
+    appear together, so one that fails leaves no output.
+    """
+    spark, rows = plan.sparkSession, []
+    for item in plan.select("key", "output", "action").orderBy("key").toLocalIterator():
+        key, archive, output = item["key"], f"{root}/{item['key']}", f"{root}/{item['output']}"
+        if item["action"] == "skip":
+            rows.append((key, "skip", 0, None))
+            continue
+        try:
+            if not files.exists(spark, archive):
+                raise FileNotFoundError("archive not found")
+            if force:
+                files.delete(spark, output)
+            write_pages(read_html(spark, archive), output, output.rpartition("/")[2], "entry", per_file)
+            rows.append((key, "extract", 0, None))
+        except (OSError, PySparkException) as e:
+            log.warning("extract: %s: %s", key, e)
+            rows.append((key, "failed", 0, str(e)))
+            if stop:
+                break
+    result = spark.createDataFrame(rows, RESULT)
+    if stop:
+        failures(result)
+    return result
+
+
 def failures(result: DataFrame, keep_going: bool = False) -> DataFrame:
     """The failed rows; without ``keep_going`` the first failure is an error."""
     failed = result.where(F.col("action") == "failed")
