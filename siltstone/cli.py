@@ -93,14 +93,13 @@ def selection(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def run_update(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    spark.dataSource.register(feeds.CatalogSource)
     categories = args.category or feeds.discovered_categories(spark, args.base_url)
-    options = {"baseUrl": args.base_url, "categories": "\n".join(categories), "lang": args.lang, "count": str(args.count), "keepGoing": str(args.keep_going)}
+    options = {"categories": "\n".join(categories), "lang": args.lang, "count": str(args.count), "keepGoing": str(args.keep_going)}
     # pages are fetched once
-    pages = stage_table(spark.read.format("catalog_feed").options(**options).load())
+    pages = stage_table(feeds.read_catalog(spark, args.base_url, **options))
     for row in pages.where("error IS NOT NULL").select("site", "error").toLocalIterator():
         log.warning("update: category %s is left out: %s", row["site"], row["error"])
-    entries = feeds.feed_entries(pages.where("error IS NULL").drop("error")).withColumn("ordinal", F.struct("site", "page", "position"))
+    entries = feeds.feed_entries(pages.where("error IS NULL").drop("error")).withColumn("ordinal", F.struct("site", "lang", "page", "position"))
     found = stage_table(catalog.catalog_to_manifest(entries, args.prefix))
     if not args.dry_run:
         sinks.write_manifests(found, args.datasets)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from urllib.error import HTTPError
 from urllib.parse import quote_plus
 from urllib.request import Request, urlopen
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from ..functions.text import unicode_trim
 from ..schemas import FEED
@@ -68,60 +69,157 @@ def page_urls(base: str, category: str, start: int, count: int, lang: str) -> st
 
 def walk_pages(get: Callable[[int], str], most: int = 1000) -> Iterator[str]:
     """Feed pages from start 0 on. Ends at an empty page, at the total, or when the server ignores the start (that page is kept)."""
-    import xml.etree.ElementTree as ET
-
     start = 0
     for _ in range(most):
         page = get(start)
-        root = ET.fromstring(page)  # noqa: S314
-        if root.tag.rpartition("}")[2] != "feed":
-            raise ValueError(f"not a catalog feed: root element is {root.tag}")
-        number = {c.tag.rpartition("}")[2]: int(c.text or 0) for c in root if c.tag.rpartition("}")[2] in ("totalResults", "startIndex")}
-        n = sum(c.tag.rpartition("}")[2] == "entry" for c in root)
+        n, total, told = page_counts(page)
         if n == 0:
             return
         yield page
-        total = number.get("totalResults", 0)
-        if number.get("startIndex", 0) != start or (total > 0 and start + n >= total):
+        if told != start or (total > 0 and start + n >= total):
             return
         start += n
 
 
-class CatalogReader(DataSourceReader):
-    """One partition per category; pages are walked inside it."""
+def page_counts(page: str) -> tuple[int, int, int]:
+    """How many entries a feed page has, the total that it tells (0: none), and its start."""
+    import xml.etree.ElementTree as ET
+
+    root = ET.fromstring(page)  # noqa: S314
+    if root.tag.rpartition("}")[2] != "feed":
+        raise ValueError(f"not a catalog feed: root element is {root.tag}")
+    names = [(c.tag.rpartition("}")[2], c.text) for c in root]
+    number = {n: int(text or 0) for n, text in names if n in ("totalResults", "startIndex")}
+    return sum(n == "entry" for n, _ in names), number.get("totalResults", 0), number.get("startIndex", 0)
+
+
+def named_categories(page: str) -> list[str]:
+    """The titles of a category feed, trimmed; empty ones are left out."""
+    import xml.etree.ElementTree as ET
+
+    titles = [c.text or "" for e in ET.fromstring(page) for c in e if e.tag.endswith("}entry") and c.tag.endswith("}title")]  # noqa: S314
+    return [t.strip() for t in titles if t.strip()]
+
+
+@dataclass
+class Asked(InputPartition):
+    """Pages of one category and language; in streams only the entries from ``start`` up to ``end``."""
+
+    site: str
+    lang: str
+    start: int = 0
+    end: int = -1
+
+
+class Catalog:
+    """What the batch and the stream reader know of a catalog: its address and what is asked of it."""
 
     def __init__(self, options):
         self.base = options["baseUrl"]
-        self.categories = [c for c in re.split(r"[,\n]", options["categories"]) if c]
+        self.categories = [c for c in re.split(r"[,\n]", options.get("categories", "")) if c]
+        self.langs = [c for c in options.get("lang", "eng").split(",") if c]
         self.keep_going = options.get("keepGoing", "false").lower() == "true"
-        self.lang, self.count = options.get("lang", "eng"), int(options.get("count", "100"))
-        self.most, self.timeout = int(options.get("maxPages", "1000")), float(options.get("timeout", "90"))
+        self.count, self.most, self.timeout = int(options.get("count", "100")), int(options.get("maxPages", "1000")), float(options.get("timeout", "90"))
+
+    def page(self, site: str, lang: str, start: int, count: int) -> str:
+        return fetch(page_urls(self.base, site, start, count, lang), self.timeout).decode()
+
+    def sites(self) -> list[str]:
+        """The categories that were named, or all that the catalog names."""
+        return self.categories or named_categories(fetch(f"{self.base.rstrip('/')}/categories", self.timeout).decode())
+
+
+class CatalogReader(DataSourceReader):
+    """One partition per category and language; pages are walked inside it."""
+
+    def __init__(self, options):
+        self.catalog = Catalog(options)
 
     def partitions(self):
-        return [InputPartition(c) for c in self.categories]
+        return [Asked(site, lang) for site in self.catalog.sites() for lang in self.catalog.langs]
 
     def read(self, partition):
-        def get(start: int) -> str:
-            return fetch(page_urls(self.base, partition.value, start, self.count, self.lang), self.timeout).decode()
-
+        if partition is None:  # nothing is asked for
+            return
+        site, lang, c = partition.site, partition.lang, self.catalog
         pages = []
         try:
-            pages = list(walk_pages(get, self.most))
+            pages = list(walk_pages(lambda start: c.page(site, lang, start, c.count), c.most))
         except Exception as e:
-            if not self.keep_going:
+            if not c.keep_going:
                 raise
-            yield partition.value, -1, None, str(e)
+            yield site, lang, -1, None, str(e)
             return
         for k, page in enumerate(pages):
-            yield partition.value, k, page, None
+            yield site, lang, k, page, None
 
 
-class CatalogSource(DataSource):
-    """``spark.read.format("catalog_feed")``: site, page, value, error.
+class CatalogStreamReader(DataSourceStreamReader):
+    """Offsets are how many entries of every category and language have been read.
 
-    Options: baseUrl, categories (joined by commas or line ends), lang, count,
-    maxPages, timeout, and keepGoing: a category that fails is one row with its
-    error, in place of an error of the query.
+    A batch asks for the entries from one offset to the next, so it is the same
+    when it is repeated. The driver asks each category for its total only.
+    """
+
+    def __init__(self, options):
+        self.catalog = Catalog(options)
+
+    def initialOffset(self):
+        return {}
+
+    def latestOffset(self):
+        c, out = self.catalog, {}
+        for site in c.sites():
+            for lang in c.langs:
+                try:
+                    n, total, _ = page_counts(c.page(site, lang, 0, 1))
+                except Exception:
+                    if not c.keep_going:
+                        raise
+                    continue  # its entries come with a later batch
+                if n and not total:
+                    raise ValueError(f"the catalog tells no total of category {site}: read it as a batch")
+                out[f"{lang}:{site}"] = total
+        return out
+
+    def partitions(self, start, end):
+        out = []
+        for key, last in sorted(end.items()):
+            lang, _, site = key.partition(":")
+            out += [Asked(site, lang, k, min(k + self.catalog.count, last)) for k in range(start.get(key, 0), last, self.catalog.count)]
+        return out
+
+    def read(self, partition):
+        c, start = self.catalog, partition.start
+        while start < partition.end:
+            asked = partition.end - start
+            page = c.page(partition.site, partition.lang, start, asked)
+            n, _, told = page_counts(page)
+            if n > asked or told not in (0, start):
+                raise ValueError(f"category {partition.site}: {asked} entries from {start} were asked for, {n} from {told} came")
+            if n == 0:
+                return
+            yield partition.site, partition.lang, start, page, None
+            start += n
+
+    def commit(self, end):
+        pass
+
+
+class CatalogSource(DataSource):
+    """``spark.read.format("catalog_feed")``: site, lang, page, value, error.
+
+    Options: baseUrl, categories (joined by commas or line ends; default: all
+    that the catalog names), lang (joined by commas), count, maxPages, timeout,
+    and keepGoing: a category that fails is one row with its error, in place of
+    an error of the query.
+
+    Options, not filters, say what is asked of the server: a source of Spark 4.1
+    that takes filters keeps them for other queries on the same DataFrame, which
+    then lose rows. ``spark.readStream`` reads what catalogs add at their ends:
+    each batch the entries that came since the last; ``page`` is then the
+    number of the page's first entry. Entries that are changed or put before
+    others are seen by batch reads only.
     """
 
     @classmethod
@@ -129,7 +227,17 @@ class CatalogSource(DataSource):
         return "catalog_feed"
 
     def schema(self):
-        return "site string, page int, value string, error string"
+        return "site string, lang string, page int, value string, error string"
 
     def reader(self, schema):
         return CatalogReader(self.options)
+
+    def streamReader(self, schema):
+        return CatalogStreamReader(self.options)
+
+
+def read_catalog(spark: SparkSession, base: str, stream: bool = False, **options: str) -> DataFrame:
+    """Pages of a catalog. Of the server, only the categories and languages of the options are asked for."""
+    spark.dataSource.register(CatalogSource)
+    reader = spark.readStream if stream else spark.read
+    return reader.format("catalog_feed").options(baseUrl=base, **options).load()
