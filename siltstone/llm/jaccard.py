@@ -90,7 +90,7 @@ def frequent_shingles(docs: DataFrame, plan: Plan) -> tuple[np.ndarray, bool]:
         hasher = packed.WordHasher()
         down = np.uint64(64 - bits)
         texts = ((shingles(t, hasher)[0] >> down,) for b in batches for t in b.column(0).to_pylist())
-        for part in packed.flushed(texts, lambda r: len(r[0]), 4 << 20):
+        for part in packed.flushed(texts, lambda r: len(r[0]), 2 << 20):
             values, counts = np.unique(np.concatenate([r[0] for r in part]), return_counts=True)
             rows = [(b, packed.pack(values[lo:hi], True), packed.pack(counts[lo:hi])) for b, lo, hi in packed.by_bucket(values, bits, partitions)]
             if rows:

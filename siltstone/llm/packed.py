@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORD_CACHE = 500_000
+WORD_CACHE = 100_000
 MOST_PARTITIONS = 8192  # of an exchange of blocks
 
 
