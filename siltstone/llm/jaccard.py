@@ -89,7 +89,7 @@ def frequent_shingles(docs: DataFrame, plan: Plan) -> tuple[np.ndarray, bool]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = packed.WordHasher()
         down = np.uint64(64 - bits)
-        texts = ((shingles(t, hasher)[0] >> down,) for b in batches for t in b.column(0).to_pylist())
+        texts = ((shingles(t, hasher)[0] >> down,) for b in packed.in_slices(batches) for t in b.column(0).to_pylist())
         for part in packed.flushed(texts, lambda r: len(r[0]), 2 << 20):
             values, counts = np.unique(np.concatenate([r[0] for r in part]), return_counts=True)
             rows = [(b, packed.pack(values[lo:hi], True), packed.pack(counts[lo:hi])) for b, lo, hi in packed.by_bucket(values, bits, partitions)]
@@ -154,7 +154,7 @@ def describe(docs: DataFrame, heavy, plan: Plan, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, frequent = packed.WordHasher(), heavy.value
-        for batch in batches:
+        for batch in packed.in_slices(batches):
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own, words = shingles(text, hasher)
@@ -166,11 +166,7 @@ def describe(docs: DataFrame, heavy, plan: Plan, percent: int) -> DataFrame:
                     tokens = packed.mixed(ordered[: prefix_length(n, percent)]) >> down
                     prefix, often = packed.pack(tokens[:rare]), tokens[rare:].tolist()
                 rows.append((doc, digest(words), n, share, prefix, often))
-                if len(rows) >= 512:
-                    yield _batch(rows, *columns)
-                    rows = []
-            if rows:
-                yield _batch(rows, *columns)
+            yield _batch(rows, *columns)
 
     columns = (("doc", pa.int64()), ("sig", pa.binary()), ("n", pa.int32()), ("share", pa.int32()), ("prefix", pa.binary()), ("often", pa.list_(pa.int64())))
     return docs.select("doc", "text").mapInArrow(run, "doc long, sig binary, n int, share int, prefix binary, often array<bigint>")
@@ -485,7 +481,7 @@ def verify(docs: DataFrame, units: DataFrame, classes: DataFrame, heavy, plan: P
                 a, b = unit_links(ids, comps, [x[2] for x in unit.values()], roles, percent, forest)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-        for batch in batches:
+        for batch in packed.in_slices(batches):
             for u0, u1, u2, role, cid, comp, sig, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (u0, u1, u2) != key:
                     yield from linked()
@@ -581,8 +577,9 @@ def jaccard_links(docs: DataFrame, key: str = "doc_id", text: str = "text", perc
 
     With ``jaccard_components``, which tells equal texts, this is the whole join.
     """
-    own = Classes(docs, key, text, percent)
-    links = own.other_links(None, False).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+    with packed.small_batches(docs.sparkSession):
+        own = Classes(docs, key, text, percent)
+        links = own.other_links(None, False).select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
     names = own.table.select("cid", "doc")
     ends = links.join(names.select(F.col("cid").alias("x"), F.col("doc").alias("p")), "x").join(names.select(F.col("cid").alias("y"), F.col("doc").alias("q")), "y")
     return ends.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
@@ -607,8 +604,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Rows that repeat a key count as one document each, with one component for
     equal texts. Shingles are compared by 64-bit hashes, word sequences by 128.
     """
-    own = Classes(docs, key, text, percent)
-    out = own.told.join(class_components(own), "sig", "left")
+    with packed.small_batches(docs.sparkSession):
+        own = Classes(docs, key, text, percent)
+        out = own.told.join(class_components(own), "sig", "left")
     component: Column = F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.col("component")).otherwise(F.col("doc"))
     return out.select(F.col("doc").alias(key), F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"))
 
@@ -620,22 +618,25 @@ def one_of_each_component(docs: DataFrame, key: str = "doc_id", text: str = "tex
     without words or key is linked with nothing and stays. Documents that are
     alone in their component stay where they are; only the others move.
     """
-    own = Classes(docs, key, text, percent)
-    named = class_components(own).select("sig", "component")
-    sizes = own.told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(F.count("*").alias("m")).join(named, "sig")
-    shared = stage_table(sizes.withColumn("all", F.sum("m").over(Window.partitionBy("component"))).where("all > 1").select("sig", "component"))
+    place = docs.columns.index(text)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = ((t or "").encode().lower().split() for t in batch.column(1).to_pylist())
+        for batch in packed.in_slices(batches):
+            words = ((t or "").encode().lower().split() for t in batch.column(0).field(place).to_pylist())
             sigs = pa.array([digest(w) if w else None for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sigs], names=["row", "words", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), sigs], names=["row", "sig"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("words"))
+    rows = docs.select(F.struct("*").alias("row"))
     shape = T.StructType([*rows.schema.fields, T.StructField("sig", T.BinaryType())])
-    marked = BitFilter(shared, "sig").mark(rows.mapInArrow(sign, shape).drop("words"), "sig")
+    with packed.small_batches(docs.sparkSession):
+        own = Classes(docs, key, text, percent)
+        named = class_components(own).select("sig", "component")
+        sizes = own.told.where("n > 0 AND doc IS NOT NULL").groupBy("sig").agg(F.count("*").alias("m")).join(named, "sig")
+        shared = stage_table(sizes.withColumn("all", F.sum("m").over(Window.partitionBy("component"))).where("all > 1").select("sig", "component"))
+        marked = BitFilter(shared, "sig").mark(rows.mapInArrow(sign, shape), "sig")
+        # written, as two parts of the result read it
+        moved = stage_table(marked.where("maybe").join(shared, "sig", "left").select("row", "component"))
     here = F.col("row")[key]
-    moved = marked.where("maybe").join(shared, "sig", "left")
     grouped = F.col("component").isNotNull() & here.isNotNull()
     # rows with equal words under the smallest key: the smallest of them, pre-aggregated
     first = moved.where(grouped & (here == F.col("component"))).groupBy("component").agg(F.min_by("row", F.struct(F.col("row")[text], F.to_json("row"))).alias("row"))

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD_CACHE = 100_000
@@ -119,6 +120,25 @@ def by_range(blocks: DataFrame, bits: int, partitions: int, ranges: int, fn: Cal
     return came.sortWithinPartitions("bucket").mapInArrow(fn, schema)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """Arrow batches of so many rows in the jobs that run inside: a batch of long texts is held by the JVM and by Python at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of so many rows, of which only one at a time becomes Python strings."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def groups(batches: Iterable[pa.RecordBatch], key: int = 0) -> Iterator[tuple[object, list[tuple]]]:
     """Runs of rows with the same value in a column, from batches sorted by it; row tuples without conversion of blobs."""
     current, rows = None, []
