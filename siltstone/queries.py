@@ -334,6 +334,7 @@ RANK_SQL = "CASE flavour WHEN 'nopic' THEN 0 WHEN 'maxi' THEN 1 WHEN 'mini' THEN
 FILE_SQL = r"""CASE WHEN lower(b) LIKE '%.zim' THEN b ELSE '' END"""
 BASE_SQL = r"""regexp_replace(regexp_extract(regexp_replace(regexp_extract(href, '^([^?#]*)', 1), '/$', ''), '([^/]*)$', 1), '\.meta4$', '')"""
 SUBSTRING_SQL = lambda site: "(CASE " + " ".join(f"WHEN contains(lower(name), {quote(p)}) THEN '{c}'" for s, _, p, c in rules.substring_rules() if s == site) + " END)"
+NO_XML = r"[^\t\n\r\x20-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
 HOSTS_SQL = "(CASE " + " ".join(f"WHEN split_part(lower(name), '_', 1) = '{h}' THEN '{c}'" for h, c in rules.HOSTS) + " END)"
 SKIP_SQL = " OR ".join(f"contains(lower(name), {quote(s)})" for s in rules.WIKIPEDIA_SKIP)
 CLASS_SQL = f"""(CASE WHEN site = 'wikipedia' THEN CASE WHEN NOT ({SKIP_SQL}) THEN {SUBSTRING_SQL('wikipedia')} END
@@ -344,10 +345,16 @@ CLASS_SQL = f"""(CASE WHEN site = 'wikipedia' THEN CASE WHEN NOT ({SKIP_SQL}) TH
 @query(r"""SELECT page_id, trim(regexp_extract(html, '<title>([^<]*)', 1), ' ') AS category FROM (
   SELECT page_id, replace(html, '&amp;', 'and') AS html FROM pages) WHERE trim(regexp_extract(html, '<title>([^<]*)', 1), ' ') <> ''""")
 def catalog_categories(spark, d):
-    title = F.regexp_extract(F.replace("html", F.lit("&amp;"), F.lit("and")), "<title>([^<]*)", 1)
+    found = F.regexp_extract(F.replace("html", F.lit("&amp;"), F.lit("and")), "<title>([^<]*)", 1)
+    pages = table(spark, d, "pages").where("html IS NOT NULL").select("page_id", found.alias("title"))
+    # The SQL trims spaces alone: titles with other white space at their ends, or with characters that XML has not, are put into the feed as URLs write them.
+    coded = F.col("title").rlike(NO_XML) | (text.unicode_trim("title") != F.trim("title"))
+    pages = pages.withColumn("coded", coded)
+    title = F.when(F.col("coded"), F.url_encode("title")).otherwise(feeds.xml_text(F.col("title")))
     xml = F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title> '), title, F.lit(" </title></entry><entry><title> </title></entry></feed>"))
-    pages = table(spark, d, "pages").select("page_id", xml.alias("value"))
-    return feeds.feed_entries(pages).select("page_id", text.unicode_trim("title").alias("category")).where("category <> ''")
+    entries = feeds.feed_entries(pages.select("page_id", "coded", xml.alias("value")))
+    own = text.unicode_trim("title")
+    return entries.select("page_id", F.when(F.col("coded"), F.trim(F.url_decode(own))).otherwise(own).alias("category")).where("category <> ''")
 
 
 @query(f"{E} SELECT page_id AS ordinal, language FROM entries WHERE {KEEP_SQL}")

@@ -9,7 +9,7 @@ from urllib.error import HTTPError
 from urllib.parse import quote_plus
 from urllib.request import Request, urlopen
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -27,6 +27,13 @@ def parse_feed(pages: DataFrame, value: str = "value") -> DataFrame:
     return pages.withColumn("feed", F.when(root == "feed", parsed).otherwise(wrong))
 
 
+def xml_text(value: Column) -> Column:
+    """A string as the text of an element: markup and carriage returns, which parsers replace, as references."""
+    for c, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
+        value = F.replace(value, F.lit(c), F.lit(reference))
+    return value
+
+
 def feed_entries(pages: DataFrame, value: str = "value") -> DataFrame:
     """One row per entry in feed order: the page's other columns, position and the entry's fields."""
     others = [c for c in pages.columns if c != value]

@@ -36,6 +36,22 @@ def test_query_equals_sql(spark, sf_dir, name):
     same(spark, sf_dir, QUERIES[name], ORACLE_SQL[name])
 
 
+ODD_TITLES = [
+    "cut off &am", "AT&T & a &quot;q&quot; &#1; &nope; &", "&", "a]]> b > c", " both ends  ", "\n\tlines\n", "\u00a0wide\u3000", "in\r\nside\rit", "\t", " ", "",
+    "bell \x07 and \x0b", "\ufffe\uffff", "50% + %41 \x01", "50% + %41", "\U0001f600 \ue000", "null", "12", "&" * 70_000, "a&amp;b",
+]
+
+
+def test_titles_that_are_no_xml(spark, tmp_path):
+    pages = [(k, f"<html><title>{t}</title></html>") for k, t in enumerate(ODD_TITLES)] + [(100, None), (101, ""), (102, "<p>no title</p>"), (103, "<title>open")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = sorted(con.execute(ORACLE_SQL["catalog_categories"]).fetchall())
+    got = QUERIES["catalog_categories"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == want and len(want) == len(ODD_TITLES) - 2 + 1 and (0, "cut off &am") in want
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "document" in df.columns
