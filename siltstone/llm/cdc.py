@@ -4,7 +4,7 @@ A gear hash h = 2 h + GEAR(code point) rolls over each text; a text is cut where
 it is smallest in a stretch of text. Cuts depend on the content alone, so an
 insertion moves no cut outside of its own surroundings, and none is forced by a
 count. What is cut is deduplicated by digest: the gear hash of the window at a
-cut names it. A passage is a run of at least ``least_run`` code points that two
+cut, mixed, names it. A passage is a run of at least ``least_run`` code points that two
 documents hold; stretches are so short that every such run has a cut whose
 window lies in it, which whole chunks from cut to cut would not ensure. Cuts
 that several documents hold mark the places where runs are worth comparing;
@@ -118,7 +118,7 @@ def cuts(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarr
     least = np.where(room[: len(points) - least_run + 1] >= least_run, _sliding(h, n, np.minimum), np.uint64(0))
     outside = np.zeros(n - 1, np.uint64)
     at = np.flatnonzero(_sliding(np.concatenate((outside, least, outside)), n, np.maximum) == h)
-    return at, h[at]
+    return at, packed.mixed(h[at])  # the smallest hashes as they are would go to the first buckets
 
 
 def long_runs(points: np.ndarray, room: np.ndarray, least_run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -446,7 +446,7 @@ def _passages(docs: DataFrame, key: str, text: str, least_run: int, whole_words:
 
     def answered(asked: DataFrame, texts: DataFrame | None = None) -> DataFrame:
         partitions = min(buckets, packed.MOST_PARTITIONS)  # a task goes through its buckets and parts one by one
-        back = asked.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_answers, shape)
+        back = packed.dealt(asked, partitions).sortWithinPartitions("bucket").mapInArrow(_answers, shape)
         return (back if texts is None else texts.unionByName(back)).repartition(partitions, "chunk").sortWithinPartitions("chunk", "bucket")
 
     asked = answered(rows.mapInArrow(lambda b: _ask_cuts(b, least_run, buckets), shape), rows.mapInArrow(lambda b: _texts(b, least_run), shape))

@@ -579,6 +579,15 @@ def test_cuts_resist_insertions(least_run):
     assert [(p + 8 * (p >= 1500), x) for p, x in before] == after
 
 
+def test_cuts_go_to_all_buckets_alike():
+    """Cuts stand where gear hashes are smallest, so the hashes themselves would go to few buckets, and most of them to one task."""
+    points = np.random.default_rng(1).integers(97, 123, 200_000).astype(np.uint32)
+    for of in (cdc.cuts, cdc.long_runs):
+        _, h = of(points, cdc._room(np.array([len(points)])), cdc.LEAST_RUN)
+        sizes = [hi - lo for _, lo, hi in packed.by_bucket(np.sort(h), 64, 64)]
+        assert len(sizes) == 64 and max(sizes) < 2 * len(h) / 64
+
+
 def test_passages_are_found_and_cut(spark):
     rng = random.Random(8)
     fresh = lambda n: " ".join("".join(rng.choices("abcdefghijklmnoprstu", k=rng.randint(2, 9))) for _ in range(n))
